@@ -1,0 +1,6 @@
+"""Streaming.
+
+The job this library rebuilds is a batch full refresh: it has no streams,
+watermarks, windows over event time or state stores. Nothing is implemented
+here on purpose; see the README.
+"""
