@@ -9,8 +9,8 @@ Two ways to number rows 1..N in a total order:
   partition, number rows locally, then add the row count of all earlier
   partitions. Work is spread over ``num_partitions`` tasks; the only
   single-task step is a prefix sum over one row per partition. The numbered
-  rows are checkpointed once (an eager action in the session's checkpoint
-  folder), so callers get back a frame whose lineage starts there.
+  rows are staged once as Parquet in the session's checkpoint folder (an
+  eager write), so callers get back a frame whose lineage starts there.
 
 Both need a total order (unique order columns); otherwise ties are numbered
 in an arbitrary, run-dependent way.
@@ -18,12 +18,13 @@ in an arbitrary, run-dependent way.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.config import shuffle_partitions
+from starloom.config import ensure_checkpoint_dir, shuffle_partitions
 
 ColumnLike = Column | str
 
@@ -45,32 +46,42 @@ def ordered_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str) -> D
     return df.withColumn(name, F.row_number().over(w).cast("long"))
 
 
+def staging_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the session's checkpoint directory (shared storage)."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/starloom-staging/{label}-{uuid.uuid4().hex}"
+
+
 def distributed_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str, *,
                     range_cols: Sequence[ColumnLike] | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None,
+                    within: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Dense key 1..N in ``order_cols`` order without a single-partition step.
 
     ``range_cols`` (default: ``order_cols``) must be a leading prefix of
     ``order_cols``. Range partitioning on a prefix keeps all rows sharing that
-    prefix in one partition, so the result also satisfies a later window or
-    aggregate clustered on those columns without another shuffle. Range bounds
-    are sampled over the whole tuple, so a hot leading value is still spread
-    over several partitions when the prefix is longer than that value.
-
-    The returned frame keeps the range partitioning and the within-partition
-    sort order of ``order_cols``.
+    prefix in one partition, so ``within`` - a transformation applied to the
+    range-partitioned, sorted rows before they are numbered - can run a window
+    or aggregate clustered on those columns without another shuffle. Range
+    bounds are sampled over the whole tuple, so a hot leading value is still
+    spread over several partitions when the prefix is longer than that value.
+
+    Range bounds are sampled anew by every exchange, so the numbering and the
+    per-partition counts must come from the same materialised partitions: the
+    numbered rows are written once as Parquet under ``spark.checkpoint.dir``
+    (an eager write; a lost executor cannot change committed files) and both
+    the counts and the key read them back.
     """
-    n = num_partitions or shuffle_partitions(df.sparkSession)
+    spark = df.sparkSession
+    n = num_partitions or shuffle_partitions(spark)
     order = _cols(order_cols)
-    # Range partitioning samples its bounds per exchange, so the numbering and
-    # the per-partition counts must read the same materialised partitions:
-    # the numbered rows are written once to the checkpoint folder (reliable
-    # storage, so lost executors do not change the numbering) and both the
-    # counts and the final key read them back.
-    tagged = (df.repartitionByRange(n, *_cols(range_cols or order_cols))
-              .sortWithinPartitions(*order)
-              .withColumn("_sk_rid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    ranged = (df.repartitionByRange(n, *_cols(range_cols or order_cols))
+              .sortWithinPartitions(*order))
+    if within is not None:
+        ranged = within(ranged)
+    path = staging_path(spark, name)
+    ranged.withColumn("_sk_rid", F.monotonically_increasing_id()).write.parquet(path)
+    tagged = spark.read.parquet(path)
     part = F.shiftrightunsigned(F.col("_sk_rid"), _POSITION_BITS)
 
     # Rows per range partition; one row per non-empty partition.

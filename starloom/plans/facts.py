@@ -54,7 +54,11 @@ def keyed_lines(src: RetailSource, dim_customer: DataFrame, dim_product: DataFra
         order_cols.append("ship_date")
     orders = src.sales_order.select(*order_cols).join(
         customer_bridge(dim_customer, dim_geography), "customer_id", "inner")
-    lines = src.sales_order_line.select(*line_cols).join(orders, "order_id", "inner")
+    # Lines x orders is the large x large join of the model: declare it a
+    # sort-merge join so a compressed-file size estimate never turns the line
+    # table into a broadcast (AQE still splits skewed partitions).
+    lines = (src.sales_order_line.select(*line_cols).hint("merge")
+             .join(orders, "order_id", "inner"))
     return resolve_key(lines, dim_product, [("product_id", "product_id")], "product_key")
 
 

@@ -2,10 +2,11 @@
 
 Plan: partial aggregate per task -> hash exchange on the group keys -> final
 aggregate -> range exchange on (dimension keys, year) -> sort by (dimension
-keys, year, month) -> snapshot key and year-to-date window, both served by
-that one range exchange (range partitioning on a prefix of the window's
-partition columns satisfies its clustering, so no third exchange is needed).
-Each year-to-date window partition holds at most twelve rows.
+keys, year, month) -> year-to-date window -> row numbering. The window runs
+inside the range-partitioned stage (range partitioning on the window's
+partition columns satisfies its clustering), so the snapshot key and the
+running totals share one exchange. Each window partition holds at most
+twelve rows, so a hot customer cannot make one window group large.
 """
 
 from __future__ import annotations
@@ -56,13 +57,17 @@ def monthly_snapshot(lines: DataFrame, dims: Sequence[str] = REFERENCE_GRAIN, *,
     """
     dims = list(dims)
     agg = monthly_aggregate(lines, dims)
-    keyed = distributed_key(agg, [*dims, "year_number", "month_number"], key_name,
-                            range_cols=[*dims, "year_number"], num_partitions=num_partitions)
-    ytd = running_totals(keyed, [*dims, "year_number"], "month_number", {
-        "ytd_order_count": "order_count",
-        "ytd_quantity_sold": "quantity_sold",
-        "ytd_net_sales": "net_sales_amount",
-    })
+
+    def year_to_date(ranged: DataFrame) -> DataFrame:
+        return running_totals(ranged, [*dims, "year_number"], "month_number", {
+            "ytd_order_count": "order_count",
+            "ytd_quantity_sold": "quantity_sold",
+            "ytd_net_sales": "net_sales_amount",
+        })
+
+    ytd = distributed_key(agg, [*dims, "year_number", "month_number"], key_name,
+                          range_cols=[*dims, "year_number"], num_partitions=num_partitions,
+                          within=year_to_date)
     return ytd.select(
         F.col(key_name),
         date_key(month_end("year_number", "month_number")).alias("snapshot_date_key"),

@@ -2,42 +2,55 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.schemas import SOURCE_TABLES
 from starloom.sources.readers import read_table
 
+TableSpec = DataFrame | Callable[[], DataFrame]
+
 
-@dataclass(frozen=True)
 class RetailSource:
-    """The twelve source tables.
+    """The twelve source tables, by attribute (``src.customer``, ``src.sales_order`` ...).
+
+    A table may be given as a DataFrame or as a zero-argument function that
+    builds one; functions run on first access only, so work that has an eager
+    step (such as a checkpointed key) is done only for tables a plan uses.
 
     ``ship_date`` may be carried by ``sales_order`` (one date per order) or by
     ``sales_order_line`` (one per line); the fact builders take it from
     whichever table has it.
     """
 
-    country: DataFrame
-    state: DataFrame
-    city: DataFrame
-    address: DataFrame
-    customer: DataFrame
-    product_category: DataFrame
-    brand: DataFrame
-    unit_of_measure: DataFrame
-    product_status: DataFrame
-    product: DataFrame
-    sales_order: DataFrame
-    sales_order_line: DataFrame
+    NAMES = tuple(SOURCE_TABLES)
+
+    def __init__(self, tables: Mapping[str, TableSpec] | None = None, **kwargs: TableSpec):
+        specs = dict(tables or {}, **kwargs)
+        missing = [n for n in self.NAMES if n not in specs]
+        if missing:
+            raise ValueError(f"missing source tables: {missing}")
+        self._specs = {n: specs[n] for n in self.NAMES}
+        self._built: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._built:
+            spec = self._specs[name]
+            self._built[name] = spec if isinstance(spec, DataFrame) else spec()
+        return self._built[name]
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in RetailSource.NAMES:
+            raise AttributeError(name)
+        return self.table(name)
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {n: self.table(n) for n in self.NAMES}
 
 
 def read_retail_source(spark: SparkSession, location: str, *, fmt: str = "parquet",
                        options: dict[str, str] | None = None) -> RetailSource:
     """Read the twelve tables by name from ``location`` (folder or JDBC URL)."""
-    return RetailSource(**{name: read_table(spark, location, name, fmt=fmt, options=options)
-                           for name in SOURCE_TABLES})
+    return RetailSource({name: read_table(spark, location, name, fmt=fmt, options=options)
+                         for name in SOURCE_TABLES})

@@ -134,12 +134,12 @@ def retail_from_frames(spark: SparkSession, region: DataFrame, nation: DataFrame
         F.to_date("o_orderdate").alias("order_date"),
         F.col("o_orderstatus").alias("order_status"))
 
-    sales_order_line = order_lines_from_lineitem(lineitem)
-
     return RetailSource(country=country, state=state, city=city, address=address,
                         customer=cust, product_category=category, brand=brand,
                         unit_of_measure=uom, product_status=status, product=product,
-                        sales_order=sales_order, sales_order_line=sales_order_line)
+                        sales_order=sales_order,
+                        # Built on first use: the line key has an eager checkpoint.
+                        sales_order_line=lambda: order_lines_from_lineitem(lineitem))
 
 
 def order_lines_from_lineitem(lineitem: DataFrame) -> DataFrame:
