@@ -376,6 +376,15 @@ st_lines AS (
     "fk_orphans": _with(_SOURCE) + _orphans_sql(),
     "not_null_and_width": _with(_SOURCE, _DIMS) + _profile_sql("dim_customer")
     + "\nUNION ALL\n" + _profile_sql("dim_product"),
+    "full_refresh_report": _with(*_ALL) + """
+  SELECT 1 AS load_order, 'dim_date' AS table_name,
+         CAST(count(*) AS BIGINT) AS rows_written FROM dim_date
+  UNION ALL SELECT 2, 'dim_customer', count(*) FROM dim_customer
+  UNION ALL SELECT 3, 'dim_product', count(*) FROM dim_product
+  UNION ALL SELECT 4, 'dim_geography', count(*) FROM dim_geography
+  UNION ALL SELECT 5, 'dim_order_status', count(*) FROM dim_order_status
+  UNION ALL SELECT 6, 'fact_sales', count(*) FROM fact_sales
+  UNION ALL SELECT 7, 'fact_sales_monthly_snapshot', count(*) FROM fact_snapshot""",
     "snapshot_reconcile": _with(*_ALL) + """,
 fm AS (SELECT CAST(order_date_key // 100 AS INTEGER) AS ym,
               sum(net_sales_amount) AS fact_net_sales, count(*) AS fact_lines

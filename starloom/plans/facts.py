@@ -19,9 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.dates import days_between, nullable_date_key
+from starloom.functions.dates import date_key, days_between, nullable_date_key
 from starloom.functions.money import discount_amount, gross_amount, round_money
-from starloom.functions.dates import date_key
 from starloom.operators.keys import current_rows, distributed_key, resolve_key
 from starloom.schemas import FACT_SALES, conform
 from starloom.sources.retail import RetailSource

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from starloom.functions.dates import date_key
 from starloom.operators.checks import column_profile, duplicate_keys, orphan_rows
-from starloom.operators.keys import distributed_key, resolve_key
+from starloom.operators.keys import distributed_key, resolve_key, staging_path
 from starloom.operators.running import running_totals
 from starloom.plans.calendar import calendar_covering
 from starloom.plans.dimensions import (
@@ -26,6 +26,7 @@ from starloom.plans.dimensions import (
     product_dimension,
 )
 from starloom.plans.facts import keyed_lines, line_measures, sales_fact
+from starloom.plans.refresh import full_refresh
 from starloom.plans.report import sales_report
 from starloom.plans.snapshot import monthly_aggregate, monthly_snapshot, sales_monthly_snapshot
 from starloom.schemas import DIM_CUSTOMER, DIM_PRODUCT
@@ -275,6 +276,16 @@ def snapshot_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("snapshot_lines").cast("long"))
 
 
+def full_refresh_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U15: full refresh of all seven tables into a new run folder; rows written per table.
+
+    The run goes to a fresh folder under ``spark.checkpoint.dir``.
+    """
+    m = Model(spark, sf_dir)
+    report = full_refresh(spark, m.src, staging_path(spark, "refresh"), as_of=AS_OF)
+    return report.select("load_order", "table_name", "rows_written")
+
+
 QUERIES: dict[str, Query] = {
     "calendar_dim": calendar_dim,
     "geography_dim": geography_dim,
@@ -294,6 +305,7 @@ QUERIES: dict[str, Query] = {
     "fk_orphans": fk_orphans,
     "not_null_and_width": not_null_and_width,
     "snapshot_reconcile": snapshot_reconcile,
+    "full_refresh_report": full_refresh_report,
 }
 
 __all__ = ["QUERIES", "Model", "AS_OF", "date_key"]
