@@ -2,6 +2,7 @@
 
 from starloom.operators.checks import (
     column_profile,
+    declared_key_violations,
     duplicate_keys,
     orphan_rows,
     profile_violations,
@@ -12,7 +13,7 @@ from starloom.operators.running import running_totals
 from starloom.operators.versioning import initial_version
 
 __all__ = [
-    "column_profile", "duplicate_keys", "orphan_rows", "profile_violations", "Lookup",
+    "column_profile", "declared_key_violations", "duplicate_keys", "orphan_rows", "profile_violations", "Lookup",
     "flatten", "current_rows", "distributed_key", "ordered_key", "resolve_key",
     "running_totals", "initial_version",
 ]

@@ -82,3 +82,37 @@ def profile_violations(profile: DataFrame) -> DataFrame:
     """Rows of ``column_profile`` that break a declared constraint."""
     return profile.where(((F.col("declared_not_null") == 1) & (F.col("null_count") > 0))
                          | (F.col("over_width_count") > 0))
+
+
+def declared_key_violations(tables: Mapping[str, DataFrame],
+                            definitions: Mapping[str, Table]) -> DataFrame:
+    """Check every declared primary, unique and foreign key among ``tables``.
+
+    Returns one row per constraint: ``constraint_name``, ``kind``
+    (``primary``/``unique``/``foreign``) and ``violations`` (duplicated key
+    values, or orphan rows). Foreign keys whose parent is not in ``tables``
+    are skipped. Each check is a full-scale aggregate or anti join; only the
+    per-constraint counts leave the executors.
+    """
+    parts = []
+    for name, df in tables.items():
+        t = definitions[name]
+        keys = []
+        if t.primary_key:
+            keys.append(("primary", t.primary_key))
+        keys.extend(("unique", u) for u in t.unique)
+        for kind, cols in keys:
+            parts.append(duplicate_keys(df, cols).agg(F.count(F.lit(1)).alias("violations"))
+                         .select(F.lit(f"{name}({', '.join(cols)})").alias("constraint_name"),
+                                 F.lit(kind).alias("kind"), "violations"))
+        for cols, parent, parent_cols in t.foreign_keys:
+            if parent not in tables:
+                continue
+            orphans = orphan_rows(df, tables[parent], cols, parent_cols)
+            parts.append(orphans.agg(F.count(F.lit(1)).alias("violations")).select(
+                F.lit(f"{name}({', '.join(cols)}) -> {parent}").alias("constraint_name"),
+                F.lit("foreign").alias("kind"), "violations"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -11,6 +11,8 @@ DuckDB notes: decimal / integer gives DOUBLE, so percentages are scaled with
 
 from __future__ import annotations
 
+from starloom.schemas import TARGET_TABLES
+
 LINE_ORDER = ("l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, "
               "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
 
@@ -316,6 +318,33 @@ def _orphans_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+# CTE name of each target table in the statements above.
+_CTE = {name: name for name in TARGET_TABLES}
+_CTE["fact_sales_monthly_snapshot"] = "fact_snapshot"
+
+
+def _integrity_sql() -> str:
+    parts = []
+    for name, t in TARGET_TABLES.items():
+        keys = ([("primary", t.primary_key)] if t.primary_key else []) + \
+            [("unique", u) for u in t.unique]
+        for kind, cols in keys:
+            c = ", ".join(cols)
+            parts.append(
+                f"SELECT '{name}({c})' AS constraint_name, '{kind}' AS kind, "
+                f"CAST(count(*) AS BIGINT) AS violations FROM "
+                f"(SELECT {c} FROM {_CTE[name]} GROUP BY {c} HAVING count(*) > 1) d")
+        for cols, parent, pcols in t.foreign_keys:
+            c = ", ".join(cols)
+            present = " AND ".join(f"x.{k} IS NOT NULL" for k in cols)
+            match = " AND ".join(f"p.{pk} = x.{k}" for k, pk in zip(cols, pcols))
+            parts.append(
+                f"SELECT '{name}({c}) -> {parent}', 'foreign', CAST(count(*) AS BIGINT) "
+                f"FROM {_CTE[name]} x WHERE {present} AND NOT EXISTS "
+                f"(SELECT 1 FROM {_CTE[parent]} p WHERE {match})")
+    return "\nUNION ALL\n".join(parts)
+
+
 ORACLE_SQL: dict[str, str] = {
     "calendar_dim": _with(_DIM_DATE) + "SELECT * FROM dim_date",
     "geography_dim": _with(_SOURCE, _DIMS) + "SELECT * FROM dim_geography",
@@ -376,6 +405,7 @@ st_lines AS (
     "fk_orphans": _with(_SOURCE) + _orphans_sql(),
     "not_null_and_width": _with(_SOURCE, _DIMS) + _profile_sql("dim_customer")
     + "\nUNION ALL\n" + _profile_sql("dim_product"),
+    "star_integrity": _with(*_ALL) + _integrity_sql(),
     "full_refresh_report": _with(*_ALL) + """
   SELECT 1 AS load_order, 'dim_date' AS table_name,
          CAST(count(*) AS BIGINT) AS rows_written FROM dim_date

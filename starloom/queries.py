@@ -15,7 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.dates import date_key
-from starloom.operators.checks import column_profile, duplicate_keys, orphan_rows
+from starloom.operators.checks import (
+    column_profile,
+    declared_key_violations,
+    duplicate_keys,
+    orphan_rows,
+)
 from starloom.operators.keys import distributed_key, resolve_key, staging_path
 from starloom.operators.running import running_totals
 from starloom.plans.calendar import calendar_covering
@@ -29,7 +34,7 @@ from starloom.plans.facts import keyed_lines, line_measures, sales_fact
 from starloom.plans.refresh import full_refresh
 from starloom.plans.report import sales_report
 from starloom.plans.snapshot import monthly_aggregate, monthly_snapshot, sales_monthly_snapshot
-from starloom.schemas import DIM_CUSTOMER, DIM_PRODUCT
+from starloom.schemas import DIM_CUSTOMER, DIM_PRODUCT, TARGET_TABLES
 from starloom.sources.readers import read_table
 from starloom.sources.retail import RetailSource
 from starloom.sources.tpch import LINE_ORDER, retail_from_tpch
@@ -276,6 +281,16 @@ def snapshot_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("snapshot_lines").cast("long"))
 
 
+def star_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1 + I2 on the built star: every declared primary, unique and foreign key."""
+    m = Model(spark, sf_dir)
+    tables = {"dim_date": m.dim_date, "dim_customer": m.dim_customer,
+              "dim_product": m.dim_product, "dim_geography": m.dim_geography,
+              "dim_order_status": m.dim_order_status, "fact_sales": m.fact,
+              "fact_sales_monthly_snapshot": m.snapshot}
+    return declared_key_violations(tables, TARGET_TABLES)
+
+
 def full_refresh_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U15: full refresh of all seven tables into a new run folder; rows written per table.
 
@@ -306,6 +321,7 @@ QUERIES: dict[str, Query] = {
     "not_null_and_width": not_null_and_width,
     "snapshot_reconcile": snapshot_reconcile,
     "full_refresh_report": full_refresh_report,
+    "star_integrity": star_integrity,
 }
 
 __all__ = ["QUERIES", "Model", "AS_OF", "date_key"]
