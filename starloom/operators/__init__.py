@@ -8,12 +8,18 @@ from starloom.operators.checks import (
     profile_violations,
 )
 from starloom.operators.flatten import Lookup, flatten
-from starloom.operators.keys import current_rows, distributed_key, ordered_key, resolve_key
+from starloom.operators.keys import (
+    current_rows,
+    distributed_key,
+    ordered_key,
+    resolve_key,
+    stage,
+)
 from starloom.operators.running import running_totals
 from starloom.operators.versioning import initial_version
 
 __all__ = [
     "column_profile", "declared_key_violations", "duplicate_keys", "orphan_rows", "profile_violations", "Lookup",
     "flatten", "current_rows", "distributed_key", "ordered_key", "resolve_key",
-    "running_totals", "initial_version",
+    "stage", "running_totals", "initial_version",
 ]

@@ -52,6 +52,17 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{root}/starloom-staging/{label}-{uuid.uuid4().hex}"
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as Parquet under ``spark.checkpoint.dir`` and read it back.
+
+    Cuts the lineage (a lost executor re-reads committed files instead of
+    recomputing joins) and lets several plans share one computation.
+    """
+    path = staging_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def distributed_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str, *,
                     range_cols: Sequence[ColumnLike] | None = None,
                     num_partitions: int | None = None,
@@ -70,7 +81,8 @@ def distributed_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str,
     per-partition counts must come from the same materialised partitions: the
     numbered rows are written once as Parquet under ``spark.checkpoint.dir``
     (an eager write; a lost executor cannot change committed files) and both
-    the counts and the key read them back.
+    the counts and the key read them back. The counts (one per partition) are
+    the only thing that reaches the driver.
     """
     spark = df.sparkSession
     n = num_partitions or shuffle_partitions(spark)
@@ -84,15 +96,18 @@ def distributed_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str,
     tagged = spark.read.parquet(path)
     part = F.shiftrightunsigned(F.col("_sk_rid"), _POSITION_BITS)
 
-    # Rows per range partition; one row per non-empty partition.
-    counts = tagged.groupBy(part.alias("_sk_part")).agg(F.count(F.lit(1)).alias("_sk_rows"))
-    before = Window.orderBy("_sk_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_sk_part",
-        F.coalesce(F.sum("_sk_rows").over(before), F.lit(0)).alias("_sk_offset"))
-
-    # offsets has one row per partition: its size is bounded by n.
-    keyed = tagged.join(F.broadcast(offsets), part == F.col("_sk_part"))
+    # Rows per range partition: one small job over the one staged column; the
+    # result has at most n rows (bounded metadata). Prefix sums give each
+    # partition's offset; the offsets go back as a local relation, so later
+    # plans on the keyed frame carry no aggregation for them.
+    counts = sorted((r[0], r[1]) for r in tagged.select(part.alias("p"))
+                    .groupBy("p").agg(F.count(F.lit(1))).collect())
+    offsets, running = [], 0
+    for p, rows in counts:
+        offsets.append((p, running))
+        running += rows
+    offset_df = spark.createDataFrame(offsets or [(0, 0)], "_sk_part long, _sk_offset long")
+    keyed = tagged.join(F.broadcast(offset_df), part == F.col("_sk_part"))
     key = (F.col("_sk_offset")
            + F.col("_sk_rid").bitwiseAND(F.lit(_POSITION_MASK)) + 1).cast("long")
     return keyed.withColumn(name, key).drop("_sk_rid", "_sk_part", "_sk_offset")

@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import staging_path
+from starloom.operators.keys import stage
 from starloom.plans.calendar import calendar_covering, calendar_dimension
 from starloom.plans.dimensions import (
     customer_dimension,
@@ -78,9 +78,7 @@ def full_refresh(spark: SparkSession, src: RetailSource, target: str, *,
     dim_geography = load("dim_geography", geography_dimension(src))
     dim_status = load("dim_order_status", order_status_dimension(src))
 
-    lines_path = staging_path(spark, "keyed_lines")
-    keyed_lines(src, dim_customer, dim_product, dim_geography).write.parquet(lines_path)
-    lines = spark.read.parquet(lines_path)
+    lines = stage(keyed_lines(src, dim_customer, dim_product, dim_geography), "keyed_lines")
 
     load("fact_sales", sales_fact(lines, dim_status, num_partitions=num_partitions),
          partition_by=fact_partition_by)

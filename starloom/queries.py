@@ -21,7 +21,7 @@ from starloom.operators.checks import (
     duplicate_keys,
     orphan_rows,
 )
-from starloom.operators.keys import distributed_key, resolve_key, staging_path
+from starloom.operators.keys import distributed_key, resolve_key, stage, staging_path
 from starloom.operators.running import running_totals
 from starloom.plans.calendar import calendar_covering
 from starloom.plans.dimensions import (
@@ -88,8 +88,9 @@ class Model:
 
     @property
     def lines(self) -> DataFrame:
-        return self._get("lines", lambda: keyed_lines(
-            self.src, self.dim_customer, self.dim_product, self.dim_geography))
+        # Staged once: the fact, the snapshot and the coarse rollups all read it.
+        return self._get("lines", lambda: stage(keyed_lines(
+            self.src, self.dim_customer, self.dim_product, self.dim_geography), "keyed_lines"))
 
     @property
     def fact(self) -> DataFrame:
