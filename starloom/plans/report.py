@@ -13,10 +13,11 @@ Two plans give the same rows:
   (m starts at n), materialise them in the checkpoint folder, join only those
   (the candidates are the broadcast side; each dimension is scanned, never
   shuffled) and check that at least ``n`` survive the inner joins. If fewer
-  survive, ``m`` grows and the step repeats; once ``m`` would exceed
-  ``MAX_CANDIDATES`` the join-first plan is used. The first ``n`` survivors
-  among the first ``m`` rows are the first ``n`` survivors overall, so the
-  result is exact.
+  survive, ``m`` grows and the step repeats. Spark's top-k merges ``m`` rows
+  from every input partition in one task, so once partitions x ``m`` would
+  pass ``MAX_MERGE_ROWS`` the join-first plan is used instead. The first ``n``
+  survivors among the first ``m`` rows are the first ``n`` survivors overall,
+  so the result is exact either way.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 REPORT_ORDER = ("order_id", "order_line_id")
-# Largest candidate set that is broadcast.
-MAX_CANDIDATES = 1_000_000
+# Spark's top-k keeps m rows per input partition and merges them in one task;
+# the candidate step runs only while partitions x m stays under this many rows
+# (which also bounds the broadcast candidate set).
+MAX_MERGE_ROWS = 10_000_000
 CANDIDATE_GROWTH = 16
 
 
@@ -91,8 +94,9 @@ def sales_report(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
     if strategy != "topk_first":
         raise ValueError(f"unknown strategy {strategy!r}")
 
+    parts = max(1, fact.rdd.getNumPartitions())
     m = n
-    while m <= MAX_CANDIDATES:
+    while m * parts <= MAX_MERGE_ROWS:
         # Reliable checkpoint: survives executor loss and cuts the lineage.
         cand = fact.orderBy(*order).limit(m).checkpoint(eager=True)
         joined = _star(cand, *dims, small_fact=True)
