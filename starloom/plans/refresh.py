@@ -110,3 +110,12 @@ def read_star(spark: SparkSession, target: str, *, fmt: str = "parquet") -> dict
     if run is None:
         raise FileNotFoundError(f"no complete run under {target}")
     return {name: spark.read.format(fmt).load(f"{run}/{name}") for name in LOAD_ORDER}
+
+
+def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Expose the star as temporary views (``<prefix><table>``) for ``spark.sql``."""
+    names = []
+    for name, df in tables.items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

@@ -39,3 +39,31 @@ def test_default_calendar_covers_whole_years(spark):
     report = {r.table_name: r.rows_written for r in
               full_refresh(spark, src, target, as_of=dt.date(2024, 12, 31)).collect()}
     assert report["dim_date"] == 365 + 366          # 2023 and 2024
+
+
+def test_star_views_answer_sql(spark):
+    from starloom.plans.refresh import register_views
+    from starloom.plans.report import sales_report
+
+    src = retail_fixture(spark)
+    target = staging_path(spark, "refresh-test")
+    full_refresh(spark, src, target, as_of=dt.date(2024, 12, 31))
+    star = read_star(spark, target)
+    register_views(star, prefix="rpt_")
+    sql = spark.sql("""
+        SELECT f.sales_key, f.order_id, f.order_line_id, o.full_date AS order_date,
+               s.full_date AS ship_date, c.full_name AS customer_name, st.order_status,
+               f.net_sales_amount
+        FROM rpt_fact_sales f
+        JOIN rpt_dim_date o ON o.date_key = f.order_date_key
+        LEFT JOIN rpt_dim_date s ON s.date_key = f.ship_date_key
+        JOIN rpt_dim_customer c ON c.customer_key = f.customer_key
+        JOIN rpt_dim_product p ON p.product_key = f.product_key
+        JOIN rpt_dim_geography g ON g.geography_key = f.geography_key
+        JOIN rpt_dim_order_status st ON st.order_status_key = f.order_status_key
+        ORDER BY f.order_id, f.order_line_id LIMIT 100""").collect()
+    api = sales_report(star["fact_sales"], star["dim_date"], star["dim_customer"],
+                       star["dim_product"], star["dim_geography"], star["dim_order_status"])
+    cols = ["sales_key", "order_id", "order_line_id", "order_date", "ship_date",
+            "customer_name", "order_status", "net_sales_amount"]
+    assert [tuple(r) for r in sql] == [tuple(r) for r in api.select(*cols).collect()]
