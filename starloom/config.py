@@ -44,8 +44,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="starloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return current
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
 
 
