@@ -18,13 +18,13 @@ in an arbitrary, run-dependent way.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.config import ensure_checkpoint_dir, shuffle_partitions
+from starloom.config import shuffle_partitions
+from starloom.sinks.staging import staging_path
 
 ColumnLike = Column | str
 
@@ -46,23 +46,6 @@ def ordered_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str) -> D
     return df.withColumn(name, F.row_number().over(w).cast("long"))
 
 
-def staging_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the session's checkpoint directory (shared storage)."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/starloom-staging/{label}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as Parquet under ``spark.checkpoint.dir`` and read it back.
-
-    Cuts the lineage (a lost executor re-reads committed files instead of
-    recomputing joins) and lets several plans share one computation.
-    """
-    path = staging_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def distributed_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str, *,
                     range_cols: Sequence[ColumnLike] | None = None,
                     num_partitions: int | None = None,

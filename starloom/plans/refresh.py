@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import stage
+from starloom.sinks.staging import drop_staging, stage, staging_mark
 from starloom.plans.calendar import calendar_covering, calendar_dimension
 from starloom.plans.dimensions import (
     customer_dimension,
@@ -56,6 +56,10 @@ def full_refresh(spark: SparkSession, src: RetailSource, target: str, *,
         uuid.uuid4().hex[:8]
     root = f"{target.rstrip('/')}/runs/{run_id}"
     counts: dict[str, int] = {}
+    # Build the source tables first (some have staged parts of their own), so
+    # that only this refresh's intermediates are dropped at the end.
+    src.tables()
+    mark = staging_mark()
 
     def path(name: str) -> str:
         return f"{root}/{name}"
@@ -89,6 +93,8 @@ def full_refresh(spark: SparkSession, src: RetailSource, target: str, *,
         [(run_id, i + 1, name, counts[name]) for i, name in enumerate(LOAD_ORDER)],
         "run_id string, load_order int, table_name string, rows_written long")
     report.coalesce(1).write.mode("overwrite").parquet(path(REPORT))
+    # The run is committed; the intermediates staged for it are not needed.
+    drop_staging(spark, mark)
     return spark.read.parquet(path(REPORT))
 
 

@@ -21,7 +21,8 @@ from starloom.operators.checks import (
     duplicate_keys,
     orphan_rows,
 )
-from starloom.operators.keys import distributed_key, resolve_key, stage, staging_path
+from starloom.operators.keys import distributed_key, resolve_key
+from starloom.sinks.staging import stage, staging_path
 from starloom.operators.running import running_totals
 from starloom.plans.calendar import calendar_covering
 from starloom.plans.dimensions import (

@@ -1,5 +1,6 @@
-"""Sinks: schema-conforming table writer with row counts."""
+"""Sinks: schema-conforming table writer with row counts, and staging folders."""
 
+from starloom.sinks.staging import drop_staging, stage, staging_mark, staging_path
 from starloom.sinks.writer import write_table
 
-__all__ = ["write_table"]
+__all__ = ["write_table", "drop_staging", "stage", "staging_mark", "staging_path"]

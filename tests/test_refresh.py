@@ -1,6 +1,6 @@
 import datetime as dt
 
-from starloom.operators.keys import staging_path
+from starloom.sinks.staging import staging_path
 from starloom.plans.refresh import full_refresh, latest_run, read_star
 from starloom.schemas import LOAD_ORDER, TARGET_TABLES
 from tests.fixtures import retail_fixture
