@@ -23,7 +23,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.config import shuffle_partitions
 from starloom.sinks.staging import staging_path
 
 ColumnLike = Column | str
@@ -68,10 +67,12 @@ def distributed_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str,
     the only thing that reaches the driver.
     """
     spark = df.sparkSession
-    n = num_partitions or shuffle_partitions(spark)
     order = _cols(order_cols)
-    ranged = (df.repartitionByRange(n, *_cols(range_cols or order_cols))
-              .sortWithinPartitions(*order))
+    by = _cols(range_cols or order_cols)
+    # Without an explicit count the exchange has spark.sql.shuffle.partitions
+    # ranges and AQE may merge neighbouring small ones, which keeps the order.
+    ranged = (df.repartitionByRange(num_partitions, *by) if num_partitions
+              else df.repartitionByRange(*by)).sortWithinPartitions(*order)
     if within is not None:
         ranged = within(ranged)
     path = staging_path(spark, name)

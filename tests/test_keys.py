@@ -59,3 +59,11 @@ def test_resolve_key_uses_current_rows_only(spark):
     facts = spark.createDataFrame([(10,), (11,), (12,)], "nat long")
     got = sorted(tuple(r) for r in resolve_key(facts, dim, [("nat", "nat")], "k").collect())
     assert got == [(10, 1), (11, 3)]
+
+
+def test_distributed_key_default_ranges_with_adaptive_merge(spark):
+    rows = [(i % 97, i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "a long, b long").repartition(4)
+    got = distributed_key(df, ["a", "b"], "k").select("a", "b", "k").collect()
+    exp = _expected(df, ["a", "b"])
+    assert all(exp[(r[0], r[1])] == r[2] for r in got) and len(got) == len(rows)
