@@ -67,3 +67,19 @@ def test_distributed_key_default_ranges_with_adaptive_merge(spark):
     got = distributed_key(df, ["a", "b"], "k").select("a", "b", "k").collect()
     exp = _expected(df, ["a", "b"])
     assert all(exp[(r[0], r[1])] == r[2] for r in got) and len(got) == len(rows)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 50)), min_size=1,
+                     max_size=200, unique=True),
+       parts=st.integers(1, 9))
+def test_distributed_key_property(spark, rows, parts):
+    df = spark.createDataFrame(rows, "a long, b long")
+    got = {(r.a, r.b): r.k for r in
+           distributed_key(df, ["a", "b"], "k", num_partitions=parts).collect()}
+    assert got == {ab: i + 1 for i, ab in enumerate(sorted(rows))}
