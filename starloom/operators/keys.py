@@ -97,6 +97,26 @@ def distributed_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str,
     return keyed.withColumn(name, key).drop("_sk_rid", "_sk_part", "_sk_offset")
 
 
+# Largest lookup that is broadcast after its size is checked.
+SMALL_LOOKUP_MAX_ROWS = 200_000
+
+
+def small_lookup(df: DataFrame, max_rows: int = SMALL_LOOKUP_MAX_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when it has at most ``max_rows`` rows.
+
+    The bound is proven with ``limit(max_rows + 1).count()``, a cheap job
+    that stops counting past the bound. Over the bound the frame is returned
+    unmarked and the planner picks a shuffle join (AQE splits skewed keys).
+    Use for lookups with few distinct keys (statuses, cities, brands): a
+    shuffle join on such a key would put huge groups of the large side into
+    a few tasks, and AQE only turns it into a broadcast after the large side
+    has already been shuffled.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
 def current_rows(dim: DataFrame) -> DataFrame:
     """Rows of a versioned dimension that are current (``is_current = 1``)."""
     if "is_current" in dim.columns:
@@ -105,13 +125,15 @@ def current_rows(dim: DataFrame) -> DataFrame:
 
 
 def resolve_key(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
-                key: str, *, keep: Sequence[str] = ()) -> DataFrame:
+                key: str, *, keep: Sequence[str] = (), small: bool = False) -> DataFrame:
     """Inner-join ``df`` to the current rows of ``dim`` and add ``dim.key``.
 
     ``on`` pairs a column of ``df`` with a natural-key column of ``dim``. Rows
     of ``df`` without a match are dropped, as an inner join does. ``keep``
-    names further ``dim`` columns to carry along. The planner picks the join
-    strategy from size statistics (and AQE from measured sizes at run time).
+    names further ``dim`` columns to carry along. With ``small`` the lookup
+    is broadcast after its size is checked (``small_lookup``); otherwise the
+    planner picks the join strategy from size statistics (and AQE from
+    measured sizes at run time).
     """
     wanted = [key, *keep]
     right_cols = [r for _, r in on]
@@ -122,5 +144,7 @@ def resolve_key(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
     for i, (left, _) in enumerate(on):
         term = F.col(left) == F.col(f"_rk_{i}")
         cond = term if cond is None else cond & term
+    if small:
+        lookup = small_lookup(lookup)
     joined = df.join(lookup, cond, "inner")
     return joined.drop(*[f"_rk_{i}" for i in range(len(on))])

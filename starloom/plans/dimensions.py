@@ -45,11 +45,13 @@ def age_band(date_of_birth: F.Column, as_of: dt.date | F.Column) -> F.Column:
 def _address_hops(src: RetailSource) -> list[Lookup]:
     """address -> city -> state -> country, starting from ``_city_id``."""
     return [
-        Lookup(src.city, "_city_id", "city_id", {"city_name": "city", "state_id": "_state_id"}),
+        Lookup(src.city, "_city_id", "city_id", {"city_name": "city", "state_id": "_state_id"},
+               small=True),
         Lookup(src.state, "_state_id", "state_id",
-               {"state_name": "state", "state_code": "state_code", "country_id": "_country_id"}),
+               {"state_name": "state", "state_code": "state_code", "country_id": "_country_id"},
+               small=True),
         Lookup(src.country, "_country_id", "country_id",
-               {"country_name": "country", "country_code": "country_code"}),
+               {"country_name": "country", "country_code": "country_code"}, small=True),
     ]
 
 
@@ -88,13 +90,15 @@ def product_dimension(src: RetailSource, *, effective_from: dt.date = FIRST_VERS
                               "warranty_months", "introduced_date")
     flat = flatten(base, [
         Lookup(src.brand, "brand_id", "brand_id",
-               {"brand_name": "brand", "country_id": "_brand_country_id"}),
+               {"brand_name": "brand", "country_id": "_brand_country_id"}, small=True),
         Lookup(src.country, "_brand_country_id", "country_id",
-               {"country_name": "brand_country"}),
+               {"country_name": "brand_country"}, small=True),
         Lookup(src.product_category, "category_id", "category_id",
-               {"category_name": "category"}),
-        Lookup(src.product_status, "status_id", "status_id", {"status_name": "product_status"}),
-        Lookup(src.unit_of_measure, "uom_id", "uom_id", {"uom_code": "unit_of_measure"}),
+               {"category_name": "category"}, small=True),
+        Lookup(src.product_status, "status_id", "status_id", {"status_name": "product_status"},
+               small=True),
+        Lookup(src.unit_of_measure, "uom_id", "uom_id", {"uom_code": "unit_of_measure"},
+               small=True),
     ])
     shaped = flat.select(
         "product_id", "sku", "product_name", "brand", "brand_country", "category",

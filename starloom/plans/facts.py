@@ -5,6 +5,8 @@ lookup is a join whose strategy the planner picks from sizes):
 
 1. ``customer_bridge``: current customers -> (customer_key, geography_key).
    The geography lookup is by city name + state code + country code.
+   Lookups are broadcast only after a size check (``small_lookup``); over
+   the bound they are shuffle joins and AQE splits skewed keys.
 2. orders join the bridge on ``customer_id``. This puts the customer lookup
    on the order table, which is several times smaller than the line table,
    instead of repeating it per line.
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key, days_between, nullable_date_key
 from starloom.functions.money import discount_amount, gross_amount, round_money
-from starloom.operators.keys import current_rows, distributed_key, resolve_key
+from starloom.operators.keys import current_rows, distributed_key, resolve_key, small_lookup
 from starloom.schemas import FACT_SALES, conform
 from starloom.sources.retail import RetailSource
 
@@ -33,8 +35,8 @@ def customer_bridge(dim_customer: DataFrame, dim_geography: DataFrame) -> DataFr
     """``customer_id -> customer_key, geography_key`` for current customers."""
     cur = current_rows(dim_customer).select("customer_id", "customer_key", "city",
                                             "state_code", "country_code")
-    return resolve_key(cur, dim_geography, GEOGRAPHY_NATURAL_KEY, "geography_key").select(
-        "customer_id", "customer_key", "geography_key")
+    return resolve_key(cur, dim_geography, GEOGRAPHY_NATURAL_KEY, "geography_key",
+                       small=True).select("customer_id", "customer_key", "geography_key")
 
 
 def keyed_lines(src: RetailSource, dim_customer: DataFrame, dim_product: DataFrame,
@@ -51,14 +53,17 @@ def keyed_lines(src: RetailSource, dim_customer: DataFrame, dim_product: DataFra
         line_cols.append("ship_date")
     else:
         order_cols.append("ship_date")
+    # Customers and products are broadcast only when a size check proves them
+    # small (a typical catalogue); at billions of rows they are shuffle joins.
     orders = src.sales_order.select(*order_cols).join(
-        customer_bridge(dim_customer, dim_geography), "customer_id", "inner")
+        small_lookup(customer_bridge(dim_customer, dim_geography)), "customer_id", "inner")
     # Lines x orders is the large x large join of the model: declare it a
     # sort-merge join so a compressed-file size estimate never turns the line
     # table into a broadcast (AQE still splits skewed partitions).
     lines = (src.sales_order_line.select(*line_cols).hint("merge")
              .join(orders, "order_id", "inner"))
-    return resolve_key(lines, dim_product, [("product_id", "product_id")], "product_key")
+    return resolve_key(lines, dim_product, [("product_id", "product_id")], "product_key",
+                       small=True)
 
 
 def line_measures(df: DataFrame) -> DataFrame:
@@ -87,7 +92,7 @@ def sales_fact(lines: DataFrame, dim_order_status: DataFrame, *,
                num_partitions: int | None = None) -> DataFrame:
     """``fact_sales`` from ``keyed_lines``: one row per order line, 18 columns."""
     with_status = resolve_key(lines, dim_order_status, [("order_status", "order_status")],
-                              "order_status_key")
+                              "order_status_key", small=True)
     measured = line_measures(with_status)
     keyed = distributed_key(measured, ["order_line_id"], "sales_key",
                             num_partitions=num_partitions)

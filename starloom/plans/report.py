@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.keys import small_lookup
+
 REPORT_ORDER = ("order_id", "order_line_id")
 # Spark's top-k keeps m rows per input partition and merges them in one task;
 # the candidate step runs only while partitions x m stays under this many rows
@@ -61,9 +63,13 @@ def _star(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
                                F.col("country").alias("ship_country"))
     status = dim_order_status.select(F.col("order_status_key").alias("_s_key"), "order_status")
 
+    if not small_fact:
+        # Few-key lookups: broadcast after a size check, so the fact is never
+        # shuffled onto a handful of dates, cities or statuses.
+        ord_dates, geo, status = (small_lookup(d) for d in (ord_dates, geo, status))
     j = side(f).join(ord_dates, F.col("order_date_key") == F.col("_od_key"), "inner")
-    # The calendar is small; it is the build side of the outer join.
-    j = j.join(F.broadcast(shp_dates), F.col("ship_date_key") == F.col("_sd_key"), "left")
+    # Left outer join: only the calendar side can be the broadcast side.
+    j = j.join(small_lookup(shp_dates), F.col("ship_date_key") == F.col("_sd_key"), "left")
     j = side(j).join(cust, F.col("customer_key") == F.col("_c_key"), "inner")
     j = side(j).join(prod, F.col("product_key") == F.col("_p_key"), "inner")
     j = side(j).join(geo, F.col("geography_key") == F.col("_g_key"), "inner")

@@ -171,7 +171,8 @@ def monthly_snapshot_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lines_with_brand_state(m: Model) -> DataFrame:
     lines = resolve_key(m.lines, m.dim_product, [("product_key", "product_key")], "brand")
-    return resolve_key(lines, m.dim_geography, [("geography_key", "geography_key")], "state")
+    return resolve_key(lines, m.dim_geography, [("geography_key", "geography_key")], "state",
+                       small=True)
 
 
 def monthly_snapshot_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +187,7 @@ def running_ytd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U13: monthly line counts, quantity and net per state with year-to-date sums."""
     m = Model(spark, sf_dir)
     lines = resolve_key(m.lines, m.dim_geography, [("geography_key", "geography_key")],
-                        "state")
+                        "state", small=True)
     monthly = monthly_aggregate(lines, ["state"])
     ytd = running_totals(monthly, ["state", "year_number"], "month_number", {
         "ytd_order_count": "order_count",
