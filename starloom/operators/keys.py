@@ -97,22 +97,26 @@ def distributed_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str,
     return keyed.withColumn(name, key).drop("_sk_rid", "_sk_part", "_sk_offset")
 
 
-# Largest lookup that is broadcast after its size is checked.
-SMALL_LOOKUP_MAX_ROWS = 200_000
+# Largest lookup that is broadcast after its size is checked (narrow lookup
+# rows: about Spark's default 10 MB broadcast threshold).
+SMALL_LOOKUP_MAX_ROWS = 100_000
 
 
 def small_lookup(df: DataFrame, max_rows: int = SMALL_LOOKUP_MAX_ROWS) -> DataFrame:
     """``df`` marked for broadcast when it has at most ``max_rows`` rows.
 
-    The bound is proven with ``limit(max_rows + 1).count()``, a cheap job
-    that stops counting past the bound. Over the bound the frame is returned
-    unmarked and the planner picks a shuffle join (AQE splits skewed keys).
+    The bound is proven by taking at most ``max_rows + 1`` rows of a single
+    literal column: ``take`` scans partitions incrementally and stops once it
+    has enough, so a huge table costs a few partitions, not a full pass, and
+    at most ``max_rows + 1`` one-integer rows reach the driver. Over the bound
+    the frame is returned unmarked and the planner picks a shuffle join (AQE
+    splits skewed keys).
     Use for lookups with few distinct keys (statuses, cities, brands): a
     shuffle join on such a key would put huge groups of the large side into
     a few tasks, and AQE only turns it into a broadcast after the large side
     has already been shuffled.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows:
         return F.broadcast(df)
     return df
 

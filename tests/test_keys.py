@@ -83,3 +83,24 @@ def test_distributed_key_property(spark, rows, parts):
     got = {(r.a, r.b): r.k for r in
            distributed_key(df, ["a", "b"], "k", num_partitions=parts).collect()}
     assert got == {ab: i + 1 for i, ab in enumerate(sorted(rows))}
+
+
+def test_small_lookup_broadcasts_only_under_the_bound(spark):
+    import io
+    from contextlib import redirect_stdout
+
+    from starloom.operators.keys import small_lookup
+
+    def join_plan(lookup):
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            spark.range(1000).join(lookup, "id").explain()
+        return buf.getvalue()
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in join_plan(small_lookup(spark.range(10), max_rows=10))
+        assert "BroadcastHashJoin" not in join_plan(small_lookup(spark.range(50), max_rows=10))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
