@@ -11,6 +11,9 @@ from starloom.operators.flatten import Lookup, flatten
 from starloom.operators.keys import (
     current_rows,
     distributed_key,
+    has_at_most,
+    small_lookup,
+    surrogate_key,
     ordered_key,
     resolve_key,
 )
@@ -19,6 +22,7 @@ from starloom.operators.versioning import initial_version
 
 __all__ = [
     "column_profile", "declared_key_violations", "duplicate_keys", "orphan_rows", "profile_violations", "Lookup",
-    "flatten", "current_rows", "distributed_key", "ordered_key", "resolve_key",
+    "flatten", "current_rows", "distributed_key", "has_at_most", "small_lookup",
+    "surrogate_key", "ordered_key", "resolve_key",
     "running_totals", "initial_version",
 ]

@@ -1,10 +1,11 @@
 """Surrogate keys and key resolution.
 
-Two ways to number rows 1..N in a total order:
+Two ways to number rows 1..N in a total order, and ``surrogate_key`` to pick
+between them after a size check:
 
 * ``ordered_key`` - ``row_number()`` over an un-partitioned window. Spark moves
-  every row into one task for it, so it is only for lookups whose size is
-  bounded by construction (order statuses, geography, categories).
+  every row into one task for it, so it is only for inputs whose size has
+  been checked (``surrogate_key``) or is tiny by construction.
 * ``distributed_key`` - range-partition on the order, sort inside each
   partition, number rows locally, then add the row count of all earlier
   partitions. Work is spread over ``num_partitions`` tasks; the only
@@ -100,23 +101,52 @@ def distributed_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str,
 # Largest lookup that is broadcast after its size is checked (narrow lookup
 # rows: about Spark's default 10 MB broadcast threshold).
 SMALL_LOOKUP_MAX_ROWS = 100_000
+# Largest input numbered by the single-task window after its size is checked.
+SINGLE_TASK_MAX_ROWS = 100_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Takes at most ``max_rows + 1`` rows of a single literal column: ``take``
+    scans partitions incrementally and stops once it has enough, so a huge
+    table costs a few partitions, not a full pass, and at most
+    ``max_rows + 1`` one-integer rows reach the driver. Cheap for scans; on a
+    plan with shuffles the shuffle stages run in full.
+    """
+    return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
+
+
+def surrogate_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str, *,
+                  bound_by: DataFrame | None = None,
+                  max_single_task_rows: int | None = None,
+                  **distributed: object) -> DataFrame:
+    """Dense key 1..N: one task when the input is proven small, else distributed.
+
+    ``bound_by`` is a cheap frame (a table scan) with at least as many rows
+    as ``df`` - for a dimension built by inner joins to unique parent keys,
+    its base table - so the size check never computes ``df``'s joins. Without
+    it ``df`` itself is checked. Both paths give the same numbering.
+    """
+    limit = SINGLE_TASK_MAX_ROWS if max_single_task_rows is None else max_single_task_rows
+    if has_at_most(bound_by if bound_by is not None else df, limit):
+        return ordered_key(df, order_cols, name)
+    return distributed_key(df, order_cols, name, **distributed)
 
 
 def small_lookup(df: DataFrame, max_rows: int = SMALL_LOOKUP_MAX_ROWS) -> DataFrame:
     """``df`` marked for broadcast when it has at most ``max_rows`` rows.
 
-    The bound is proven by taking at most ``max_rows + 1`` rows of a single
-    literal column: ``take`` scans partitions incrementally and stops once it
-    has enough, so a huge table costs a few partitions, not a full pass, and
-    at most ``max_rows + 1`` one-integer rows reach the driver. Over the bound
-    the frame is returned unmarked and the planner picks a shuffle join (AQE
-    splits skewed keys).
+    The bound is proven with ``has_at_most`` (an incremental ``take`` of at
+    most ``max_rows + 1`` one-integer rows). Over the bound the frame is
+    returned unmarked and the planner picks a shuffle join (AQE splits
+    skewed keys).
     Use for lookups with few distinct keys (statuses, cities, brands): a
     shuffle join on such a key would put huge groups of the large side into
     a few tasks, and AQE only turns it into a broadcast after the large side
     has already been shuffled.
     """
-    if len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows:
+    if has_at_most(df, max_rows):
         return F.broadcast(df)
     return df
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import calendar_year_boundaries
 from starloom.functions.text import join_names
 from starloom.operators.flatten import Lookup, flatten
-from starloom.operators.keys import distributed_key, ordered_key
+from starloom.operators.keys import surrogate_key
 from starloom.operators.versioning import initial_version
 from starloom.schemas import (
     DIM_CUSTOMER,
@@ -60,8 +60,9 @@ def customer_dimension(src: RetailSource, as_of: dt.date, *,
                        num_partitions: int | None = None) -> DataFrame:
     """``dim_customer``: customers flattened through address, city, state, country.
 
-    ``customer_key`` numbers customers 1..N by ``customer_id`` with the
-    distributed key, so the customer table is never gathered into one task.
+    ``customer_key`` numbers customers 1..N by ``customer_id``: in one task
+    when the customer table is proven small, else with the distributed key,
+    so a large customer table is never gathered into one task.
     """
     base = src.customer.select("customer_id", "first_name", "last_name", "email", "phone",
                                "date_of_birth", "address_id")
@@ -76,8 +77,9 @@ def customer_dimension(src: RetailSource, as_of: dt.date, *,
         "email", "phone", "date_of_birth",
         age_band(F.col("date_of_birth"), as_of).alias("age_band"),
         "city", "state", "state_code", "country", "country_code", "postal_code")
-    keyed = distributed_key(shaped, ["customer_id"], "customer_key",
-                            num_partitions=num_partitions)
+    # Inner joins to unique parent keys: at most one row per source customer.
+    keyed = surrogate_key(shaped, ["customer_id"], "customer_key", bound_by=src.customer,
+                          num_partitions=num_partitions)
     return conform(initial_version(keyed, effective_from), DIM_CUSTOMER)
 
 
@@ -105,8 +107,8 @@ def product_dimension(src: RetailSource, *, effective_from: dt.date = FIRST_VERS
         "product_status", "unit_of_measure",
         F.col("unit_price").alias("current_unit_price"),
         "weight_kg", "warranty_months", "introduced_date")
-    keyed = distributed_key(shaped, ["product_id"], "product_key",
-                            num_partitions=num_partitions)
+    keyed = surrogate_key(shaped, ["product_id"], "product_key", bound_by=src.product,
+                          num_partitions=num_partitions)
     return conform(initial_version(keyed, effective_from), DIM_PRODUCT)
 
 
@@ -114,13 +116,14 @@ def geography_dimension(src: RetailSource) -> DataFrame:
     """``dim_geography``: one row per city, keyed by country, state, city name.
 
     ``city_id`` breaks ties between equally named cities of one state so the
-    key is deterministic. The row count is the number of cities, which does
-    not grow with sales volume, so the key is computed in one task.
+    key is deterministic. The row count is at most the number of cities; the
+    key runs in one task when that is proven small, else distributed.
     """
     base = src.city.select("city_id", F.col("city_name").alias("city"),
                            F.col("state_id").alias("_state_id"))
     flat = flatten(base, _address_hops(src)[1:])
-    keyed = ordered_key(flat, ["country", "state", "city", "city_id"], "geography_key")
+    keyed = surrogate_key(flat, ["country", "state", "city", "city_id"], "geography_key",
+                          bound_by=src.city)
     return conform(keyed, DIM_GEOGRAPHY)
 
 
@@ -131,5 +134,5 @@ def order_status_dimension(src: RetailSource) -> DataFrame:
     values cross the shuffle whatever the order count.
     """
     statuses = src.sales_order.select("order_status").distinct()
-    return conform(ordered_key(statuses, ["order_status"], "order_status_key"),
+    return conform(surrogate_key(statuses, ["order_status"], "order_status_key"),
                    DIM_ORDER_STATUS)

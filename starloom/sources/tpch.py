@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.money import discount_amount, gross_amount
-from starloom.operators.keys import distributed_key, ordered_key
+from starloom.operators.keys import distributed_key, surrogate_key
 from starloom.sources.readers import read_table
 from starloom.sources.retail import RetailSource
 
@@ -75,10 +75,10 @@ def retail_from_frames(spark: SparkSession, region: DataFrame, nation: DataFrame
         F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("state_code"),
         F.col("n_regionkey").cast("long").alias("country_id"))
 
-    # Cities: bounded by nations x market segments, so a one-task key is fine.
+    # Cities: one per nation x market segment present.
     city_names = customer.select(F.col("c_nationkey").cast("long").alias("state_id"),
                                  F.col("c_mktsegment").alias("city_name")).distinct()
-    city = ordered_key(city_names, ["state_id", "city_name"], "city_id").select(
+    city = surrogate_key(city_names, ["state_id", "city_name"], "city_id").select(
         "city_id", "city_name", "state_id")
 
     address = customer.join(
@@ -101,9 +101,9 @@ def retail_from_frames(spark: SparkSession, region: DataFrame, nation: DataFrame
         F.col("c_custkey").cast("long").alias("address_id"),
         F.lit("1995-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"))
 
-    category = ordered_key(part.select(F.col("p_type").alias("category_name")).distinct(),
-                           ["category_name"], "category_id").select("category_id",
-                                                                    "category_name")
+    category = surrogate_key(part.select(F.col("p_type").alias("category_name")).distinct(),
+                             ["category_name"], "category_id").select("category_id",
+                                                                      "category_name")
     brand = part.select("p_brand").distinct().select(
         F.split_part("p_brand", F.lit("#"), F.lit(2)).cast("long").alias("brand_id"),
         F.col("p_brand").alias("brand_name"),

@@ -104,3 +104,26 @@ def test_small_lookup_broadcasts_only_under_the_bound(spark):
         assert "BroadcastHashJoin" not in join_plan(small_lookup(spark.range(50), max_rows=10))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_dimensions_identical_on_both_key_paths(spark, monkeypatch):
+    import datetime as dt
+
+    import starloom.operators.keys as keys
+    from starloom.plans.dimensions import (
+        customer_dimension,
+        geography_dimension,
+        order_status_dimension,
+        product_dimension,
+    )
+    from starloom.sources.tpch import retail_from_tpch
+
+    def build():
+        src = retail_from_tpch(spark, "/root/testdata/sf0.001")
+        return [sorted(map(tuple, d.collect())) for d in (
+            customer_dimension(src, dt.date(2024, 12, 31)), product_dimension(src),
+            geography_dimension(src), order_status_dimension(src))]
+
+    single = build()
+    monkeypatch.setattr(keys, "SINGLE_TASK_MAX_ROWS", 0)   # force the distributed path
+    assert build() == single
