@@ -29,7 +29,7 @@ from starloom.plans.dimensions import (
 )
 from starloom.plans.facts import keyed_lines, sales_fact
 from starloom.plans.snapshot import sales_monthly_snapshot
-from starloom.schemas import LOAD_ORDER, TARGET_TABLES
+from starloom.schemas import LOAD_ORDER, TARGET_TABLES, conform
 from starloom.sinks.writer import write_table
 from starloom.sources.retail import RetailSource
 
@@ -111,11 +111,16 @@ def latest_run(spark: SparkSession, target: str) -> str | None:
 
 
 def read_star(spark: SparkSession, target: str, *, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """The seven tables of the newest complete run."""
+    """The seven tables of the newest complete run, columns in declared order.
+
+    (A partitioned table reads back with its partition columns last and their
+    types inferred from folder names; ``conform`` restores both.)
+    """
     run = latest_run(spark, target)
     if run is None:
         raise FileNotFoundError(f"no complete run under {target}")
-    return {name: spark.read.format(fmt).load(f"{run}/{name}") for name in LOAD_ORDER}
+    return {name: conform(spark.read.format(fmt).load(f"{run}/{name}"), TARGET_TABLES[name])
+            for name in LOAD_ORDER}
 
 
 def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:

@@ -67,3 +67,17 @@ def test_star_views_answer_sql(spark):
     cols = ["sales_key", "order_id", "order_line_id", "order_date", "ship_date",
             "customer_name", "order_status", "net_sales_amount"]
     assert [tuple(r) for r in sql] == [tuple(r) for r in api.select(*cols).collect()]
+
+
+def test_fact_partitioned_by_order_date(spark):
+    src = retail_fixture(spark)
+    target = staging_path(spark, "refresh-test")
+    full_refresh(spark, src, target, as_of=dt.date(2024, 12, 31),
+                 fact_partition_by=("order_date_key",))
+    fact = read_star(spark, target)["fact_sales"]
+    assert fact.columns == TARGET_TABLES["fact_sales"].columns
+    assert fact.count() == 5
+    assert sorted(r.order_date_key for r in fact.select("order_date_key").distinct().collect()) \
+        == [20231231, 20240115, 20240120, 20240229]
+    # a date filter prunes to one folder
+    assert fact.where("order_date_key = 20240115").count() == 2
