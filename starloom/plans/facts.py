@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import date_key, days_between, nullable_date_key
 from starloom.functions.money import discount_amount, gross_amount, round_money
 from starloom.operators.keys import current_rows, distributed_key, resolve_key, small_lookup
-from starloom.schemas import FACT_SALES, conform
+from starloom.schemas import FACT_SALES, MONEY, conform
 from starloom.sources.retail import RetailSource
 
 GEOGRAPHY_NATURAL_KEY = (("city", "city"), ("state_code", "state_code"),
@@ -69,8 +69,9 @@ def keyed_lines(src: RetailSource, dim_customer: DataFrame, dim_product: DataFra
 def line_measures(df: DataFrame) -> DataFrame:
     """Date keys, gross / discount / net amounts and days to ship for each line.
 
-    Gross and discount are rounded per line; net is the source line total
-    passed through, never recomputed from gross and discount.
+    Gross and discount are rounded per line to the fact's ``decimal(10,2)``
+    (a value that does not fit raises under ANSI mode); net is the source line
+    total passed through, never recomputed from gross and discount.
     """
     shipped = F.col("ship_date").isNotNull()
     return df.select(
@@ -78,8 +79,9 @@ def line_measures(df: DataFrame) -> DataFrame:
         date_key("order_date").alias("order_date_key"),
         nullable_date_key("ship_date").alias("ship_date_key"),
         round_money(discount_amount("unit_price", "quantity", "discount_pct"))
-        .alias("discount_amount"),
-        round_money(gross_amount("unit_price", "quantity")).alias("gross_sales_amount"),
+        .cast(MONEY).alias("discount_amount"),
+        round_money(gross_amount("unit_price", "quantity")).cast(MONEY)
+        .alias("gross_sales_amount"),
         F.col("line_total").alias("net_sales_amount"),
         F.lit(None).cast("decimal(10,2)").alias("cost_amount"),
         F.lit(None).cast("decimal(10,2)").alias("gross_margin_amount"),

@@ -32,11 +32,18 @@ def con():
     return c
 
 
+_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "string": "VARCHAR",
+         "date": "DATE", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     sdf = entry.queries()[name](spark, SF)
     rel = con.sql(entry.oracle_sql()[name])
     assert sdf.columns == rel.columns
+    spark_types = [_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+                   for f in sdf.schema.fields]
+    assert spark_types == [str(t) for t in rel.types]
     got = Counter(tuple(_norm(v) for v in r) for r in sdf.collect())
     exp = Counter(tuple(_norm(v) for v in r) for r in rel.fetchall())
     assert got == exp
