@@ -9,7 +9,13 @@ from starloom.plans.dimensions import (
     product_dimension,
 )
 from starloom.plans.facts import customer_bridge, keyed_lines, line_measures, sales_fact
-from starloom.plans.refresh import full_refresh, latest_run, read_star, register_views
+from starloom.plans.refresh import (
+    full_refresh,
+    latest_run,
+    publish_run,
+    read_star,
+    register_views,
+)
 from starloom.plans.report import sales_report
 from starloom.plans.snapshot import monthly_aggregate, monthly_snapshot, sales_monthly_snapshot
 
@@ -17,5 +23,5 @@ __all__ = [
     "calendar_columns", "calendar_covering", "calendar_dimension", "age_band",
     "customer_dimension", "geography_dimension", "order_status_dimension",
     "product_dimension", "customer_bridge", "keyed_lines", "line_measures", "sales_fact",
-    "full_refresh", "latest_run", "read_star", "register_views", "sales_report", "monthly_aggregate", "monthly_snapshot", "sales_monthly_snapshot",
+    "full_refresh", "latest_run", "publish_run", "read_star", "register_views", "sales_report", "monthly_aggregate", "monthly_snapshot", "sales_monthly_snapshot",
 ]

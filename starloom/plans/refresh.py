@@ -29,7 +29,7 @@ from starloom.plans.dimensions import (
 )
 from starloom.plans.facts import keyed_lines, sales_fact
 from starloom.plans.snapshot import sales_monthly_snapshot
-from starloom.schemas import LOAD_ORDER, TARGET_TABLES, conform
+from starloom.schemas import LOAD_ORDER, TARGET_TABLES, conform, create_table_sql
 from starloom.sinks.writer import write_table
 from starloom.sources.retail import RetailSource
 
@@ -130,3 +130,22 @@ def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
         df.createOrReplaceTempView(prefix + name)
         names.append(prefix + name)
     return names
+
+
+def publish_run(spark: SparkSession, run_folder: str, database: str, *,
+                fmt: str = "parquet") -> list[str]:
+    """Point catalog tables ``<database>.<table>`` at the tables of ``run_folder``.
+
+    Each table is dropped and re-created as an external table over the run's
+    folder (dropping an external table leaves its files alone), so publishing
+    a newer run swaps the catalog over table by table while the files of both
+    runs stay intact. The database must exist.
+    """
+    names = []
+    for name in LOAD_ORDER:
+        qualified = f"{database}.{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+        spark.sql(create_table_sql(TARGET_TABLES[name], qualified, f"{run_folder}/{name}",
+                                   fmt))
+        names.append(qualified)
+    return names

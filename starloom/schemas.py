@@ -285,3 +285,18 @@ def conform(df: DataFrame, table: Table) -> DataFrame:
         raise ValueError(f"{table.name}: missing columns {missing}")
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name)
                       for f in table.schema.fields])
+
+
+def create_table_sql(table: Table, qualified_name: str, location: str | None = None,
+                     fmt: str = "parquet") -> str:
+    """``CREATE TABLE`` statement for ``table`` (Spark SQL, external when ``location``).
+
+    Character columns are declared ``STRING``: a declared width is checked by
+    ``operators.checks.column_profile`` and reported, not enforced on write
+    (an over-wide value must not fail the load). NOT NULL is kept in the DDL.
+    """
+    cols = ",\n  ".join(
+        f"{f.name} {f.dataType.simpleString().upper()}{'' if f.nullable else ' NOT NULL'}"
+        for f in table.schema.fields)
+    where = f"\nLOCATION '{location}'" if location else ""
+    return f"CREATE TABLE {qualified_name} (\n  {cols}\n) USING {fmt}{where}"

@@ -81,3 +81,22 @@ def test_fact_partitioned_by_order_date(spark):
         == [20231231, 20240115, 20240120, 20240229]
     # a date filter prunes to one folder
     assert fact.where("order_date_key = 20240115").count() == 2
+
+
+def test_publish_run_to_catalog(spark):
+    from starloom.plans.refresh import publish_run
+
+    src = retail_fixture(spark)
+    target = staging_path(spark, "refresh-test")
+    full_refresh(spark, src, target, as_of=dt.date(2024, 12, 31))
+    db_path = staging_path(spark, "catalog-db")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS starloom_rpt LOCATION '{db_path}'")
+    publish_run(spark, latest_run(spark, target), "starloom_rpt")
+    assert spark.table("starloom_rpt.fact_sales").count() == 5
+    assert spark.table("starloom_rpt.dim_customer").columns == TARGET_TABLES[
+        "dim_customer"].columns
+    got = spark.sql("SELECT count(*) FROM starloom_rpt.fact_sales f "
+                    "JOIN starloom_rpt.dim_order_status s "
+                    "ON s.order_status_key = f.order_status_key "
+                    "WHERE s.order_status = 'Open'").first()[0]
+    assert got == 1
