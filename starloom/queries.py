@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions.dates import date_key
 from starloom.operators.checks import (
     column_profile,
     declared_key_violations,
@@ -327,4 +326,4 @@ QUERIES: dict[str, Query] = {
     "star_integrity": star_integrity,
 }
 
-__all__ = ["QUERIES", "Model", "AS_OF", "date_key"]
+__all__ = ["QUERIES", "Model", "AS_OF"]
