@@ -64,9 +64,11 @@ def _star(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
     status = dim_order_status.select(F.col("order_status_key").alias("_s_key"), "order_status")
 
     if not small_fact:
-        # Few-key lookups: broadcast after a size check, so the fact is never
-        # shuffled onto a handful of dates, cities or statuses.
-        ord_dates, geo, status = (small_lookup(d) for d in (ord_dates, geo, status))
+        # Broadcast after a size check: the fact is never shuffled onto a
+        # handful of dates, cities or statuses, nor shuffled at all when the
+        # customer or product dimension is a normal-sized catalogue.
+        ord_dates, cust, prod, geo, status = (
+            small_lookup(d) for d in (ord_dates, cust, prod, geo, status))
     j = side(f).join(ord_dates, F.col("order_date_key") == F.col("_od_key"), "inner")
     # Left outer join: only the calendar side can be the broadcast side.
     j = j.join(small_lookup(shp_dates), F.col("ship_date_key") == F.col("_sd_key"), "left")
