@@ -56,13 +56,15 @@ src_brand AS (
 src_status AS (
   SELECT * FROM (VALUES (1, 'Active'), (2, 'Seasonal'), (3, 'Discontinued'))
          AS t(status_id, status_name)),
-src_uom AS (SELECT 1 AS uom_id, 'EA' AS uom_code, 'Each' AS uom_desc),
+src_uom AS (
+  SELECT * FROM (VALUES (1, 'EA', 'Each'), (2, 'BX', 'Box')) AS t(uom_id, uom_code, uom_desc)),
 src_product AS (
   SELECT CAST(p_partkey AS BIGINT) AS product_id, 'SKU-' || CAST(p_partkey AS VARCHAR) AS sku,
          p_name AS product_name, CAST(split_part(p_brand, '#', 2) AS BIGINT) AS brand_id,
          cat.category_id,
          CASE WHEN p_size <= 40 THEN 1 WHEN p_size <= 45 THEN 2 ELSE 3 END AS status_id,
-         CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price, 1 AS uom_id,
+         CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price,
+         CASE WHEN p_size <= 25 THEN 1 ELSE 2 END AS uom_id,
          CAST(p_size AS DECIMAL(8,3)) AS weight_kg, CAST(NULL AS SMALLINT) AS warranty_months,
          CAST(NULL AS DATE) AS introduced_date
   FROM part JOIN src_category cat ON cat.category_name = p_type),

@@ -16,7 +16,7 @@ theirs):
 * brand    <- distinct p_brand: id = number after '#', country = id mod 5.
 * product_category <- distinct p_type.
 * product_status   <- banded p_size.
-* unit_of_measure  <- a single unit for every part.
+* unit_of_measure  <- banded p_size (each / box).
 * product  <- part: unit price = p_retailprice, weight = p_size.
 * sales_order      <- orders (order date = o_orderdate).
 * sales_order_line <- lineitem: order_line_id = dense rank over all lineitem
@@ -40,8 +40,8 @@ TPCH_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
 # Fixed values of the test-data mapping.
 # Product status by part size: size <= 40 Active, <= 45 Seasonal, else Discontinued.
 STATUS_BANDS = ((1, "Active", 40), (2, "Seasonal", 45), (3, "Discontinued", None))
-# The one unit of measure: id 1, code EA, description Each.
-UNIT = (1, "EA", "Each")
+# Unit of measure by part size: size <= 25 is sold each (1, EA, Each), larger by the box (2, BX, Box).
+UNIT_BANDS = ((1, "EA", "Each", 25), (2, "BX", "Box", None))
 EMAIL_DOMAIN = "@example.com"
 # Lineitem columns that together identify a line (whole rows are distinct).
 LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
@@ -108,7 +108,10 @@ def retail_from_frames(spark: SparkSession, region: DataFrame, nation: DataFrame
         F.split_part("p_brand", F.lit("#"), F.lit(2)).cast("long").alias("brand_id"),
         F.col("p_brand").alias("brand_name"),
         (F.split_part("p_brand", F.lit("#"), F.lit(2)).cast("long") % 5).alias("country_id"))
-    uom = spark.createDataFrame([UNIT], "uom_id long, uom_code string, uom_desc string")
+    uom = spark.createDataFrame([(i, c, d) for i, c, d, _ in UNIT_BANDS],
+                                "uom_id long, uom_code string, uom_desc string")
+    uom_id = F.when(F.col("p_size") <= UNIT_BANDS[0][3], F.lit(UNIT_BANDS[0][0])).otherwise(
+        F.lit(UNIT_BANDS[1][0]))
     status = spark.createDataFrame([(i, n) for i, n, _ in STATUS_BANDS],
                                    "status_id long, status_name string")
     status_id = F.lit(STATUS_BANDS[-1][0])
@@ -123,7 +126,7 @@ def retail_from_frames(spark: SparkSession, region: DataFrame, nation: DataFrame
         "category_id",
         status_id.cast("long").alias("status_id"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"),
-        F.lit(UNIT[0]).cast("long").alias("uom_id"),
+        uom_id.cast("long").alias("uom_id"),
         F.col("p_size").cast("decimal(8,3)").alias("weight_kg"),
         F.lit(None).cast("smallint").alias("warranty_months"),
         F.lit(None).cast("date").alias("introduced_date"))
