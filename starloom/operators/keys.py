@@ -24,6 +24,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.bounds import keep_bound, known_rows_at_most, mark_rows_at_most  # noqa: F401
 from starloom.sinks.staging import staging_path
 
 ColumnLike = Column | str
@@ -114,6 +115,9 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     ``max_rows + 1`` one-integer rows reach the driver. Cheap for scans; on a
     plan with shuffles the shuffle stages run in full.
     """
+    known = known_rows_at_most(df)
+    if known is not None and known <= max_rows:
+        return True
     return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
 
 
@@ -130,7 +134,8 @@ def surrogate_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str, *,
     """
     limit = SINGLE_TASK_MAX_ROWS if max_single_task_rows is None else max_single_task_rows
     if has_at_most(bound_by if bound_by is not None else df, limit):
-        return ordered_key(df, order_cols, name)
+        # The bound is recorded, so lookups of the result need no second check.
+        return mark_rows_at_most(ordered_key(df, order_cols, name), limit)
     return distributed_key(df, order_cols, name, **distributed)
 
 
@@ -174,6 +179,7 @@ def resolve_key(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
     lookup = current_rows(dim).select(
         *[F.col(r).alias(f"_rk_{i}") for i, r in enumerate(right_cols)],
         *[F.col(c) for c in wanted])
+    keep_bound(dim, lookup)   # a filter and a projection keep the bound
     cond = None
     for i, (left, _) in enumerate(on):
         term = F.col(left) == F.col(f"_rk_{i}")

@@ -8,12 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key, iso_day_of_week, monday_week_of_year
+from starloom.bounds import mark_rows_at_most
 from starloom.schemas import DIM_DATE, conform
 
-# Largest calendar that is broadcast to join partners (about 2,700 years).
-MAX_CALENDAR_DAYS = 1_000_000
-
-
 def calendar_dimension(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """One row per day from ``start`` to ``end`` inclusive, 18 columns.
 
@@ -25,7 +22,7 @@ def calendar_dimension(spark: SparkSession, start: dt.date, end: dt.date) -> Dat
     n = (end - start).days + 1
     days = spark.range(n).select(
         F.date_add(F.lit(start), F.col("id").cast("int")).alias("full_date"))
-    return calendar_columns(days)
+    return mark_rows_at_most(calendar_columns(days), n)
 
 
 def calendar_covering(*dates: Column, source: DataFrame) -> DataFrame:

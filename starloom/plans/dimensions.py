@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.bounds import keep_bound
 from starloom.functions.dates import calendar_year_boundaries
 from starloom.functions.text import join_names
 from starloom.operators.flatten import Lookup, flatten
@@ -80,7 +81,7 @@ def customer_dimension(src: RetailSource, as_of: dt.date, *,
     # Inner joins to unique parent keys: at most one row per source customer.
     keyed = surrogate_key(shaped, ["customer_id"], "customer_key", bound_by=src.customer,
                           num_partitions=num_partitions)
-    return conform(initial_version(keyed, effective_from), DIM_CUSTOMER)
+    return conform(keep_bound(keyed, initial_version(keyed, effective_from)), DIM_CUSTOMER)
 
 
 def product_dimension(src: RetailSource, *, effective_from: dt.date = FIRST_VERSION_FROM,
@@ -109,7 +110,7 @@ def product_dimension(src: RetailSource, *, effective_from: dt.date = FIRST_VERS
         "weight_kg", "warranty_months", "introduced_date")
     keyed = surrogate_key(shaped, ["product_id"], "product_key", bound_by=src.product,
                           num_partitions=num_partitions)
-    return conform(initial_version(keyed, effective_from), DIM_PRODUCT)
+    return conform(keep_bound(keyed, initial_version(keyed, effective_from)), DIM_PRODUCT)
 
 
 def geography_dimension(src: RetailSource) -> DataFrame:

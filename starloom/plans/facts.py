@@ -21,9 +21,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.bounds import keep_bound
 from starloom.functions.dates import date_key, days_between, nullable_date_key
 from starloom.functions.money import discount_amount, gross_amount, round_money
-from starloom.operators.keys import current_rows, distributed_key, resolve_key, small_lookup
+from starloom.operators.keys import (
+    current_rows,
+    distributed_key,
+    resolve_key,
+    small_lookup,
+)
 from starloom.schemas import FACT_SALES, MONEY, conform
 from starloom.sources.retail import RetailSource
 
@@ -35,8 +41,10 @@ def customer_bridge(dim_customer: DataFrame, dim_geography: DataFrame) -> DataFr
     """``customer_id -> customer_key, geography_key`` for current customers."""
     cur = current_rows(dim_customer).select("customer_id", "customer_key", "city",
                                             "state_code", "country_code")
-    return resolve_key(cur, dim_geography, GEOGRAPHY_NATURAL_KEY, "geography_key",
-                       small=True).select("customer_id", "customer_key", "geography_key")
+    bridge = resolve_key(cur, dim_geography, GEOGRAPHY_NATURAL_KEY, "geography_key",
+                         small=True).select("customer_id", "customer_key", "geography_key")
+    # An inner lookup by a unique key cannot add rows: the customers' bound holds.
+    return keep_bound(dim_customer, bridge)
 
 
 def keyed_lines(src: RetailSource, dim_customer: DataFrame, dim_product: DataFrame,

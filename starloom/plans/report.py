@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.bounds import keep_bound
 from starloom.operators.keys import small_lookup
 
 REPORT_ORDER = ("order_id", "order_line_id")
@@ -46,22 +47,21 @@ def _star(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
                     "geography_key", "order_status_key", "quantity", "unit_price",
                     "discount_pct", "discount_amount", "gross_sales_amount",
                     "net_sales_amount")
-    ord_dates = dim_date.select(F.col("date_key").alias("_od_key"),
-                                F.col("full_date").alias("order_date"))
-    shp_dates = dim_date.select(F.col("date_key").alias("_sd_key"),
-                                F.col("full_date").alias("ship_date"))
-    cust = dim_customer.select(F.col("customer_key").alias("_c_key"),
-                               F.col("full_name").alias("customer_name"),
-                               F.col("city").alias("customer_city"),
-                               F.col("state").alias("customer_state"),
-                               F.col("country").alias("customer_country"))
-    prod = dim_product.select(F.col("product_key").alias("_p_key"), "product_name", "brand",
-                              "category")
-    geo = dim_geography.select(F.col("geography_key").alias("_g_key"),
-                               F.col("city").alias("ship_city"),
-                               F.col("state").alias("ship_state"),
-                               F.col("country").alias("ship_country"))
-    status = dim_order_status.select(F.col("order_status_key").alias("_s_key"), "order_status")
+    ord_dates = keep_bound(dim_date, dim_date.select(F.col("date_key").alias("_od_key"),
+                                                     F.col("full_date").alias("order_date")))
+    shp_dates = keep_bound(dim_date, dim_date.select(F.col("date_key").alias("_sd_key"),
+                                                     F.col("full_date").alias("ship_date")))
+    cust = keep_bound(dim_customer, dim_customer.select(
+        F.col("customer_key").alias("_c_key"), F.col("full_name").alias("customer_name"),
+        F.col("city").alias("customer_city"), F.col("state").alias("customer_state"),
+        F.col("country").alias("customer_country")))
+    prod = keep_bound(dim_product, dim_product.select(
+        F.col("product_key").alias("_p_key"), "product_name", "brand", "category"))
+    geo = keep_bound(dim_geography, dim_geography.select(
+        F.col("geography_key").alias("_g_key"), F.col("city").alias("ship_city"),
+        F.col("state").alias("ship_state"), F.col("country").alias("ship_country")))
+    status = keep_bound(dim_order_status, dim_order_status.select(
+        F.col("order_status_key").alias("_s_key"), "order_status"))
 
     if not small_fact:
         # Broadcast after a size check: the fact is never shuffled onto a

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.bounds import keep_bound
+
 KEY = T.LongType()
 SMALL = T.ShortType()
 INT = T.IntegerType()
@@ -283,8 +285,9 @@ def conform(df: DataFrame, table: Table) -> DataFrame:
     missing = [c for c in table.columns if c not in df.columns]
     if missing:
         raise ValueError(f"{table.name}: missing columns {missing}")
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name)
-                      for f in table.schema.fields])
+    out = df.select([F.col(f.name).cast(f.dataType).alias(f.name)
+                     for f in table.schema.fields])
+    return keep_bound(df, out)   # a projection keeps a proven row bound
 
 
 def create_table_sql(table: Table, qualified_name: str, location: str | None = None,
