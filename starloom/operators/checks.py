@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.bounds import known_rows_at_most
+from starloom.operators.keys import SMALL_LOOKUP_MAX_ROWS
 from starloom.schemas import Table
 
 
@@ -31,9 +33,14 @@ def orphan_rows(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
 
     A foreign key with any NULL part is not checked, as in SQL. ``keep`` names
     extra child columns to return beside the key (for example the child's
-    primary key).
+    primary key). A parent with a proven small row bound (a calendar, a
+    status list) is broadcast, so the child is scanned, not shuffled; other
+    parents are left to the planner.
     """
     parent_keys = parent.select(*[F.col(p).alias(f"_pk_{i}") for i, p in enumerate(parent_cols)])
+    bound = known_rows_at_most(parent)
+    if bound is not None and bound <= SMALL_LOOKUP_MAX_ROWS:
+        parent_keys = F.broadcast(parent_keys)
     cond = None
     present = None
     for i, c in enumerate(child_cols):

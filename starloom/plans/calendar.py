@@ -28,19 +28,20 @@ def calendar_dimension(spark: SparkSession, start: dt.date, end: dt.date) -> Dat
 def calendar_covering(*dates: Column, source: DataFrame) -> DataFrame:
     """Whole calendar years covering every non-NULL value of ``dates`` in ``source``.
 
-    The bounds come from one global min/max aggregate (partial aggregates per
-    task, one row at the end); the day rows are then generated from that single
-    bounds row. The calendar's size depends on the years spanned, not on the
-    number of source rows.
+    The span comes from one global min/max aggregate (partial aggregates per
+    task, one row - two dates - to the driver); the days are then generated
+    by ``calendar_dimension``, so the calendar's size is known exactly and
+    depends on the years spanned, not on the number of source rows. An empty
+    source gives an empty calendar.
     """
     lo = F.least(*[F.min(d) for d in dates]) if len(dates) > 1 else F.min(dates[0])
     hi = F.greatest(*[F.max(d) for d in dates]) if len(dates) > 1 else F.max(dates[0])
-    bounds = source.agg(lo.alias("lo"), hi.alias("hi"))
-    days = bounds.where(F.col("lo").isNotNull()).select(F.explode(F.sequence(
-        F.make_date(F.year("lo"), F.lit(1), F.lit(1)),
-        F.make_date(F.year("hi"), F.lit(12), F.lit(31)),
-        F.expr("INTERVAL 1 DAY"))).alias("full_date"))
-    return calendar_columns(days)
+    row = source.agg(lo.alias("lo"), hi.alias("hi")).first()
+    spark = source.sparkSession
+    if row is None or row.lo is None:
+        empty = spark.range(0).select(F.lit(None).cast("date").alias("full_date"))
+        return mark_rows_at_most(calendar_columns(empty), 0)
+    return calendar_dimension(spark, dt.date(row.lo.year, 1, 1), dt.date(row.hi.year, 12, 31))
 
 
 def calendar_columns(days: DataFrame) -> DataFrame:

@@ -54,3 +54,14 @@ def test_date_key_and_null(spark):
 def test_join_names_treats_null_as_empty(spark):
     df = spark.createDataFrame([("Ada", "Lane"), (None, "Ng"), ("Cy", None)], "f string, l string")
     assert [r[0] for r in df.select(join_names("f", "l")).collect()] == ["Ada Lane", " Ng", "Cy "]
+
+
+def test_calendar_covering_whole_years_and_empty(spark):
+    from starloom.plans.calendar import calendar_covering
+
+    df = spark.createDataFrame([(dt.date(2023, 5, 2),), (dt.date(2024, 2, 29),), (None,)],
+                               "d date")
+    cal = calendar_covering(F.col("d"), source=df)
+    assert cal.count() == 365 + 366
+    empty = calendar_covering(F.col("d"), source=df.where("d IS NULL"))
+    assert empty.count() == 0 and len(empty.columns) == 18
