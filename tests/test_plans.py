@@ -58,3 +58,10 @@ def test_distributed_key_has_no_single_partition_exchange(spark):
     df = spark.range(1000).selectExpr("id % 7 AS a", "id AS b")
     keyed = distributed_key(df, ["a", "b"], "k")
     assert "SinglePartition" not in plan(keyed)
+
+
+def test_few_key_lookups_are_broadcast(spark):
+    m = Model(spark, SF)
+    text = plan(keyed_lines(m.src, m.dim_customer, m.dim_product, m.dim_geography))
+    assert re.search(r"BroadcastHashJoin \[city#\d+, state_code#\d+, country_code#\d+\]", text)
+    assert "NestedLoop" not in text and "Cartesian" not in text

@@ -100,3 +100,18 @@ def test_publish_run_to_catalog(spark):
                     "ON s.order_status_key = f.order_status_key "
                     "WHERE s.order_status = 'Open'").first()[0]
     assert got == 1
+
+
+def test_drop_staging_removes_only_newer_folders(spark):
+    import os
+
+    from starloom.sinks.staging import drop_staging, stage, staging_mark
+
+    keep = stage(spark.range(3), "keep")
+    mark = staging_mark()
+    gone = staging_path(spark, "gone")
+    spark.range(2).write.parquet(gone)
+    assert drop_staging(spark, mark) == 1
+    local = gone.replace("file:", "")
+    assert not os.path.exists(local)
+    assert keep.count() == 3
