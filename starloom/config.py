@@ -35,24 +35,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared checkpoint folder of the session.
 
-    On a cluster the setting must point at shared storage and is only read
-    here. A scratch folder is created only when the session has none, which
-    happens in local tests.
+    In order: the folder already given to ``setCheckpointDir``, then the
+    setting ``spark.checkpoint.dir``. Where both are unset a scratch folder is
+    made on a ``local`` master only (tests); on a cluster the driver's own disk
+    is of no use to the executors, so a ``RuntimeError`` names the setting.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="starloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server owns the checkpoint folder
-        return current
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(current)
-    return current
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share") from None
+        return configured
+    in_use = sc.getCheckpointDir()
+    if in_use:
+        # Spark adds a folder named by a UUID below the one that was given; it
+        # lies on the same shared storage and goes with the application.
+        return in_use
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="starloom-ckpt-")
+    sc.setCheckpointDir(configured)
+    return configured
