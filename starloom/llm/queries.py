@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.llm.near_copies import near_copy_components
 from starloom.llm.quality import quality_scores
 from starloom.llm.sentencepiece_codec import codec_digests
 from starloom.llm.token_counts import token_counts
@@ -52,11 +53,17 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies among all documents."""
+    return near_copy_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
     "op7_sentencepiece": op7_sentencepiece,
     "op9_token_counts": op9_token_counts,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
 QUERY_ORACLES: dict[str, str] = {}
