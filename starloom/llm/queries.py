@@ -11,11 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.llm.decontaminate import contaminations
 from starloom.llm.near_copies import near_copy_components
 from starloom.llm.quality import quality_scores
 from starloom.llm.sentencepiece_codec import codec_digests
+from starloom.llm.sharding import shard_documents
 from starloom.llm.token_counts import token_counts
 from starloom.llm.toxicity import toxicity_scores
+from starloom.llm.url_filter import judge_urls
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -33,6 +36,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL."""
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -48,6 +61,11 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec_digests(table(spark, sf_dir, "documents"), tokenizer_file(PIECES))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document through a fresh digest cache."""
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE))
@@ -59,9 +77,12 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
+    "op3_sharding": op3_sharding,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
