@@ -29,12 +29,12 @@ Repeated rows each get their rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.textblock import Words, mix, slices
@@ -275,3 +275,22 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         out = out.union(rows.mapInArrow(run, schema))
     return out
+
+
+def _holds(shared) -> Callable[[Column], Column]:
+    @F.arrow_udf("boolean")
+    def run(text: pa.Array) -> pa.Array:
+        found = np.zeros(len(text), bool)
+        for w in slices(text):
+            for match in shared.value.matches(w):
+                found[w.first_row + match[0]] = True
+        return pa.array(found)
+
+    return lambda text: run(F.coalesce(text, F.lit("")))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents whose text holds no item, with all their columns; no shuffle."""
+    for index in _blocks(benchmark):
+        docs = docs.where(~_holds(docs.sparkSession.sparkContext.broadcast(index))(F.col("text")))
+    return docs

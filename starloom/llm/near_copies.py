@@ -380,3 +380,14 @@ def near_copy_components(docs: DataFrame) -> DataFrame:
     return rows.join(least, "component", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """The documents without the near copies of others: of each group the one with the smallest id stays.
+
+    Rows that repeat an id and a text are one document. A row without an id
+    cannot be the smallest of a group and stays.
+    """
+    kept = near_copy_components(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    known = docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"])
+    return known.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))

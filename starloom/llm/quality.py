@@ -19,11 +19,11 @@ row, or one class only, the intercept is that of the smoothed share of ones.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.textblock import Words, mix, slices
@@ -158,24 +158,24 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", folds:
     return fit([(np.frombuffer(s, np.int32), np.frombuffer(v, np.float32), y) for _, s, v, y in rows])
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], *, name: str = "score") -> DataFrame:
-    """``doc_id`` and the probability of label 1 of every whole text."""
+def probability(spark: SparkSession, model: tuple[np.ndarray, float]) -> Callable[[Column], Column]:
+    """A column function: the probability of label 1 of a text."""
     weights, intercept = model
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    shared = spark.sparkContext.broadcast(weights)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            z = logits(batch.column("text"), shared.value, intercept)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(z, -35, 35))))], ["doc_id", name])
+    @F.arrow_udf("double")
+    def run(text: pa.Array) -> pa.Array:
+        return pa.array(1 / (1 + np.exp(-np.clip(logits(text, shared.value, intercept), -35, 35))))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"doc_id long, {name} double")
+    return lambda text: run(F.coalesce(text, F.lit("")))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, folds: int = FOLDS,
                    held_out_fold: int = HELD_OUT_FOLD) -> DataFrame:
     """Per document: ``doc_id``, ``held_out``, ``score`` (0 to 1) and ``predicted``."""
     model = train(docs, labels, folds=folds, held_out_fold=held_out_fold)
-    return score(docs, model).select(
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       probability(docs.sparkSession, model)(F.col("text")).alias("score"))
+    return rows.select(
         "doc_id", (fold(F.col("doc_id"), folds) == held_out_fold).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
