@@ -19,6 +19,7 @@ from starloom.llm.sharding import shard_documents
 from starloom.llm.token_counts import token_counts
 from starloom.llm.toxicity import toxicity_scores
 from starloom.llm.url_filter import judge_urls
+from starloom.llm.vector_search import search_vectors
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -36,6 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of every hundredth vector among all vectors."""
+    return search_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL."""
     return judge_urls(table(spark, sf_dir, "pages"))
@@ -77,6 +83,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vector_search": op1_vector_search,
     "op2_url_filter": op2_url_filter,
     "op3_sharding": op3_sharding,
     "op4_toxicity": op4_toxicity,
