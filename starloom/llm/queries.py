@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm.decontaminate import contaminations
 from starloom.llm.near_copies import near_copy_components
+from starloom.llm.ngram_model import language_scores
 from starloom.llm.quality import quality_scores
 from starloom.llm.sentencepiece_codec import codec_digests
 from starloom.llm.sharding import shard_documents
@@ -62,6 +63,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document."""
+    return language_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded to ids and decoded again."""
     return codec_digests(table(spark, sf_dir, "documents"), tokenizer_file(PIECES))
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
