@@ -269,6 +269,62 @@ _PROFILE_COLS = {
 }
 
 
+_PROFILE_COLS |= {
+    "dim_date": [
+        ("date_key", 1, None), ("full_date", 1, None), ("day_of_week", 1, None), ("day_name", 1, 10),
+        ("day_of_month", 1, None), ("day_of_year", 1, None), ("week_of_year", 1, None),
+        ("month_number", 1, None), ("month_name", 1, 10), ("month_short", 1, 3),
+        ("quarter_number", 1, None), ("quarter_name", 1, 2), ("year_number", 1, None),
+        ("is_weekend", 1, None), ("is_holiday", 1, None), ("fiscal_year", 1, None),
+        ("fiscal_quarter", 1, None), ("fiscal_month", 1, None)],
+    "dim_geography": [
+        ("geography_key", 1, None), ("city", 1, 100), ("state", 1, 100), ("state_code", 1, 2),
+        ("country", 1, 100), ("country_code", 1, 2)],
+    "dim_order_status": [("order_status_key", 1, None), ("order_status", 1, 20)],
+    "fact_sales": [
+        ("sales_key", 1, None), ("order_line_id", 1, None), ("order_id", 1, None),
+        ("order_date_key", 1, None), ("ship_date_key", 0, None), ("customer_key", 1, None),
+        ("product_key", 1, None), ("geography_key", 1, None), ("order_status_key", 1, None),
+        ("quantity", 1, None), ("unit_price", 1, None), ("discount_pct", 1, None),
+        ("discount_amount", 1, None), ("gross_sales_amount", 1, None), ("net_sales_amount", 1, None),
+        ("cost_amount", 0, None), ("gross_margin_amount", 0, None), ("days_to_ship", 0, None)],
+    "fact_sales_monthly_snapshot": [
+        ("snapshot_key", 1, None), ("snapshot_date_key", 1, None), ("customer_key", 1, None),
+        ("product_key", 1, None), ("geography_key", 1, None), ("order_count", 1, None),
+        ("quantity_sold", 1, None), ("gross_sales_amount", 1, None), ("discount_amount", 1, None),
+        ("net_sales_amount", 1, None), ("gross_margin_amount", 0, None), ("ytd_order_count", 1, None),
+        ("ytd_quantity_sold", 1, None), ("ytd_net_sales", 1, None)],
+}
+
+# Keys of the source model: table, its statement above, primary key, unique keys.
+_SOURCE_KEYS = [
+    ("country", "src_country", "country_id", ["country_code"]),
+    ("state", "src_state", "state_id", []),
+    ("city", "src_city", "city_id", []),
+    ("address", "src_address", "address_id", []),
+    ("customer", "src_customer", "customer_id", ["email"]),
+    ("product_category", "src_category", "category_id", ["category_name"]),
+    ("brand", "src_brand", "brand_id", ["brand_name"]),
+    ("unit_of_measure", "src_uom", "uom_id", ["uom_code"]),
+    ("product_status", "src_status", "status_id", ["status_name"]),
+    ("product", "src_product", "product_id", ["sku"]),
+    ("sales_order", "src_order", "order_id", []),
+    ("sales_order_line", "src_line", "order_line_id", []),
+]
+
+
+def _source_integrity_sql() -> str:
+    names = {cte: name for name, cte, _, _ in _SOURCE_KEYS}
+    parts = [f"SELECT '{name}({key})' AS constraint_name, '{kind}' AS kind, CAST(count(*) AS BIGINT) AS violations "
+             f"FROM (SELECT {key} FROM {cte} GROUP BY {key} HAVING count(*) > 1) d"
+             for name, cte, primary, unique in _SOURCE_KEYS
+             for kind, key in [("primary", primary), *(("unique", u) for u in unique)]]
+    parts += [f"SELECT '{names[child]}({fk}) -> {names[parent]}', 'foreign', CAST(count(*) AS BIGINT) FROM {child} c "
+              f"WHERE c.{fk} IS NOT NULL AND c.{fk} NOT IN (SELECT {ppk} FROM {parent})"
+              for _, child, _, fk, parent, ppk, where in _ORPHAN_CHECKS if not where]
+    return "\nUNION ALL\n".join(parts)
+
+
 def _profile_sql(table: str) -> str:
     parts = []
     for col, nn, width in _PROFILE_COLS[table]:
@@ -284,7 +340,7 @@ def _profile_sql(table: str) -> str:
             f"{nn} AS declared_not_null, "
             f"CAST(count(*) FILTER (WHERE {col} IS NULL) AS BIGINT) AS null_count, "
             f"{w_decl} AS declared_width, {w_over} AS over_width_count, "
-            f"{w_max} AS max_length FROM {table}")
+            f"{w_max} AS max_length FROM {'fact_snapshot' if table == 'fact_sales_monthly_snapshot' else table}")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -300,6 +356,11 @@ _ORPHAN_CHECKS = [
     ("address.city_id", "src_address", "address_id", "city_id", "src_city", "city_id", ""),
     ("city.state_id", "src_city", "city_id", "state_id", "src_state", "state_id", ""),
     ("state.country_id", "src_state", "state_id", "country_id", "src_country", "country_id", ""),
+    ("product.category_id", "src_product", "product_id", "category_id", "src_category",
+     "category_id", ""),
+    ("product.status_id", "src_product", "product_id", "status_id", "src_status",
+     "status_id", ""),
+    ("product.uom_id", "src_product", "product_id", "uom_id", "src_uom", "uom_id", ""),
     ("product.brand_id", "src_product", "product_id", "brand_id", "src_brand", "brand_id", ""),
     ("brand.country_id", "src_brand", "brand_id", "country_id", "src_country", "country_id",
      ""),
@@ -401,12 +462,21 @@ st_lines AS (
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     "sales_report": _with(*_ALL) + _REPORT_SELECT + "\n  LIMIT 100",
     "ship_date_left_join": _with(*_ALL) + _REPORT_SELECT,
+    "sales_report_narrow_calendar": _with(*_ALL) + """,
+narrow AS (SELECT * FROM dim_date WHERE full_date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31')
+""" + _REPORT_SELECT.replace(" dim_date ", " narrow ") + "\n  LIMIT 100",
+    "geography_key_duplicates": _with(_SOURCE, _DIMS) + """
+  SELECT city, state_code, country_code, CAST(count(*) AS BIGINT) AS row_count
+  FROM dim_geography GROUP BY ALL HAVING count(*) > 1""",
+    "source_integrity": _with(_SOURCE) + _source_integrity_sql(),
     "pk_violations": """
   SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS row_count
   FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "fk_orphans": _with(_SOURCE) + _orphans_sql(),
     "not_null_and_width": _with(_SOURCE, _DIMS) + _profile_sql("dim_customer")
     + "\nUNION ALL\n" + _profile_sql("dim_product"),
+    "target_not_null": _with(*_ALL) + "\nUNION ALL\n".join(map(_profile_sql, (
+        "dim_date", "dim_geography", "dim_order_status", "fact_sales", "fact_sales_monthly_snapshot"))),
     "star_integrity": _with(*_ALL) + _integrity_sql(),
     "full_refresh_report": _with(*_ALL) + """
   SELECT 1 AS load_order, 'dim_date' AS table_name,

@@ -5,35 +5,42 @@ ship-date calendar (left outer: unshipped lines keep a NULL ship date), and
 the customer, product, geography and order-status dimensions (inner), then
 returns the first ``n`` lines by order and line id.
 
-Two plans give the same rows:
-
-* ``join_first`` - star join over the whole fact, then Spark's top-k
-  (per-task top n, then a merge of n rows per task).
-* ``topk_first`` (default for a top-k report) - take the first ``m`` fact rows
-  (m starts at n), materialise them in the checkpoint folder, join only those
-  (the candidates are the broadcast side; each dimension is scanned, never
-  shuffled) and check that at least ``n`` survive the inner joins. If fewer
-  survive, ``m`` grows and the step repeats. Spark's top-k merges ``m`` rows
-  from every input partition in one task, so once partitions x ``m`` would
-  pass ``MAX_MERGE_ROWS`` the join-first plan is used instead. The first ``n``
-  survivors among the first ``m`` rows are the first ``n`` survivors overall,
-  so the result is exact either way.
+``topk_first`` (the default) is one plan at every size:
+
+1. fact rows whose calendar, status and geography keys have a dimension row
+   (semi-joins on narrow keys; these dimensions do not grow with the sales);
+2. the first ``n`` of them in two steps: the first ``n`` of each of ``TOP_BUCKETS``
+   hash buckets, cut to ``n`` a task before they are shuffled, then the first
+   ``n`` of those ``n * TOP_BUCKETS`` rows, so no task merges rows of every task;
+3. the attributes, joined to those ``n`` rows, which are the broadcast side
+   (``n`` is the bound); each dimension is scanned, never shuffled.
+
+A customer or product key without a dimension row would drop a line in step 3;
+only then fewer than ``n`` lines are left and the ``join_first`` plan, the star
+join of the whole fact followed by the same two steps, gives the answer.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.bounds import keep_bound
 from starloom.operators.keys import small_lookup
+from starloom.sinks.staging import stage
 
 REPORT_ORDER = ("order_id", "order_line_id")
-# Spark's top-k keeps m rows per input partition and merges them in one task;
-# the candidate step runs only while partitions x m stays under this many rows
-# (which also bounds the broadcast candidate set).
-MAX_MERGE_ROWS = 10_000_000
-CANDIDATE_GROWTH = 16
+TOP_BUCKETS = 64
+
+
+def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows by ``order``: by bucket first, then among the buckets' first."""
+    bucket = F.pmod(F.xxhash64(*order), F.lit(TOP_BUCKETS))
+    within = Window.partitionBy("_bucket").orderBy(*order)
+    return (df.withColumn("_bucket", bucket).withColumn("_rank", F.row_number().over(within))
+            .where(F.col("_rank") <= n).drop("_bucket", "_rank").orderBy(*order).limit(n))
 
 
 def _star(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
@@ -87,31 +94,30 @@ def _star(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
 def sales_report(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
                  dim_product: DataFrame, dim_geography: DataFrame,
                  dim_order_status: DataFrame, *, n: int | None = 100,
-                 strategy: str = "topk_first") -> DataFrame:
+                 strategy: str = "topk_first", ordered: bool = True) -> DataFrame:
     """The 23-column report, first ``n`` lines by (order_id, order_line_id).
 
-    ``n=None`` returns every line, sorted. ``strategy`` is ``topk_first`` or
-    ``join_first`` (see the module docstring); both return the same rows.
+    ``n=None`` returns every line, sorted if ``ordered``. ``strategy`` is
+    ``topk_first`` or ``join_first`` (see the module docstring); both return
+    the same rows.
     """
     dims = (dim_date, dim_customer, dim_product, dim_geography, dim_order_status)
-    order = [F.col(c) for c in REPORT_ORDER]
     if n is None:
-        return _star(fact, *dims).orderBy(*order)
+        lines = _star(fact, *dims)
+        return lines.orderBy(*REPORT_ORDER) if ordered else lines
     if strategy == "join_first":
-        return _star(fact, *dims).orderBy(*order).limit(n)
+        return first_rows(_star(fact, *dims), REPORT_ORDER, n)
     if strategy != "topk_first":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    try:
-        parts = max(1, fact.rdd.getNumPartitions())
-    except Exception:  # no RDD access (Spark Connect): assume a shuffle's width
-        parts = max(1, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    m = n
-    while m * parts <= MAX_MERGE_ROWS:
-        # Reliable checkpoint: survives executor loss and cuts the lineage.
-        cand = fact.orderBy(*order).limit(m).checkpoint(eager=True)
-        joined = _star(cand, *dims, small_fact=True)
-        if cand.count() < m or joined.count() >= n:
-            return joined.orderBy(*order).limit(n)
-        m *= CANDIDATE_GROWTH
-    return _star(fact, *dims).orderBy(*order).limit(n)
+    kept = fact
+    for dim, key, own in ((dim_date, "date_key", "order_date_key"),
+                          (dim_geography, "geography_key", "geography_key"),
+                          (dim_order_status, "order_status_key", "order_status_key")):
+        keys = keep_bound(dim, dim.select(F.col(key).alias("_key")))
+        kept = kept.join(small_lookup(keys), F.col(own) == F.col("_key"), "left_semi")
+    top = stage(first_rows(kept, REPORT_ORDER, n), "report-top")
+    joined = stage(_star(top, *dims, small_fact=True), "report-lines")
+    if joined.count() < min(n, top.count()):
+        return sales_report(fact, *dims, n=n, strategy="join_first")
+    return joined.orderBy(*REPORT_ORDER).limit(n)

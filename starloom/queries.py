@@ -23,24 +23,26 @@ from starloom.operators.checks import (
 from starloom.operators.keys import distributed_key, resolve_key
 from starloom.sinks.staging import stage, staging_path
 from starloom.operators.running import running_totals
-from starloom.plans.calendar import calendar_covering
+from starloom.plans.calendar import calendar_covering, calendar_dimension
 from starloom.plans.dimensions import (
     customer_dimension,
     geography_dimension,
     order_status_dimension,
     product_dimension,
 )
-from starloom.plans.facts import keyed_lines, line_measures, sales_fact
+from starloom.plans.facts import GEOGRAPHY_NATURAL_KEY, keyed_lines, line_measures, sales_fact
 from starloom.plans.refresh import full_refresh
 from starloom.plans.report import sales_report
 from starloom.plans.snapshot import monthly_aggregate, monthly_snapshot, sales_monthly_snapshot
-from starloom.schemas import DIM_CUSTOMER, DIM_PRODUCT, TARGET_TABLES
+from starloom.schemas import DIM_CUSTOMER, DIM_PRODUCT, SOURCE_TABLES, TARGET_TABLES
 from starloom.sources.readers import read_table
 from starloom.sources.retail import RetailSource
 from starloom.sources.tpch import LINE_ORDER, retail_from_tpch
 
 # Fixed values for the test data: ages are computed as of this day.
 AS_OF = dt.date(2024, 12, 31)
+# Fixed values for the test data: a calendar that covers part of the order dates.
+NARROW_YEARS = (dt.date(1997, 1, 1), dt.date(1998, 12, 31))
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,10 +50,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 class Model:
     """Source tables and dimensions for one ``sf_dir``, built lazily as plans."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, *, numbered_lines: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.src: RetailSource = retail_from_tpch(spark, sf_dir)
+        self.numbered_lines = numbered_lines
+        self.src: RetailSource = retail_from_tpch(spark, sf_dir, numbered_lines=numbered_lines)
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -88,9 +91,12 @@ class Model:
 
     @property
     def lines(self) -> DataFrame:
-        # Staged once: the fact, the snapshot and the coarse rollups all read it.
-        return self._get("lines", lambda: stage(keyed_lines(
-            self.src, self.dim_customer, self.dim_product, self.dim_geography), "keyed_lines"))
+        def build():
+            lines = keyed_lines(self.src, self.dim_customer, self.dim_product, self.dim_geography)
+            # Fact and snapshot both read numbered lines, so they are staged once;
+            # a rollup alone reads its lines once.
+            return stage(lines, "keyed_lines") if self.numbered_lines else lines
+        return self._get("lines", build)
 
     @property
     def fact(self) -> DataFrame:
@@ -165,7 +171,7 @@ def sales_fact_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_snapshot_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Model(spark, sf_dir).snapshot
+    return Model(spark, sf_dir, numbered_lines=False).snapshot
 
 
 def _lines_with_brand_state(m: Model) -> DataFrame:
@@ -176,7 +182,7 @@ def _lines_with_brand_state(m: Model) -> DataFrame:
 
 def monthly_snapshot_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U12 at a coarse grain: brand x state x month, with widened measure types."""
-    m = Model(spark, sf_dir)
+    m = Model(spark, sf_dir, numbered_lines=False)
     return monthly_snapshot(_lines_with_brand_state(m), ["brand", "state"],
                             key_name="snapshot_key", count_type=T.LongType(),
                             money_type=T.DecimalType(18, 2))
@@ -184,7 +190,7 @@ def monthly_snapshot_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def running_ytd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U13: monthly line counts, quantity and net per state with year-to-date sums."""
-    m = Model(spark, sf_dir)
+    m = Model(spark, sf_dir, numbered_lines=False)
     lines = resolve_key(m.lines, m.dim_geography, [("geography_key", "geography_key")],
                         "state", small=True)
     monthly = monthly_aggregate(lines, ["state"])
@@ -212,7 +218,42 @@ def ship_date_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J10: the whole report, every line; unshipped lines keep a NULL ship date."""
     m = Model(spark, sf_dir)
     return sales_report(m.fact, m.dim_date, m.dim_customer, m.dim_product, m.dim_geography,
-                        m.dim_order_status, n=None)
+                        m.dim_order_status, n=None, ordered=False)
+
+
+def sales_report_narrow_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U14 over a fixed calendar of some middle years: the inner join drops all other lines."""
+    m = Model(spark, sf_dir)
+    years = calendar_dimension(spark, *NARROW_YEARS)
+    return sales_report(m.fact, years, m.dim_customer, m.dim_product, m.dim_geography,
+                        m.dim_order_status, n=100)
+
+
+def geography_key_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T9 guard: (city, state_code, country_code) values that several geography rows share.
+
+    The bridge looks geography up by these columns, which are no declared key.
+    """
+    dim = Model(spark, sf_dir).dim_geography
+    return duplicate_keys(dim, [c for _, c in GEOGRAPHY_NATURAL_KEY]).select(
+        "city", "state_code", "country_code", F.col("row_count").cast("long"))
+
+
+def source_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1 + I2 on the source: every declared primary, unique and foreign key of the 12 tables."""
+    return declared_key_violations(Model(spark, sf_dir).src.tables(), SOURCE_TABLES)
+
+
+def target_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I3 + I4: NULL and width profile of the calendar, geography, status, fact and snapshot tables."""
+    m = Model(spark, sf_dir)
+    out = None
+    for name, df in (("dim_date", m.dim_date), ("dim_geography", m.dim_geography),
+                     ("dim_order_status", m.dim_order_status), ("fact_sales", m.fact),
+                     ("fact_sales_monthly_snapshot", m.snapshot)):
+        rows = column_profile(df, TARGET_TABLES[name])
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,6 +283,11 @@ def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("address.city_id", "address", "address_id", "city_id", t["city"], "city_id"),
         ("city.state_id", "city", "city_id", "state_id", t["state"], "state_id"),
         ("state.country_id", "state", "state_id", "country_id", t["country"], "country_id"),
+        ("product.category_id", "product", "product_id", "category_id",
+         t["product_category"], "category_id"),
+        ("product.status_id", "product", "product_id", "status_id", t["product_status"],
+         "status_id"),
+        ("product.uom_id", "product", "product_id", "uom_id", t["unit_of_measure"], "uom_id"),
         ("product.brand_id", "product", "product_id", "brand_id", t["brand"], "brand_id"),
         ("brand.country_id", "brand", "brand_id", "country_id", t["country"], "country_id"),
         ("sales_order_line.order_id->fulfilled", "sales_order_line", "order_line_id",
@@ -318,6 +364,10 @@ QUERIES: dict[str, Query] = {
     "running_ytd": running_ytd,
     "sales_report": sales_report_q,
     "ship_date_left_join": ship_date_left_join,
+    "sales_report_narrow_calendar": sales_report_narrow_calendar,
+    "geography_key_duplicates": geography_key_duplicates,
+    "source_integrity": source_integrity,
+    "target_not_null": target_not_null,
     "pk_violations": pk_violations,
     "fk_orphans": fk_orphans,
     "not_null_and_width": not_null_and_width,

@@ -161,6 +161,7 @@ SALES_ORDER_LINE = Table(
     ),
 )
 
+# Names, order, types, widths and keys of all tables here are fixed by the data model.
 SOURCE_TABLES = {t.name: t for t in (
     COUNTRY, STATE, CITY, ADDRESS, CUSTOMER, PRODUCT_CATEGORY, BRAND, UNIT_OF_MEASURE,
     PRODUCT_STATUS, PRODUCT, SALES_ORDER, SALES_ORDER_LINE)}

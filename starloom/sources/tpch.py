@@ -57,14 +57,15 @@ def birth_date(custkey: F.Column) -> F.Column:
                     (1 + custkey % 28).cast("int")))
 
 
-def retail_from_tpch(spark: SparkSession, sf_dir: str) -> RetailSource:
+def retail_from_tpch(spark: SparkSession, sf_dir: str, *, numbered_lines: bool = True) -> RetailSource:
     t = {n: read_table(spark, sf_dir, n) for n in TPCH_TABLES}
-    return retail_from_frames(spark, **t)
+    return retail_from_frames(spark, **t, numbered_lines=numbered_lines)
 
 
 def retail_from_frames(spark: SparkSession, region: DataFrame, nation: DataFrame,
                        customer: DataFrame, part: DataFrame, orders: DataFrame,
-                       lineitem: DataFrame) -> RetailSource:
+                       lineitem: DataFrame, *, numbered_lines: bool = True) -> RetailSource:
+    """The source model; ``numbered_lines=False`` where only the lines' number is counted."""
     country = region.select(
         F.col("r_regionkey").cast("long").alias("country_id"),
         F.col("r_name").alias("country_name"),
@@ -141,13 +142,21 @@ def retail_from_frames(spark: SparkSession, region: DataFrame, nation: DataFrame
                         customer=cust, product_category=category, brand=brand,
                         unit_of_measure=uom, product_status=status, product=product,
                         sales_order=sales_order,
-                        # Built on first use: the line key has an eager checkpoint.
-                        sales_order_line=lambda: order_lines_from_lineitem(lineitem))
+                        # Built on first use: the line key has an eager write.
+                        sales_order_line=lambda: order_lines_from_lineitem(lineitem, numbered=numbered_lines))
 
 
-def order_lines_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """Order lines with a dense ``order_line_id`` over the full lineitem order."""
-    keyed = distributed_key(lineitem.select(*LINE_ORDER), list(LINE_ORDER), "order_line_id")
+def order_lines_from_lineitem(lineitem: DataFrame, *, numbered: bool = True) -> DataFrame:
+    """Order lines with a dense ``order_line_id`` over the full lineitem order.
+
+    Rollups only count lines; with ``numbered=False`` the id is made of the
+    order and line number, and nothing is sorted or staged.
+    """
+    rows = lineitem.select(*LINE_ORDER)
+    if numbered:
+        keyed = distributed_key(rows, list(LINE_ORDER), "order_line_id")
+    else:
+        keyed = rows.withColumn("order_line_id", F.col("l_orderkey").cast("long") * 8 + F.col("l_linenumber"))
     unit_price = F.col("l_extendedprice").cast("decimal(10,2)")
     quantity = F.col("l_quantity").cast("smallint")
     pct = (F.col("l_discount") * 100).cast("decimal(5,2)")
