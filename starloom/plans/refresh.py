@@ -17,6 +17,7 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from starloom.bounds import mark_rows_at_most
@@ -71,32 +72,34 @@ def full_refresh(spark: SparkSession, src: RetailSource, target: str, *,
         # and the written row count is a proven bound (no size check needed).
         return mark_rows_at_most(spark.read.format(fmt).load(path(name)), counts[name])
 
-    if calendar is not None:
-        dim_date = calendar_dimension(spark, *calendar)
-    else:
-        dates = src.sales_order.select(F.col("order_date").alias("d")).unionByName(
-            _ship_dates(src))
-        dim_date = calendar_covering(F.col("d"), source=dates)
-    load("dim_date", dim_date)
-    dim_customer = load("dim_customer", customer_dimension(src, as_of,
-                                                           num_partitions=num_partitions))
-    dim_product = load("dim_product", product_dimension(src, num_partitions=num_partitions))
-    dim_geography = load("dim_geography", geography_dimension(src))
-    dim_status = load("dim_order_status", order_status_dimension(src))
-
-    lines = stage(keyed_lines(src, dim_customer, dim_product, dim_geography), "keyed_lines")
-
-    load("fact_sales", sales_fact(lines, dim_status, num_partitions=num_partitions),
-         partition_by=fact_partition_by)
-    load("fact_sales_monthly_snapshot",
-         sales_monthly_snapshot(lines, num_partitions=num_partitions))
-
-    report = spark.createDataFrame(
-        [(run_id, i + 1, name, counts[name]) for i, name in enumerate(LOAD_ORDER)],
-        "run_id string, load_order int, table_name string, rows_written long")
-    report.coalesce(1).write.mode("overwrite").parquet(path(REPORT))
-    # The run is committed; the intermediates staged for it are not needed.
-    drop_staging(spark, mark)
+    try:
+        if calendar is not None:
+            dim_date = calendar_dimension(spark, *calendar)
+        else:
+            dates = src.sales_order.select(F.col("order_date").alias("d")).unionByName(
+                _ship_dates(src))
+            dim_date = calendar_covering(F.col("d"), source=dates)
+        load("dim_date", dim_date)
+        dim_customer = load("dim_customer", customer_dimension(src, as_of,
+                                                               num_partitions=num_partitions))
+        dim_product = load("dim_product", product_dimension(src, num_partitions=num_partitions))
+        dim_geography = load("dim_geography", geography_dimension(src))
+        dim_status = load("dim_order_status", order_status_dimension(src))
+
+        lines = stage(keyed_lines(src, dim_customer, dim_product, dim_geography), "keyed_lines")
+
+        load("fact_sales", sales_fact(lines, dim_status, num_partitions=num_partitions),
+             partition_by=fact_partition_by)
+        load("fact_sales_monthly_snapshot",
+             sales_monthly_snapshot(lines, num_partitions=num_partitions))
+
+        report = spark.createDataFrame(
+            [(run_id, i + 1, name, counts[name]) for i, name in enumerate(LOAD_ORDER)],
+            "run_id string, load_order int, table_name string, rows_written long")
+        report.coalesce(1).write.mode("overwrite").parquet(path(REPORT))
+    finally:
+        # Committed or failed: the intermediates staged for this run are not needed.
+        drop_staging(spark, mark)
     return spark.read.parquet(path(REPORT))
 
 
@@ -104,8 +107,10 @@ def latest_run(spark: SparkSession, target: str) -> str | None:
     """Folder of the newest complete run (one that has a load report), or None."""
     try:
         reports = spark.read.parquet(f"{target.rstrip('/')}/runs/*/{REPORT}")
-    except Exception:  # no run yet: the glob matches nothing
-        return None
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None  # no run yet: the glob matches nothing
     row = reports.agg(F.max("run_id").alias("run_id")).first()
     if row is None or row.run_id is None:
         return None

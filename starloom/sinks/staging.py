@@ -2,26 +2,33 @@
 
 Intermediate results that must be computed once (numbered rows of a
 distributed key, the keyed order lines of a refresh) are written here as
-Parquet. Every folder made in this process is recorded so that a job can
-drop its own intermediates when it is finished with them.
+Parquet. Every folder is recorded by the thread that made it, so that a job can
+drop its own intermediates when it is finished with them and never those of
+another job that runs at the same time.
 """
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.config import ensure_checkpoint_dir
 
-_created: list[str] = []
+class _Created(threading.local):
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_created = _Created()
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the session's checkpoint directory (shared storage)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/starloom-staging/{label}-{uuid.uuid4().hex}"
-    _created.append(path)
+    _created.paths.append(path)
     return path
 
 
@@ -38,18 +45,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def staging_mark() -> int:
     """Position in the record of staging folders; pass to ``drop_staging``."""
-    return len(_created)
+    return len(_created.paths)
 
 
 def drop_staging(spark: SparkSession, since: int = 0) -> int:
-    """Delete the staging folders this process made after mark ``since``.
+    """Delete the staging folders this thread made after mark ``since``.
 
     Only call this once no DataFrame that reads them is needed any more.
     Returns the number of folders deleted. Sessions without JVM access
     (Spark Connect) keep their folders.
     """
-    paths = _created[since:]
-    del _created[since:]
+    paths = _created.paths[since:]
+    del _created.paths[since:]
     try:
         jvm = spark._jvm
         conf = spark._jsc.hadoopConfiguration()

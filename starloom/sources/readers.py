@@ -8,7 +8,6 @@ Nothing is fetched to the driver.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,12 +25,19 @@ def read_table(spark: SparkSession, location: str, name: str, *, fmt: str = "par
     reader = spark.read.options(**dict(options or {}))
     if fmt == "jdbc":
         return reader.format("jdbc").option("url", location).option("dbtable", name).load()
-    path = os.path.join(location, f"{name}.{fmt}")
-    if not os.path.exists(path) and "://" not in location:
-        path = os.path.join(location, name)
+    path = f"{location.rstrip('/')}/{name}.{fmt}"
+    if not path_exists(spark, path):
+        plain = f"{location.rstrip('/')}/{name}"
+        path = plain if path_exists(spark, plain) else path
     return reader.format(fmt).load(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of the file system that it names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_tables(spark: SparkSession, location: str, names: Iterable[str],
                 **kwargs) -> dict[str, DataFrame]:
     return {n: read_table(spark, location, n, **kwargs) for n in names}

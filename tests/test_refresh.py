@@ -115,3 +115,82 @@ def test_drop_staging_removes_only_newer_folders(spark):
     local = gone.replace("file:", "")
     assert not os.path.exists(local)
     assert keep.count() == 3
+
+
+def test_staging_of_two_threads_is_dropped_apart(spark):
+    import threading
+
+    from starloom.sinks.staging import drop_staging, stage, staging_mark
+
+    kept = []
+
+    def other():
+        kept.append(stage(spark.range(3), "other"))
+
+    mark = staging_mark()
+    own = stage(spark.range(2), "own")
+    t = threading.Thread(target=other)
+    t.start()
+    t.join()
+    assert own.count() == 2 and drop_staging(spark, mark) == 1
+    assert kept[0].count() == 3
+
+
+def test_read_table_by_uri_of_a_plain_folder(spark, tmp_path):
+    from starloom.sources.readers import read_table
+
+    spark.range(4).write.parquet(str(tmp_path / "country"))
+    assert read_table(spark, f"file://{tmp_path}", "country").count() == 4
+    assert read_table(spark, str(tmp_path), "country").count() == 4
+
+
+def test_checkpoint_folder_on_a_stock_session(tmp_path):
+    """In a fresh process without defaults: made up only on a local master, and setCheckpointDir is followed."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from starloom.config import ensure_checkpoint_dir
+from starloom.sinks.staging import stage
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+if sys.argv[1] == "given":
+    spark.sparkContext.setCheckpointDir({str(tmp_path / "shared")!r})
+    assert "shared" in ensure_checkpoint_dir(spark)
+assert stage(spark.range(5), "x").count() == 5
+if sys.argv[1] == "given":
+    import pathlib
+    assert list(pathlib.Path({str(tmp_path / "shared")!r}).rglob("starloom-staging/x-*/part-*.parquet"))
+"""
+    (tmp_path / "conf").mkdir()
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path / "conf")}
+    for kind in ("given", "none"):
+        done = subprocess.run([sys.executable, "-c", code, kind], env=env, capture_output=True, text=True, timeout=120)
+        assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_no_checkpoint_folder_on_a_cluster_is_an_error():
+    import pytest
+
+    from starloom.config import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session)
