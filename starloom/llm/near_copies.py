@@ -19,12 +19,14 @@ class from the start; the rest of the work is on one document of each class.
    of a class with more than ``MOST_COMBINED`` of them in its prefix (large
    groups of near copies) are indexed by themselves everywhere, which is the
    exact way for what combinations would blow up.
-3. *Verification in two rounds.* First each class is paired with one class of
-   each index key only, so a key's pairs grow with its rows, not their square.
-   Verified links make groups. Then, for keys whose classes are still in more
-   than one group, the pairs between groups follow. Pairs inside a group can
-   change no result. Before the sets of a pair are compared, the shared keys of
-   the pair bound its overlap from above, which removes nearly all false ones.
+3. *Verification in rounds.* First each class is paired with one class of each
+   of its keys, the one that shares the most keys with others (in a group of
+   near copies, that with the fewest edits), so a key's pairs grow with its rows,
+   not their square. Verified links make groups. Then, for keys whose classes are
+   in several groups, all pairs between groups follow that share a key among the first ``n - o + K`` tokens of both, ``o`` being the overlap that their sizes need.
+   Keys of more than ``CROWDED`` classes send bitmaps instead of pairs, by blocks of classes.
+   Pairs inside a group can change no result. Before the sets of a pair are
+   compared, bitmaps of 4,096 bits bound its overlap, which removes nearly all false ones.
 
 Defined results: null and empty texts, or white space only, have no shingle,
 link with nothing and are their own component; a text of fewer than five words
@@ -39,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.components import components
@@ -51,6 +53,12 @@ K = 2
 FREQUENT = 16
 MOST_FREQUENT = 1 << 21
 MOST_COMBINED = 24
+#: Shared keys for which a pair with a hub is looked at; the last round looks at all.
+HUB_KEYS = 3
+BITMAP_WORDS = 64
+#: Classes of a key beyond which its pairs are sought by blocks of ``BLOCK_CLASSES`` classes.
+CROWDED = 64
+BLOCK_CLASSES = 512
 #: Region tokens to a block group, about.
 BLOCK_TOKENS = 4_000_000
 
@@ -213,7 +221,7 @@ def _shared_counts(blocks: DataFrame, frequent: int) -> DataFrame:
 
 
 def _token_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``sid``, ``n`` and ordered ``tokens`` of the chosen classes, from the text of one document of each."""
+    """``sid``, ``n``, ordered ``tokens`` and ``bits`` of the chosen classes, from the text of one document of each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column("sid").to_numpy(zero_copy_only=False)
@@ -222,14 +230,18 @@ def _token_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                 h = h[good[row]]
                 n, sid = n[good], sid[good]
                 ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
+                marked = np.zeros((len(n), BITMAP_WORDS * 64), np.uint8)
+                marked[np.repeat(np.arange(len(n)), n), (h % _U(BITMAP_WORDS * 64)).astype(np.int64)] = 1
+                bits = np.packbits(marked, axis=1, bitorder="little").view(np.int64).ravel()
                 yield pa.RecordBatch.from_arrays([
                     pa.array(sid), pa.array(n.astype(np.int64)),
-                    pa.LargeListArray.from_arrays(ends, pa.array(h.view(np.int64))).cast(pa.list_(pa.int64()))],
-                    ["sid", "n", "tokens"])
+                    pa.LargeListArray.from_arrays(ends, pa.array(h.view(np.int64))).cast(pa.list_(pa.int64())),
+                    pa.FixedSizeListArray.from_arrays(pa.array(bits), BITMAP_WORDS).cast(pa.list_(pa.int64()))],
+                    ["sid", "n", "tokens", "bits"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return (rows.join(chosen.select("doc_id", "sid").hint("shuffle_hash"), "doc_id")
-            .select("text", "sid").mapInArrow(run, "sid long, n long, tokens array<long>"))
+            .select("text", "sid").mapInArrow(run, "sid long, n long, tokens array<long>, bits array<long>"))
 
 
 def _among(key: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -262,58 +274,135 @@ def _wide(sets: DataFrame, bits: int, frequent, most: int) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], ["key"])
 
-    return sets.mapInArrow(run, "key long").distinct()
+    return sets.select("sid", "n", "tokens").mapInArrow(run, "key long").distinct()
 
 
 def _postings(sets: DataFrame, bits: int, frequent, wide) -> DataFrame:
-    """Index rows: ``key``, ``pairs`` (1 if the key is a combination), ``sid`` and ``n``."""
+    """Index rows: ``key``, ``place`` of its (last) token in the set's order, ``sid`` and ``n``."""
     low = _U(32 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, kinds, owner, sizes = [], [], [], []
+            keys, places, owner, sizes = [], [], [], []
 
-            def put(key, kind, sid, n):
+            def put(key, place, sid, n):
                 keys.append(key)
-                kinds.append(np.full(len(key), kind, np.int32))
+                places.append(place.astype(np.int32))
                 owner.append(np.full(len(key), sid, np.int64))
                 sizes.append(np.full(len(key), n, np.int64))
 
             for sid, n, rare, hot in _prefixes(batch, low, frequent.value):
                 alone = _among(hot >> low, wide.value)
-                put(np.concatenate([rare, hot[alone]]), 0, sid, n)
-                hot = hot[~alone]
+                place = len(rare) + np.arange(len(hot))
+                put(np.concatenate([rare, hot[alone]]), np.concatenate([np.arange(len(rare)), place[alone]]), sid, n)
+                hot, place = hot[~alone], place[~alone]
                 if len(hot) > 1:
                     i, j = np.triu_indices(len(hot), 1)
-                    put(mix(hot[i] * _U(3) + hot[j]), 1, sid, n)
+                    put(mix(hot[i] * _U(3) + hot[j]), place[j], sid, n)
             if keys:
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(kinds)),
-                    pa.array(np.concatenate(owner)), pa.array(np.concatenate(sizes))], ["key", "pairs", "sid", "n"])
+                    pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(places)),
+                    pa.array(np.concatenate(owner)), pa.array(np.concatenate(sizes))], ["key", "place", "sid", "n"])
 
-    return sets.mapInArrow(run, "key long, pairs int, sid long, n long")
+    return sets.select("sid", "n", "tokens").mapInArrow(run, "key long, place int, sid long, n long")
+
+
+def _fits(na: Column, nb: Column, overlap: Column) -> Column:
+    """Whether an overlap is enough: ``overlap >= 0.75 * union`` is ``7 * overlap >= 3 * (na + nb)``."""
+    return 7 * overlap >= 3 * (na + nb)
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of ``(a, b, na, nb, singles, pairs)``, the ``(a, b)`` that link.
+    """Of distinct ``(a, b)``, those that link.
 
-    The shared tokens of two prefixes are their shared single keys plus the
-    ``s`` with ``s (s - 1) / 2`` shared combinations (one at most if none is).
-    All other shared tokens lie behind the prefix that ends first.
+    Each bit of a class's bitmap that another's lacks stands for a token that
+    the other lacks, which bounds the overlap; the sets of the rest are compared.
     """
+    def side(name, more):
+        return sets.select(F.col("sid").alias(name), F.col("n").alias(f"n{name}"), F.col(more).alias(f"{more}_{name}"))
+
+    def lacks(x, y):
+        bits = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
+        return F.aggregate(bits, F.lit(0), lambda t, n: t + n)
+
+    na, nb, x, y = (F.col(c) for c in ("na", "nb", "bits_a", "bits_b"))
+    likely = (pairs.select("a", "b").join(side("a", "bits"), "a").join(side("b", "bits"), "b")
+              .where((4 * F.least(na, nb) >= 3 * F.greatest(na, nb))
+                     & _fits(na, nb, na - lacks(x, y)) & _fits(na, nb, nb - lacks(y, x))).select("a", "b"))
+    both = F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long")
+    return (likely.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b")
+            .where(_fits(na, nb, both)).select("a", "b").distinct())
+
+
+def _open_keys(postings: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Index rows of the keys whose classes are in several groups, with the class's group and the key's ``largest``."""
+    entry = (postings.join(grouped.withColumnRenamed("node", "sid"), "sid", "left")
+             .withColumn("component", F.coalesce("component", "sid")))
+    largest = (entry.groupBy("key", "component").agg(F.count(F.lit(1)).alias("rows"))
+               .groupBy("key").agg(F.max_by("component", "rows").alias("largest"), F.count(F.lit(1)).alias("groups"))
+               .where("groups > 1").drop("groups"))
+    return stage(entry.join(largest, "key"), "near-open")
+
+
+def _pairs_by_key(entry: DataFrame) -> DataFrame:
+    """Pairs of different groups that share a key among the first ``n - o + K`` tokens of both."""
+    a = entry.where("component != largest").select("key", F.col("place").alias("pa"), F.col("sid").alias("a"),
+                                                   F.col("n").alias("na"), F.col("component").alias("ca"))
+    b = entry.select(F.col("key").alias("kb"), F.col("place").alias("pb"), F.col("sid").alias("b"), F.col("n").alias("nb"),
+                     F.col("component").alias("cb"), "largest")
     na, nb = F.col("na"), F.col("nb")
-    s = F.when(F.col("pairs") > 0, F.ceil((1 + F.sqrt(1.0 + 8 * F.col("pairs"))) / 2)).otherwise(1)
-    behind = F.greatest(*(n - F.least(n, F.floor(n / 4) + K) for n in (na, nb)))
-    bound = F.col("singles") + s + behind
-    # overlap >= 0.75 * union  <=>  7 * overlap >= 3 * (na + nb)
-    likely = pairs.where((4 * F.least(na, nb) >= 3 * F.greatest(na, nb)) & (7 * bound >= 3 * (na + nb))).select("a", "b")
-    left = sets.select(F.col("sid").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("sid").alias("b"), F.col("tokens").alias("tb"))
-    both = F.size(F.array_intersect("ta", "tb")).cast("long")
-    return (likely.join(left, "a").join(right, "b")
-            .withColumn("both", both)
-            .where(7 * F.col("both") >= 3 * (F.size("ta") + F.size("tb")))
-            .select("a", "b").distinct())
+    return (a.join(b, (F.col("key") == F.col("kb")) & (F.col("ca") != F.col("cb"))
+                   & ((F.col("cb") == F.col("largest")) | (F.col("a") < F.col("b")))
+                   & (4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb"))
+                   & _fits(na, nb, na - F.col("pa") + K - 1) & _fits(na, nb, nb - F.col("pb") + K - 1))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+
+
+def _pairs_by_block(entry: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of different groups among the classes of crowded keys, where the bitmaps let them link.
+
+    Keys with the same largest group are one family: its classes are cut into
+    blocks of ``BLOCK_CLASSES``, and each two blocks meet in a task of their own,
+    however many keys their classes share. Only what the bitmaps pass is given out.
+    """
+    family = entry.select(F.col("largest").alias("family"), "sid", "component").distinct()
+    blocks = family.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES).cast("int").alias("blocks"))
+    family = (family.join(blocks, "family").join(sets.select("sid", "n", "bits"), "sid")
+              .withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks"))
+    columns = ("family", "sid", "n", "component", "bits")
+    left, right = (rows.select(*(F.col(c).alias(c) for c in columns), F.col("own").alias(own), F.col("other").alias(other))
+                   for rows, own, other in ((family.where("component != family"), "i", "j"), (family, "j", "i")))
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        def read(t):
+            return (*(t[c].to_numpy() for c in ("sid", "n", "component")),
+                    np.stack(t["bits"].to_numpy()).view(_U) if len(t) else np.zeros((0, BITMAP_WORDS), _U))
+
+        (a, na, ca, x), (b, nb, cb, y) = read(left), read(right)
+        out = [(np.zeros(0, np.int64),) * 2]
+        for k in range(0, len(a) if len(b) else 0, 16):
+            part = slice(k, k + 16)
+            shared = np.bitwise_count(x[part, None] & y[None]).sum(2, dtype=np.int64)
+            most = np.minimum(na[part, None] - np.bitwise_count(x[part]).sum(1, dtype=np.int64)[:, None],
+                              (nb - np.bitwise_count(y).sum(1, dtype=np.int64))[None]) + shared
+            total = na[part, None] + nb[None]
+            good = (7 * most >= 3 * total) & (ca[part, None] != cb[None])
+            good &= (cb == right["family"][0].as_py())[None] | (a[part, None] < b[None])
+            i, j = np.nonzero(good)
+            out.append((a[part][i], b[j]))
+        a, b = (np.concatenate(c) for c in zip(*out))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    keys = ("family", "i", "j")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "a long, b long")
+
+
+def _merged(links: DataFrame, grouped: DataFrame | None) -> DataFrame:
+    """Groups of the links and of the groups so far."""
+    if grouped is not None:
+        links = links.union(grouped.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    return stage(components(links), "near-groups")
 
 
 def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
@@ -336,38 +425,23 @@ def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
     wide = sc.broadcast(np.sort(_wide(sets, bits, frequent, MOST_COMBINED).toArrow()["key"].to_numpy().view(_U)))
     postings = _postings(sets, bits, frequent, wide)
     # a key of one class links nothing
-    several = postings.groupBy("key").agg(F.min("sid").alias("hub"), F.max("sid").alias("last")).where("hub != last")
-    postings = stage(postings.join(several.select("key", "hub"), "key"), "near-postings")
-
-    size = sets.select(F.col("sid").alias("b"), F.col("n").alias("nb"))
-    first = (postings.where("sid != hub").groupBy(F.col("sid").alias("a"), F.col("hub").alias("b"))
-             .agg(F.max("n").alias("na"), F.sum(1 - F.col("pairs")).alias("singles"), F.sum("pairs").alias("pairs"))
-             .join(size, "b"))
-    links = stage(_links(first, sets), "near-links")
-    grouped = stage(components(links), "near-groups")
-
-    entry = (postings.drop("hub").join(grouped.withColumnRenamed("node", "sid"), "sid", "left")
-             .withColumn("component", F.coalesce("component", "sid")))
-    largest = (entry.groupBy("key", "component").agg(F.count(F.lit(1)).alias("rows"))
-               .groupBy("key").agg(F.max_by("component", "rows").alias("largest"), F.count(F.lit(1)).alias("groups"))
-               .where("groups > 1").drop("groups"))
-    entry = stage(entry.join(largest, "key"), "near-open")
-    a = entry.where("component != largest").select("key", "pairs", F.col("sid").alias("a"), F.col("n").alias("na"),
-                                                   F.col("component").alias("ca"))
-    b = entry.select(F.col("key").alias("kb"), F.col("sid").alias("b"), F.col("n").alias("nb"),
-                     F.col("component").alias("cb"), "largest")
-    second = (a.join(b, (F.col("key") == F.col("kb")) & (F.col("ca") != F.col("cb"))
-                     & ((F.col("cb") == F.col("largest")) | (F.col("a") < F.col("b")))
-                     & (4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb")))
-              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), a["pairs"],
-                      F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
-                      F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
-              .groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"),
-                                     F.sum(1 - F.col("pairs")).alias("singles"), F.sum("pairs").alias("pairs")))
-    late = stage(_links(second, sets), "near-late-links")
-    if not late.take(1):
-        return grouped
-    return components(late.union(grouped.select(F.col("node").alias("a"), F.col("component").alias("b"))), "near-final")
+    several = (postings.groupBy("key").agg(F.min("sid").alias("first"), F.max("sid").alias("last"), F.count(F.lit(1)).alias("rows"))
+               .where("first != last").select("key", "rows"))
+    postings = stage(postings.join(several, "key"), "near-postings")
+
+    # each class with the one that shares the most with others, of each of its keys
+    central = postings.groupBy("sid").agg(F.sum("rows").alias("weight"))
+    hub = postings.select("key", "sid").join(central, "sid").groupBy("key").agg(F.max_by("sid", "weight").alias("hub"))
+    pairs = (postings.select("key", "sid").join(hub, "key").where("sid != hub")
+             .groupBy(F.col("sid").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("keys")))
+    grouped = _merged(stage(_links(pairs.where(F.col("keys") >= HUB_KEYS), sets), "near-links"), None)
+
+    # all pairs of different groups: by key, and by blocks of classes for the keys of many classes
+    entry = _open_keys(postings, grouped)
+    rest = _pairs_by_key(entry.where(F.col("rows") <= CROWDED)).union(
+        _pairs_by_block(entry.where(F.col("rows") > CROWDED), sets))
+    late = stage(_links(rest.distinct(), sets), "near-late-links")
+    return _merged(late, grouped) if late.take(1) else grouped
 
 
 def near_copy_components(docs: DataFrame) -> DataFrame:

@@ -38,11 +38,13 @@ def _families(seed, families=6, copies=30):
     return [(i, " ".join(t)) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize(("frequent", "combined"), [(16, 24), (3, 24), (2, 4), (1, 0)])
-def test_against_all_pairs_with_every_kind_of_key(spark, monkeypatch, frequent, combined):
-    """Rare single tokens, combinations of frequent ones, and frequent ones by themselves."""
+@pytest.mark.parametrize(("frequent", "combined", "crowded"), [(16, 24, 64), (3, 24, 4), (1, 0, 10)])
+def test_against_all_pairs_with_every_kind_of_key(spark, monkeypatch, frequent, combined, crowded):
+    """Rare single tokens, combinations of frequent ones, frequent ones by themselves; pairs by key and by block."""
     monkeypatch.setattr(near_copies, "FREQUENT", frequent)
     monkeypatch.setattr(near_copies, "MOST_COMBINED", combined)
+    monkeypatch.setattr(near_copies, "CROWDED", crowded)
+    monkeypatch.setattr(near_copies, "BLOCK_CLASSES", 7)
     rows = _families(frequent)
     assert _run(spark.createDataFrame(rows, "doc_id long, text string")) == plain_components(rows)
 
@@ -54,7 +56,7 @@ def test_odd_rows(spark):
     assert by_id[1] == (2, 1) and by_id[2] == (2, 1)
     assert by_id[3] == (0, 3) and by_id[4] == (0, 4) and by_id[5] == (0, 5)
     assert by_id[6] == (1, 6) and by_id[7] == (1, 6)
-    assert by_id[None] == (2, None)
+    assert by_id[None] == (3, None)
     assert near_copy_components(empty(spark)).count() == 0
 
 
@@ -70,3 +72,17 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(7, 7), (200, None)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
+
+
+@needs_tables
+def test_query_matches_its_oracle(spark):
+    import duckdb
+    from helpers import SF
+
+    from starloom.llm.queries import QUERIES, QUERY_ORACLES
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    got = QUERIES["op10_ngram_jaccard"](spark, SF)
+    want = con.execute(QUERY_ORACLES["op10_ngram_jaccard"]).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
