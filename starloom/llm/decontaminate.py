@@ -164,17 +164,20 @@ class Index:
                 for size, rep, keys in window_keys(w.hash, starts, self.sizes):
                     at, item, offset = self.tables[size, rep].find(keys)
                     ok = room[at] >= size
-                    found.append(np.stack([row[at], starts[at] - offset, item], 1)[ok])
+                    found.append(self._plausible(w.hash, np.stack([row[at], starts[at] - offset, item], 1)[ok]))
         for n, known in self.unchanged.items():
             if len(w.hash) >= n:
                 at, item, _ = known.find(_whole(w.hash, n))
                 ok = w.row[at] == w.row[at + n - 1]
                 found.append(np.stack([w.row[at], at, item], 1)[ok])
         found = [f for f in found if len(f)]
-        return self._plausible(w.hash, np.unique(np.concatenate(found), axis=0)) if found else np.zeros((0, 3), np.int64)
+        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
     def _plausible(self, hashes: np.ndarray, found: np.ndarray) -> np.ndarray:
-        """Candidates around which enough words are words of the item: all but ``most_edits`` must be."""
+        """Distinct candidates around which enough words are words of the item: all but ``most_edits`` must be."""
+        if not len(found):
+            return found
+        found = np.unique(found, axis=0)
         keep = np.zeros(len(found), bool)
         order = np.argsort(found[:, 2], kind="stable")
         cut = np.flatnonzero(np.diff(found[order, 2], prepend=-1))
