@@ -30,7 +30,7 @@ from starloom.llm.textblock import Words, mix, slices
 from starloom.llm.training_rows import fold, labelled_sample
 
 BITS = 18
-ROWS_PER_CLASS = 3000
+ROWS_PER_CLASS = 1500
 FOLDS, HELD_OUT_FOLD = 5, 0
 THRESHOLD = 0.3
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Words whose ids a Python worker keeps, twice: beyond that, those not met lately go.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 
 _UNIGRAM, _BPE = 1, 2
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")

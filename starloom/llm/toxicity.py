@@ -40,8 +40,8 @@ BITS = 17
 DIM = 8
 SIZES = (3, 4, 5)
 WINDOW = 4
-ROWS_PER_CLASS = 1200
-WINDOWS_PER_TEXT = 160
+ROWS_PER_CLASS = 800
+WINDOWS_PER_TEXT = 96
 LEAST_TEXTS = 3
 FOLDS, HELD_OUT_FOLD = 4, 2
 THRESHOLD = 0.3
@@ -128,28 +128,31 @@ class Bags:
     """Windows as flat n-gram slots with weights: the mean over words of the mean over n-grams."""
 
     def __init__(self, texts: pa.Array):
-        slot, weight, owner, done = [], [], [], 0
+        slot, weight, size, done = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)], [np.zeros(0, np.int64)], 0
         for w in slices(texts):
             s, count = subwords(w)
-            words = np.maximum(w.counts, 1)
-            per_word = 1 / (np.maximum(count, 1) * words[w.row])
-            slot.append(s)
-            weight.append(np.repeat(per_word, count))
-            owner.append(np.repeat(w.row + done, count))
+            per_word = 1 / (np.maximum(count, 1) * np.maximum(w.counts, 1)[w.row])
+            slot.append(s.astype(np.int32))
+            weight.append(np.repeat(per_word, count).astype(np.float32))
+            size.append(np.bincount(w.row, count, minlength=w.rows).astype(np.int64))
             done += w.rows
-        self.slot = np.concatenate(slot) if slot else np.zeros(0, np.int64)
-        self.weight = np.concatenate(weight).astype(np.float32) if weight else np.zeros(0, np.float32)
-        owner = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-        self.owner, self.rows = owner, done
-        self.cut = np.searchsorted(owner, np.arange(done + 1))
-
-    def drop_rare(self, doc: np.ndarray, least: int) -> np.ndarray:
-        """Drop n-grams of fewer than ``least`` documents (``doc``: of each window); the slots kept."""
-        pairs = np.unique(self.slot * (int(doc.max()) + 1) + doc[self.owner])
-        kept = np.bincount(pairs // (int(doc.max()) + 1), minlength=1 << BITS) >= least
+        self.slot, self.weight, self.rows = np.concatenate(slot), np.concatenate(weight), done
+        self.cut = np.concatenate([[0], np.cumsum(np.concatenate(size))])
+
+    def drop_rare(self, doc: np.ndarray, least: int, step: int = 20_000) -> np.ndarray:
+        """Drop n-grams of fewer than ``least`` documents (``doc``: of each window, ascending); the slots kept."""
+        seen = np.zeros(1 << BITS, np.int64)
+        first = np.append(np.flatnonzero(np.diff(doc, prepend=-1)), self.rows)    # a document's first window
+        ends = [0, *[int(f) for f, g in zip(first[1:], first[:-1]) if f // step > g // step], self.rows]
+        for a, b in zip(ends, ends[1:]):
+            part = slice(self.cut[a], self.cut[b])
+            owner = np.repeat(doc[a:b], np.diff(self.cut[a:b + 1]))
+            pairs = np.unique(owner * (1 << BITS) + self.slot[part])
+            seen += np.bincount(pairs & ((1 << BITS) - 1), minlength=1 << BITS)
+        kept = seen >= least
         here = kept[self.slot]
-        self.slot, self.weight, self.owner = self.slot[here], self.weight[here], self.owner[here]
-        self.cut = np.searchsorted(self.owner, np.arange(self.rows + 1))
+        run = np.concatenate([[0], np.cumsum(here)])
+        self.slot, self.weight, self.cut = self.slot[here], self.weight[here], run[self.cut]
         return kept
 
     def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
