@@ -35,14 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.elias_fano import BigramTrie, Quantiser
-from starloom.llm.textblock import mix, slices
+from starloom.llm.textblock import mix, release_memory, slices
 from starloom.llm.training_rows import fold
 from starloom.sinks.staging import stage
 
 FOLDS, HELD_OUT_FOLD = 5, 1
-SHARD_PAIRS = 4_000_000
+SHARD_PAIRS = 2_000_000
 #: Pairs of a batch that are sent together.
-FLUSH_PAIRS = 3_000_000
+FLUSH_PAIRS = 2_000_000
 FIT_SHARDS = 1
 SIZES = 40
 GRID = np.array([0.01, 0.03, 0.06, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.93, 0.95, 0.97, 0.98, 0.99, 0.995, 0.999])
@@ -92,6 +92,11 @@ def _pairs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
         yield tuple(map(np.concatenate, (rows, first, second, own)))
 
 
+def _width(most: int) -> str:
+    """The narrowest type for numbers below ``most``."""
+    return "<u2" if most <= 1 << 16 else "<u4" if most <= 1 << 32 else "<i8"
+
+
 def _word_blocks(rows: DataFrame, shards: int, buckets: int) -> DataFrame:
     """Distinct words by bucket: their training counts, and the shards that have pairs with them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,10 +105,14 @@ def _word_blocks(rows: DataFrame, shards: int, buckets: int) -> DataFrame:
             for row, a, b, own in _pairs(batch):
                 learn = train[row][own]
                 shard = shard_of(a, b, shards)
-                words, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-                n = np.bincount(at[len(a):][learn], minlength=len(words))
+                # a pair's second word is the first of the next pair, or the end mark
+                words, first = np.unique(a, return_inverse=True)
+                words, first = np.append(words, _END), first.astype(np.int32)
+                second = np.where(b == _END, np.int32(len(words) - 1), np.roll(first, -1))
+                n = np.bincount(second[learn], minlength=len(words))
                 n[words == _START] = (learn & (a == _START)).sum()
-                asks = np.unique(at * shards + np.concatenate([shard, shard]))
+                del a, b
+                asks = np.union1d(np.unique(first * np.int64(shards) + shard), np.unique(second * np.int64(shards) + shard))
                 word, shard = asks // shards, asks % shards
                 bucket = (mix(words.astype(_U)) % _U(buckets)).astype(np.int64)
                 order = np.argsort(bucket[word], kind="stable")
@@ -115,22 +124,26 @@ def _word_blocks(rows: DataFrame, shards: int, buckets: int) -> DataFrame:
                     if cut[k] < cut[k + 1]:
                         ids, runs = np.unique(word[part], return_counts=True)
                         out.append((k, _pack(words[ids]), n[ids].astype("<u4").tobytes(), runs.astype("<u4").tobytes(),
-                                    shard[part].astype("<u4").tobytes()))
+                                    shard[part].astype(_width(shards)).tobytes()))
                 cols = list(zip(*out))
+                del words, first, second, asks, word, shard, bucket, order, learn
+                release_memory()
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])],
                                                  ["bucket", "words", "counts", "runs", "shards"])
 
     return rows.select("text", "train").mapInArrow(run, "bucket int, words binary, counts binary, runs binary, shards binary")
 
 
-def _counts_by_shard(blocks: DataFrame) -> DataFrame:
+def _counts_by_shard(blocks: DataFrame, shards: int) -> DataFrame:
     """``shard``, ``words`` and ``counts`` for the shards that ask; shard -1: ``tokens`` and ``types`` of a bucket."""
+    width = _width(shards)
+
     def run(group: pa.Table) -> pa.Table:
-        words, counts, runs, shards = (group[c].to_pylist() for c in ("words", "counts", "runs", "shards"))
+        words, counts, runs, places = (group[c].to_pylist() for c in ("words", "counts", "runs", "shards"))
         word = np.concatenate([_unpack(w) for w in words])
         count = np.concatenate([np.frombuffer(c, "<u4") for c in counts]).astype(np.int64)
         runs = np.concatenate([np.frombuffer(r, "<u4") for r in runs])
-        shard = np.concatenate([np.frombuffer(s, "<u4") for s in shards]).astype(np.int64)
+        shard = np.concatenate([np.frombuffer(s, width) for s in places]).astype(np.int64)
         ids, at = np.unique(word, return_inverse=True)
         total = np.bincount(at, count, minlength=len(ids)).astype(np.int64)
         asks = np.unique(shard * len(ids) + np.repeat(at, runs))
@@ -138,7 +151,8 @@ def _counts_by_shard(blocks: DataFrame) -> DataFrame:
         known = total[at] > 0
         shard, at = shard[known], at[known]
         cut = np.flatnonzero(np.diff(shard, prepend=-1))
-        out = [(int(shard[a]), _pack(ids[at[a:b]]), total[at[a:b]].astype("<i8").tobytes(), 0, 0)
+        kind = _width(int(total.max()) + 1)
+        out = [(int(shard[a]), _pack(ids[at[a:b]]), total[at[a:b]].astype(kind).tobytes(), 0, 0)
                for a, b in zip(cut, np.append(cut[1:], len(shard)))]
         token = (total > 0) & (ids != _START)
         out.append((-1, b"", b"", int(total[token].sum()), int(token.sum())))
@@ -172,6 +186,8 @@ def _pair_blocks(rows: DataFrame, shards: int, most: int) -> DataFrame:
                                 runs.astype("<u4").tobytes(), _pack(words), at.astype(small).tobytes()))
                 if out:
                     cols = list(zip(*out))
+                    del shard, order, out
+                    release_memory()
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])],
                         ["shard", "keys", "train", "runs", "words", "places"])
@@ -185,13 +201,16 @@ class Shard:
 
     def __init__(self, blocks: pa.Table, counts: pa.Table, tokens: int, types: int):
         words = [_unpack(w) for w in counts["words"].to_pylist()] or [np.zeros(0, np.int64)]
-        n = [np.frombuffer(c, "<i8") for c in counts["counts"].to_pylist()] or [np.zeros(0, np.int64)]
+        n = [np.frombuffer(c, f"<i{len(c) // len(w)}" if len(c) == 8 * len(w) else f"<u{len(c) // len(w)}").astype(np.int64)
+             for c, w in zip(counts["counts"].to_pylist(), words)] or [np.zeros(0, np.int64)]
         words, n = np.concatenate(words), np.concatenate(n)
         order = np.argsort(words)
         words, self.count = words[order], np.append(n[order], 0)          # the last id is that of unseen words
         self.unseen = len(words)
         first, second, train, own, keys, done = [], [], [], [], [], 0
-        for block in blocks.to_pylist():
+        columns = [blocks[c] for c in ("words", "runs", "places", "train", "keys")]
+        for k in range(len(blocks)):
+            block = dict(zip(("words", "runs", "places", "train", "keys"), (c[k].as_buffer() for c in columns)))  # no copy
             known = _unpack(block["words"])
             at = np.minimum(np.searchsorted(words, known), max(len(words) - 1, 0))
             ids = np.where(words[at] == known, at, self.unseen) if len(words) else np.full(len(known), self.unseen)
@@ -208,8 +227,10 @@ class Shard:
         self.keys, self.own = np.concatenate(keys), np.concatenate(own)
         pair = np.concatenate(first).astype(np.int64) * (self.unseen + 1) + np.concatenate(second)
         train = np.concatenate(train)
+        del first, second, own, columns
         self.pairs, self.at = np.unique(pair, return_inverse=True)        # distinct pairs, of all texts
         self.seen = np.bincount(self.at[train], minlength=len(self.pairs))
+        self.at = self.at.astype(np.int32)
         self.first, self.second = self.pairs // (self.unseen + 1), self.pairs % (self.unseen + 1)
         self.unigram = (self.count + 0.5) / (tokens + 0.5 * (types + 1))
 
@@ -262,13 +283,14 @@ def language_scores(docs: DataFrame, *, folds: int = FOLDS, held_out_fold: int =
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(1, -(-size // 6 // shard_pairs))
 
-    counts = stage(_counts_by_shard(_word_blocks(rows, shards, shards)), "ngram-counts")
+    counts = stage(_counts_by_shard(_word_blocks(rows, shards, shards), shards), "ngram-counts")
     total = counts.where("shard = -1").agg(F.sum("tokens"), F.sum("types")).first()
     tokens, types = total[0] or 0, total[1] or 0
     of_words = counts.where("shard >= 0").select("shard", "words", "counts").groupBy("shard")
 
     def fit(key, blocks: pa.Table, words: pa.Table) -> pa.Table:
         sums = Shard(blocks, words, tokens, types).left_out() if len(blocks) else np.zeros((SIZES, len(GRID)))
+        release_memory()
         return pa.table({"sums": pa.array([sums.tobytes()], pa.binary())})
 
     few = min(shards, FIT_SHARDS)
@@ -279,6 +301,7 @@ def language_scores(docs: DataFrame, *, folds: int = FOLDS, held_out_fold: int =
 
     def look_up(key, blocks: pa.Table, words: pa.Table) -> pa.Table:
         cols = Shard(blocks, words, tokens, types).scores(weights) if len(blocks) else ([], [], [], [], [])
+        release_memory()
         kinds = (pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["key", "base", "score", "known", "n"])
 

@@ -10,6 +10,7 @@ which bounds the memory of a task whatever the batch size is.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,6 +56,14 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def release_memory() -> None:
+    """Give freed memory back, so that a worker holds only what its present task needs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 @dataclass
 class Words:
     """The words of ``rows`` texts: ``row`` (of the slice), ``start`` and ``end`` byte, ``hash``."""
