@@ -15,7 +15,7 @@ successors of a hot word over many shards. Two scans feed two shuffles:
    them; what flows on to each shard is the counts of its words;
 2. the pairs of each batch by shard, as indexes into the block's words. A shard
    meets its pairs and its counts in one task of about ``SHARD_PAIRS`` pairs,
-   builds its trie, looks all pairs up, and sends one row of sums for each text.
+   builds its trie, looks all pairs up, and sends the sums of its texts, by blocks of texts.
 
 The weights ``l`` are fitted first by leaving one occurrence out, over all pairs
 of the first ``FIT_SHARDS`` shards; a shard is a hash sample of the pairs of all
@@ -48,6 +48,7 @@ SIZES = 40
 GRID = np.array([0.01, 0.03, 0.06, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.93, 0.95, 0.97, 0.98, 0.99, 0.995, 0.999])
 
 _U = np.uint64
+_SUM_NAMES, _SUMS = ("key", "base", "score", "known", "n"), ("<i8", "<f8", "<f8", "<u4", "<u4")
 _START, _END = (int(v) >> 16 for v in mix(np.array([1, 2], _U)))
 
 
@@ -300,14 +301,28 @@ def language_scores(docs: DataFrame, *, folds: int = FOLDS, held_out_fold: int =
     weights = _weights(sum((np.frombuffer(s).reshape(SIZES, -1) for s in fitted), np.zeros((SIZES, len(GRID)))))
 
     def look_up(key, blocks: pa.Table, words: pa.Table) -> pa.Table:
-        cols = Shard(blocks, words, tokens, types).scores(weights) if len(blocks) else ([], [], [], [], [])
+        out = []
+        if len(blocks):
+            cols = Shard(blocks, words, tokens, types).scores(weights)
+            bucket = (mix(cols[0].view(_U)) % _U(shards)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cut = np.searchsorted(bucket[order], np.arange(shards + 1))
+            out = [(k, *(c[order[a:b]].astype(t).tobytes() for c, t in zip(cols, _SUMS)))
+                   for k, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if a < b]
         release_memory()
-        kinds = (pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["key", "base", "score", "known", "n"])
+        cols = list(zip(*out)) or [[]] * 6
+        return pa.Table.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])],
+                                    ["bucket", *_SUM_NAMES])
+
+    def add_up(table: pa.Table) -> pa.Table:
+        cols = [np.frombuffer(b"".join(table[c].to_pylist()), t) for c, t in zip(_SUM_NAMES, _SUMS)]
+        ids, at = np.unique(cols[0], return_inverse=True)
+        sums = [np.bincount(at, c, minlength=len(ids)) for c in cols[1:]]
+        return pa.table({"key": ids, **{c: v for c, v in zip(_SUM_NAMES[1:], sums)}})
 
     sums = (_pair_blocks(rows, shards, shards).groupBy("shard").cogroup(of_words)
-            .applyInArrow(look_up, "key long, base double, score double, known long, n long")
-            .groupBy("key").agg(*(F.sum(c).alias(c) for c in ("base", "score", "known", "n"))))
+            .applyInArrow(look_up, "bucket int, key binary, base binary, score binary, known binary, n binary")
+            .groupBy("bucket").applyInArrow(add_up, "key long, base double, score double, known double, n double"))
     # rows that repeat an id and a text share a key, and all their pairs are in its sums
     same = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
     sums = sums.join(same, "key").select("key", *((F.col(c) / F.col("rows")).alias(c) for c in ("base", "score", "known", "n")))
