@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from helpers import SF, documents, empty, needs_tables, odd, words
 
 from starloom.llm import decontaminate, vector_search
@@ -129,6 +130,24 @@ def test_recall_of_edited_items():
         assert sum((r, k) in got for r, k in enumerate(want)) >= least * len(want)
 
 
+@pytest.mark.parametrize("place", ["start", "middle", "end", "spread"])
+@pytest.mark.parametrize("share", [0.2, 0.25])
+def test_recall_wherever_the_edits_are(place, share):
+    rng = random.Random(6)
+    pool = [f"w{int(rng.paretovariate(0.15)) % 5000}" for _ in range(4000)]
+    for size in (16, 24, 48, 59, 100, 200, 300):
+        items = [[rng.choice(pool) for _ in range(size)] for _ in range(30)]
+        index = decontaminate.Index(list(range(30)), [" ".join(t) for t in items])
+        texts, n = [], int(share * size)
+        for item in items:
+            at = {"start": range(n), "middle": range((size - n) // 2, (size + n) // 2), "end": range(size - n, size),
+                  "spread": rng.sample(range(size), n)}[place]
+            inside = [f"new{rng.randrange(10 ** 6)}" if k in set(at) else v for k, v in enumerate(item)]
+            texts.append(" ".join([rng.choice(pool) for _ in range(rng.randrange(90))] + inside + [rng.choice(pool) for _ in range(rng.randrange(90))]))
+        got = {(w.first_row + m[0], m[1]) for w in slices(pa.array(texts)) for m in index.matches(w)}
+        assert sum((k, k) in got for k in range(30)) >= 0.9 * 30, size
+
+
 @needs_tables
 def test_matches_are_true_and_whole_items_are_found(spark):
     docs, benchmark = documents(spark), spark.read.parquet(f"{SF}/benchmark.parquet")
