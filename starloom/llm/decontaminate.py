@@ -1,7 +1,8 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
 
 An item occurs in a text if some stretch of the text's words is within
-``len(item) // 4`` word edits of the item's words (similarity 0.75 or more).
+``len(item) // 4`` word edits of the item's words (similarity 0.75 or more);
+an item of one to four words only if all of the text's words are.
 Words are compared by hash, ``A-Z`` lower-cased.
 
 * *Embedding.* A random walk over a window emits, at each step, the word it
@@ -18,8 +19,12 @@ Words are compared by hash, ``A-Z`` lower-cased.
   twice, up to 64 words. They are indexed over the whole item, ``STRIDE`` of them
   at every half window and at its end, as a walk gets through about half of its
   window: wherever the edits are, some walks meet no more than their share of
-  them. What is verified is the whole item. Items of 5 to 11 words are
-  looked for unchanged at every word. Shorter ones are not looked for.
+  them. What is verified is the whole item.
+* *Short items*, which no window fits twice, are sought exactly: cut into one
+  part more than the edits allowed, one part at least is in the text unchanged,
+  and each part is looked up at every word. Items under ``SHORTEST`` words are
+  too common within texts; they match a text that is, as a whole, within a
+  quarter of their words.
 
 The benchmark is indexed in blocks of a bounded size, each broadcast to one pass
 over whole texts; a pass needs no shuffle. The benchmark is a stated query set,
@@ -58,9 +63,9 @@ STEPS = {w: [sorted(_rng.choice(w, SAMPLED, replace=False).tolist()) for _ in ra
 
 
 def window_size(words: int) -> int | None:
-    """The window of an item of so many words, None if it is looked for unchanged or not at all."""
+    """The window of an item of so many words, None if it is looked for by its parts."""
     fits = [w for w in WINDOW_SIZES if 2 * w + STRIDE - 1 <= words]
-    return fits[-1] if fits else WINDOW_SIZES[0] if WINDOW_SIZES[0] + STRIDE - 1 <= words else None
+    return fits[-1] if fits else None
 
 
 def window_starts(words: int, size: int) -> np.ndarray:
@@ -70,7 +75,13 @@ def window_starts(words: int, size: int) -> np.ndarray:
 
 
 def most_edits(words: int) -> int:
-    return words // 4 if window_size(words) else 0
+    return words // 4
+
+
+def part_bounds(words: int) -> list[tuple[int, int]]:
+    """One part more than edits allowed, as even as can be: one of them at least is met by no edit."""
+    cut = np.arange(most_edits(words) + 2) * words // (most_edits(words) + 1)
+    return list(zip(cut[:-1].tolist(), cut[1:].tolist()))
 
 
 def window_keys(words: np.ndarray, starts: np.ndarray, sizes: list[int]) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -138,16 +149,17 @@ class Index:
             cut = np.concatenate([[0], np.cumsum(w.counts)])
             found += [w.hash[a:b] for a, b in zip(cut[:-1], cut[1:])]
         parts: dict[tuple[int, int], list] = {}
-        unchanged: dict[int, list[tuple[int, int]]] = {}
+        short: tuple[dict[int, list], dict[int, list]] = {}, {}     # sought in texts, sought as texts
         for item_id, words in zip(ids, found):
-            if len(words) < SHORTEST:
+            if not len(words):
                 continue
             k = len(self.ids)
             self.ids.append(item_id)
             self.words.append(words)
             size = window_size(len(words))
             if size is None:
-                unchanged.setdefault(len(words), []).append((int(_whole(words, len(words))[0]), k))
+                for a, b in part_bounds(len(words)):
+                    short[len(words) < SHORTEST].setdefault(b - a, []).append((int(_whole(words[a:b], b - a)[0]), k, a))
                 continue
             starts = window_starts(len(words), size)
             item, offset = np.full(len(starts), k, np.int32), starts.astype(np.int32)
@@ -155,8 +167,8 @@ class Index:
                 parts.setdefault((size, rep), []).append((keys, item, offset))
         self.tables = {at: Table(*(np.concatenate(c) for c in zip(*rows))) for at, rows in parts.items()}
         self.sizes = sorted({size for size, _ in self.tables})
-        self.unchanged = {n: Table(np.array([h for h, _ in rows], _U), np.array([k for _, k in rows]), np.zeros(len(rows), np.int64))
-                          for n, rows in unchanged.items()}
+        self.within, self.alone = ({n: Table(*(np.array(c, t) for c, t in zip(zip(*rows), (_U, np.int32, np.int32))))
+                                    for n, rows in parts_of.items()} for parts_of in short)
 
     def candidates(self, w: Words) -> np.ndarray:
         """Rows ``(text, first word of the item, item)``, distinct and ordered."""
@@ -176,11 +188,19 @@ class Index:
                     at, item, offset = self.tables[size, rep].find(keys)
                     ok = room[at] >= size
                     found.append(self._plausible(w.hash, np.stack([row[at], starts[at] - offset, item], 1)[ok]))
-        for n, known in self.unchanged.items():
+        for n, known in self.within.items():
             if len(w.hash) >= n:
-                at, item, _ = known.find(_whole(w.hash, n))
+                at, item, offset = known.find(_whole(w.hash, n))
                 ok = w.row[at] == w.row[at + n - 1]
-                found.append(np.stack([w.row[at], at, item], 1)[ok])
+                found.append(self._plausible(w.hash, np.stack([w.row[at], at - offset, item], 1)[ok]))
+        if self.alone:
+            few = np.flatnonzero(counts[w.row] < SHORTEST - 1 + most_edits(SHORTEST - 1) + 1)
+            for n, known in self.alone.items():
+                if len(few) >= n:
+                    at, item, _ = known.find(_whole(w.hash[few], n))
+                    ok = w.row[few[at]] == w.row[few[at + n - 1]]
+                    row = w.row[few[at]]
+                    found.append(np.stack([row, first[row], item], 1)[ok])
         found = [f for f in found if len(f)]
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
@@ -213,7 +233,11 @@ class Index:
                 continue
             a = max(begin - most, int(first[row]))
             b = min(begin + len(words) + most, int(first[row] + counts[row]))
-            got = closest(words, w.hash[a:b], most, begin - a)
+            if len(words) < SHORTEST:
+                edits = word_edits(words.tolist(), w.hash[first[row]:first[row] + counts[row]].tolist())
+                got = (edits, 0, int(counts[row])) if edits <= most else None
+            else:
+                got = closest(words, w.hash[a:b], most, begin - a)
             if got is not None and (known is None or (got[0], a + got[1]) < known[:2]):
                 best[row, item] = (got[0], a + got[1], a + got[2])
         for (row, item), (edits, a, b) in sorted(best.items()):
@@ -228,6 +252,17 @@ def _whole(words: np.ndarray, n: int) -> np.ndarray:
     return mix(h)
 
 
+def word_edits(item: list[int], text: list[int]) -> int:
+    """The word edits that turn the item into the whole text; both are short."""
+    row = list(range(len(text) + 1))
+    for k, word in enumerate(item, 1):
+        new = [k]
+        for j, other in enumerate(text, 1):
+            new.append(min(row[j - 1] + (word != other), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return row[-1]
+
+
 def closest(item: np.ndarray, text: np.ndarray, most: int, guess: int) -> tuple[int, int, int] | None:
     """``(edits, begin, end)`` of the stretch of ``text`` nearest to ``item``, if within ``most`` word edits.
 

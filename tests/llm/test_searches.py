@@ -135,7 +135,7 @@ def test_recall_of_edited_items():
 def test_recall_wherever_the_edits_are(place, share):
     rng = random.Random(6)
     pool = [f"w{int(rng.paretovariate(0.15)) % 5000}" for _ in range(4000)]
-    for size in (16, 24, 48, 59, 100, 200, 300):
+    for size in (12, 16, 24, 48, 59, 100, 200, 300):
         items = [[rng.choice(pool) for _ in range(size)] for _ in range(30)]
         index = decontaminate.Index(list(range(30)), [" ".join(t) for t in items])
         texts, n = [], int(share * size)
@@ -148,6 +148,33 @@ def test_recall_wherever_the_edits_are(place, share):
         assert sum((k, k) in got for k in range(30)) >= 0.9 * 30, size
 
 
+def _found(index, texts):
+    return {(w.first_row + m[0], m[1]): m[4] for w in slices(pa.array(texts)) for m in index.matches(w)}
+
+
+def test_short_items_against_a_plain_search():
+    """Items of 5 to 19 words within a quarter of their words, by all kinds of edits, over a small vocabulary: every pair."""
+    rng = random.Random(8)
+    pool = [f"w{k}" for k in range(60)]
+    items = [[rng.choice(pool) for _ in range(size)] for size in range(5, 20) for _ in range(6)]
+    texts = []
+    for item in items:
+        for share in (0.0, 0.15, 0.25, 0.4):
+            texts.append([rng.choice(pool) for _ in range(rng.randrange(12))] + (_edited(rng, item, pool, share) if share else item)
+                         + [rng.choice(pool) for _ in range(rng.randrange(12))])
+    got = _found(decontaminate.Index(list(range(len(items))), [" ".join(t) for t in items]), [" ".join(t) for t in texts])
+    want = {(r, k): e for r, t in enumerate(texts) for k, i in enumerate(items) if (e := _plain_edits(i, t)) <= len(i) // 4}
+    assert got == want and len(want) > 200
+
+
+def test_shortest_items_are_compared_with_whole_texts():
+    items = ["Yes", "two words", "three words here", "exactly four words here"]
+    texts = ["yes", "yes yes", "oh yes", "two  WORDS", "words two", "three words", "three words here", "exactly four words here",
+             "exactly for words here", "exactly four here", "so exactly four words here", "so exactly for words here", "words here"]
+    got = _found(decontaminate.Index([0, 1, 2, 3], items), texts)
+    assert got == {(0, 0): 0, (3, 1): 0, (6, 2): 0, (7, 3): 0, (8, 3): 1, (9, 3): 1, (10, 3): 1}
+
+
 @needs_tables
 def test_matches_are_true_and_whole_items_are_found(spark):
     docs, benchmark = documents(spark), spark.read.parquet(f"{SF}/benchmark.parquet")
