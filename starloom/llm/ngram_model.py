@@ -9,17 +9,19 @@ or for unseen pairs it backs off to ``l p(w)``. Probabilities are kept in
 
 Counts cover all training texts, and the model grows with them, so it is cut
 into shards by pair: by ``v`` and a few bits of ``w``, which spreads the
-successors of a hot word over many shards. Two scans feed two shuffles:
+successors of a hot word over many shards. Three scans feed three shuffles:
 
 1. distinct words of each batch with their counts, and the shards that ask for
    them; what flows on to each shard is the counts of its words;
-2. the pairs of each batch by shard, as indexes into the block's words. A shard
-   meets its pairs and its counts in one task of about ``SHARD_PAIRS`` pairs,
-   builds its trie, looks all pairs up, and sends the sums of its texts, by blocks of texts.
+2. the pairs of each batch's training texts by shard, as indexes into the
+   block's words. A shard meets its pairs and its counts in one task of about
+   ``SHARD_PAIRS`` pairs. The weights ``l`` are fitted by leaving one occurrence
+   out: a shard's log likelihoods are a table of fixed size, which Spark adds up
+   over all shards, so every training pair counts;
+3. the pairs of all texts, likewise. A shard builds its trie, looks all pairs up,
+   and sends the sums of its texts, by blocks of texts.
 
-The weights ``l`` are fitted first by leaving one occurrence out, over all pairs
-of the first ``FIT_SHARDS`` shards; a shard is a hash sample of the pairs of all
-texts, of a bounded size. Words are known by 48 bits of their hash.
+Words are known by 48 bits of their hash.
 
 Defined results: a null or empty text is one end mark. Repeated rows score
 alike and each count in training. Without training texts all counts are 0.
@@ -28,10 +30,11 @@ alike and each count in training. Without training texts all counts are 0.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.elias_fano import BigramTrie, Quantiser
@@ -43,7 +46,8 @@ FOLDS, HELD_OUT_FOLD = 5, 1
 SHARD_PAIRS = 2_000_000
 #: Pairs of a batch that are sent together.
 FLUSH_PAIRS = 2_000_000
-FIT_SHARDS = 1
+#: Tables of sums that reach the driver.
+FIT_TABLES = 32
 SIZES = 40
 GRID = np.array([0.01, 0.03, 0.06, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.93, 0.95, 0.97, 0.98, 0.99, 0.995, 0.999])
 
@@ -165,18 +169,25 @@ def _counts_by_shard(blocks: DataFrame, shards: int) -> DataFrame:
     return blocks.groupBy("bucket").applyInArrow(run, "shard int, words binary, counts binary, tokens long, types long")
 
 
-def _pair_blocks(rows: DataFrame, shards: int, most: int) -> DataFrame:
-    """Pairs by shard (those below ``most``): texts with their runs, words, and both words' places among them."""
+def _pair_blocks(rows: DataFrame, shards: int, *, by_text: bool) -> DataFrame:
+    """Pairs by shard: texts with their runs, words, and both words' places among them.
+
+    Unless ``by_text``, a block's pairs are those of its training texts and are sent as the run of one text.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             train = batch.column("train").to_numpy(zero_copy_only=False)
             key = batch.column("key").to_numpy(zero_copy_only=False)
             for row, a, b, own in _pairs(batch):
+                if not by_text:
+                    learn = train[row][own]
+                    a, b, own = a[learn], b[learn], np.zeros(int(learn.sum()), np.int64)
+                    row = row[train[row]][:1]
                 shard = shard_of(a, b, shards)
                 order = np.argsort(shard.astype(np.uint16) if shards < 65536 else shard, kind="stable")
-                cut = np.searchsorted(shard[order], np.arange(min(shards, most) + 1))
+                cut = np.searchsorted(shard[order], np.arange(shards + 1))
                 out = []
-                for k in range(min(shards, most)):
+                for k in range(shards):
                     part = order[cut[k]:cut[k + 1]]
                     if not len(part):
                         continue
@@ -274,6 +285,21 @@ def _weights(sums: np.ndarray) -> np.ndarray:
     return best[has[np.abs(np.arange(SIZES)[:, None] - has).argmin(1)]]
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Frames made meanwhile drop their shuffle files as soon as they have been run, not at some later collection."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def language_scores(docs: DataFrame, *, folds: int = FOLDS, held_out_fold: int = HELD_OUT_FOLD,
                     shard_pairs: int = SHARD_PAIRS) -> DataFrame:
     """Per document: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``."""
@@ -284,7 +310,8 @@ def language_scores(docs: DataFrame, *, folds: int = FOLDS, held_out_fold: int =
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(1, -(-size // 6 // shard_pairs))
 
-    counts = stage(_counts_by_shard(_word_blocks(rows, shards, shards), shards), "ngram-counts")
+    with _shuffles_dropped(docs.sparkSession):
+        counts = stage(_counts_by_shard(_word_blocks(rows, shards, shards), shards), "ngram-counts")
     total = counts.where("shard = -1").agg(F.sum("tokens"), F.sum("types")).first()
     tokens, types = total[0] or 0, total[1] or 0
     of_words = counts.where("shard >= 0").select("shard", "words", "counts").groupBy("shard")
@@ -292,13 +319,18 @@ def language_scores(docs: DataFrame, *, folds: int = FOLDS, held_out_fold: int =
     def fit(key, blocks: pa.Table, words: pa.Table) -> pa.Table:
         sums = Shard(blocks, words, tokens, types).left_out() if len(blocks) else np.zeros((SIZES, len(GRID)))
         release_memory()
-        return pa.table({"sums": pa.array([sums.tobytes()], pa.binary())})
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([sums.tobytes()], pa.binary())})
+
+    def add_tables(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        tables = [np.frombuffer(s) for s in group.sort_by("shard")["sums"].to_pylist()]     # the same order in every run
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([sum(tables).tobytes()], pa.binary())})
 
-    few = min(shards, FIT_SHARDS)
-    fitted = (_pair_blocks(rows, shards, few).groupBy("shard")
-              .cogroup(counts.where((F.col("shard") >= 0) & (F.col("shard") < few)).select("shard", "words", "counts").groupBy("shard"))
-              .applyInArrow(fit, "sums binary").toArrow()["sums"].to_pylist())
-    weights = _weights(sum((np.frombuffer(s).reshape(SIZES, -1) for s in fitted), np.zeros((SIZES, len(GRID)))))
+    with _shuffles_dropped(docs.sparkSession):
+        fitted = (_pair_blocks(rows, shards, by_text=False).groupBy("shard").cogroup(of_words)
+                  .applyInArrow(fit, "shard int, sums binary")
+                  .groupBy((F.col("shard") % FIT_TABLES).alias("part")).applyInArrow(add_tables, "part int, sums binary").toArrow())
+    weights = _weights(sum((np.frombuffer(s).reshape(SIZES, -1) for s in fitted.sort_by("part")["sums"].to_pylist()),
+                           np.zeros((SIZES, len(GRID)))))
 
     def look_up(key, blocks: pa.Table, words: pa.Table) -> pa.Table:
         out = []
@@ -320,7 +352,7 @@ def language_scores(docs: DataFrame, *, folds: int = FOLDS, held_out_fold: int =
         sums = [np.bincount(at, c, minlength=len(ids)) for c in cols[1:]]
         return pa.table({"key": ids, **{c: v for c, v in zip(_SUM_NAMES[1:], sums)}})
 
-    sums = (_pair_blocks(rows, shards, shards).groupBy("shard").cogroup(of_words)
+    sums = (_pair_blocks(rows, shards, by_text=True).groupBy("shard").cogroup(of_words)
             .applyInArrow(look_up, "bucket int, key binary, base binary, score binary, known binary, n binary")
             .groupBy("bucket").applyInArrow(add_up, "key long, base double, score double, known double, n double"))
     # rows that repeat an id and a text share a key, and all their pairs are in its sums

@@ -161,6 +161,24 @@ def test_scores_against_a_plain_model(spark, monkeypatch):
         assert abs(sum(pair(a, w) for w in c) + pair(a, "never met") - 1) < 1e-9
 
 
+@needs_tables
+def test_weights_are_fitted_on_all_training_pairs(spark, monkeypatch):
+    """The sums behind the weights, from several shards, against a plain leave-one-out over every training pair."""
+    fitted, weights_of = [], ngram_model._weights
+    monkeypatch.setattr(ngram_model, "_weights", lambda sums: fitted.append(sums) or weights_of(sums))
+    rows = [(r["doc_id"], r["text"]) for r in documents(spark).collect()][:80]
+    language_scores(spark.createDataFrame(rows, "doc_id long, text string"), shard_pairs=7000)
+    learn = [words(t) + ["</s>"] for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    c = Counter(w for t in learn for w in t)
+    first = Counter(v for t in learn for v in ["<s>", *t[:-1]])
+    want = np.zeros((ngram_model.SIZES, len(ngram_model.GRID)))
+    for (a, w), k in Counter(p for t in learn for p in zip(["<s>", *t], t)).items():
+        if first[a] > 1:
+            uni = (c[w] + 0.5) / (sum(c.values()) + 0.5 * (len(c) + 1))
+            want[int(math.log2(first[a]))] += k * np.log((1 - ngram_model.GRID) * (k - 1) / (first[a] - 1) + ngram_model.GRID * uni)
+    assert len(fitted) == 1 and np.allclose(fitted[0], want, rtol=1e-9, atol=1e-6)
+
+
 @needs_tables
 def test_model_beats_the_base_on_held_out_texts(spark):
     got = [r for r in language_scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect() if r["held_out"]]
