@@ -30,7 +30,7 @@ from starloom.llm.textblock import Words, mix, slices
 from starloom.llm.training_rows import fold, labelled_sample
 
 BITS = 18
-ROWS_PER_CLASS = 1500
+ROWS_PER_CLASS = 3000
 FOLDS, HELD_OUT_FOLD = 5, 0
 THRESHOLD = 0.3
 
@@ -119,11 +119,11 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], *, epochs: int = 4) -> t
         share = (ones + 0.5) / (len(rows) + 1)
         return np.zeros(size, np.float32), float(np.log(share / (1 - share)))
     model = Ftrl(size)
-    data = [(np.append(slots, size).astype(np.int64), np.append(shares, 1.0), y) for slots, shares, y in rows]
     rng = np.random.default_rng(5)
     for _ in range(epochs):
-        for i in rng.permutation(len(data)):
-            model.update(*data[i])
+        for i in rng.permutation(len(rows)):
+            slots, shares, y = rows[i]                   # kept narrow; widened one at a time
+            model.update(np.append(slots, size).astype(np.int64), np.append(shares, 1.0), y)
     w = model.weights(slice(None))
     return w[:size].astype(np.float32), float(w[size])
 
@@ -155,6 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", folds:
 
     got = sample.mapInArrow(featurise, "doc_id long, label int, slots binary, shares binary").toArrow()
     rows = sorted(zip(*(got.column(c).to_pylist() for c in ("doc_id", "slots", "shares", "label"))))
+    del got
     return fit([(np.frombuffer(s, np.int32), np.frombuffer(v, np.float32), y) for _, s, v, y in rows])
 
 

@@ -8,7 +8,9 @@ text, so a text is scored by its most toxic window (any window position, found
 from running sums) and not by the mean of the whole, in which it would drown.
 
 Training takes a bounded sample (``rows_per_class`` labelled texts of either
-class, of each at most ``WINDOWS_PER_TEXT`` windows spread evenly over it). Only
+class) and all windows of its texts. The sample is written to the shared folder
+and read in parts; the driver holds one number for each word of it, and the
+n-grams of each distinct word once. Only
 texts are labelled, so it goes in rounds: at first every window carries its
 text's label; later, of a toxic text only its most toxic windows count, and all
 windows of the others. Embeddings and softmax are fitted together by AdaGrad. A
@@ -27,6 +29,7 @@ lacks a class the score is the smoothed share of toxic rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +38,15 @@ from pyspark.sql import functions as F
 
 from starloom.llm.textblock import Words, slices
 from starloom.llm.training_rows import fold, labelled_sample
+from starloom.sinks.staging import stage
 
 BITS = 17
 DIM = 8
 SIZES = (3, 4, 5)
 WINDOW = 4
-ROWS_PER_CLASS = 800
-WINDOWS_PER_TEXT = 96
+ROWS_PER_CLASS = 1200
+#: Bytes of the sample's texts that the driver reads at a time.
+PART_BYTES = 16 << 20
 LEAST_TEXTS = 3
 FOLDS, HELD_OUT_FOLD = 4, 2
 THRESHOLD = 0.3
@@ -124,20 +129,62 @@ def text_margins(column: pa.Array, margin: np.ndarray, intercept: float, window:
     return np.concatenate(out) if out else np.zeros(0)
 
 
+def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places ``first .. first + size - 1`` of each run."""
+    return np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+
+
 class Bags:
-    """Windows as flat n-gram slots with weights: the mean over words of the mean over n-grams."""
+    """Windows as words and words as n-gram slots: a window is the mean over its words of the mean over their n-grams."""
+
+    def __init__(self):
+        self.rows = 0
+        self._hash, self._number = np.zeros(0, np.uint64), np.zeros(0, np.int32)     # of the words met, by hash
+        self._slots, self._counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        self._words, self._sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
 
-    def __init__(self, texts: pa.Array):
-        slot, weight, size, done = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)], [np.zeros(0, np.int64)], 0
+    def add(self, texts: pa.Array, window: int | None = None) -> np.ndarray:
+        """Add the windows of ``window`` successive words of each text (None: its whole); each window's text."""
+        of = [np.zeros(0, np.int64)]
         for w in slices(texts):
-            s, count = subwords(w)
-            per_word = 1 / (np.maximum(count, 1) * np.maximum(w.counts, 1)[w.row])
-            slot.append(s.astype(np.int32))
-            weight.append(np.repeat(per_word, count).astype(np.float32))
-            size.append(np.bincount(w.row, count, minlength=w.rows).astype(np.int64))
-            done += w.rows
-        self.slot, self.weight, self.rows = np.concatenate(slot), np.concatenate(weight), done
-        self.cut = np.concatenate([[0], np.cumsum(np.concatenate(size))])
+            ids, first, place = np.unique(w.hash, return_index=True, return_inverse=True)
+            at = np.searchsorted(self._hash, ids)
+            known = np.append(self._hash, np.uint64(0))[at] == ids
+            known &= at < len(self._hash)
+            fresh = np.flatnonzero(~known)
+            number = np.empty(len(ids), np.int32)
+            number[known] = self._number[at[known]]
+            number[fresh] = len(self._hash) + np.arange(len(fresh))
+            self._hash = np.insert(self._hash, at[fresh], ids[fresh])
+            self._number = np.insert(self._number, at[fresh], number[fresh])
+            new = first[fresh]
+            slot, count = subwords(replace(w, row=w.row[new], start=w.start[new], end=w.end[new], hash=w.hash[new]))
+            self._slots.append(slot.astype(np.int32))
+            self._counts.append(count.astype(np.int32))
+            counts = w.counts
+            n = np.ones(w.rows, np.int64) if window is None else -(-counts // window)
+            text = np.repeat(np.arange(w.rows), n)
+            size = counts if window is None else np.minimum(window, counts[text] - _runs(np.zeros(w.rows, np.int64), n) * window)
+            self._words.append(number[place])
+            self._sizes.append(size.astype(np.int32))
+            of.append(w.first_row + text)
+            self.rows += len(text)
+        return np.concatenate(of)
+
+    def close(self) -> Bags:
+        """To be called when all texts are in."""
+        self.slot, count = np.concatenate(self._slots), np.concatenate(self._counts)
+        self.word, self.size = np.concatenate(self._words), np.concatenate(self._sizes).astype(np.int64)
+        self._slots = self._counts = self._words = self._sizes = None
+        self.slot_cut = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
+        self.share = 1 / np.maximum(count, 1)                    # of an n-gram in its word
+        self.cut = np.concatenate([[0], np.cumsum(self.size)])
+        return self
+
+    def _slots_of(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(position in word, slot)``."""
+        size = self.slot_cut[word + 1] - self.slot_cut[word]
+        return np.repeat(np.arange(len(word)), size), self.slot[_runs(self.slot_cut[word], size)]
 
     def drop_rare(self, doc: np.ndarray, least: int, step: int = 20_000) -> np.ndarray:
         """Drop n-grams of fewer than ``least`` documents (``doc``: of each window, ascending); the slots kept."""
@@ -145,22 +192,30 @@ class Bags:
         first = np.append(np.flatnonzero(np.diff(doc, prepend=-1)), self.rows)    # a document's first window
         ends = [0, *[int(f) for f, g in zip(first[1:], first[:-1]) if f // step > g // step], self.rows]
         for a, b in zip(ends, ends[1:]):
-            part = slice(self.cut[a], self.cut[b])
-            owner = np.repeat(doc[a:b], np.diff(self.cut[a:b + 1]))
-            pairs = np.unique(owner * (1 << BITS) + self.slot[part])
+            words = np.unique(np.repeat(doc[a:b], self.size[a:b]) * len(self.share) + self.word[self.cut[a]:self.cut[b]])
+            own, slot = self._slots_of(words % len(self.share))
+            pairs = np.unique((words // len(self.share))[own] * (1 << BITS) + slot)
             seen += np.bincount(pairs & ((1 << BITS) - 1), minlength=1 << BITS)
         kept = seen >= least
         here = kept[self.slot]
         run = np.concatenate([[0], np.cumsum(here)])
-        self.slot, self.weight, self.cut = self.slot[here], self.weight[here], run[self.cut]
+        self.slot, self.slot_cut = self.slot[here], run[self.slot_cut]
         return kept
 
     def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(position in rows, slot, weight)`` of the chosen windows."""
-        size = self.cut[rows + 1] - self.cut[rows]
-        own = np.repeat(np.arange(len(rows)), size)
-        at = np.arange(len(own)) + np.repeat(self.cut[rows] - (np.cumsum(size) - size), size)
-        return own, self.slot[at], self.weight[at]
+        size = self.size[rows]
+        window, word = np.repeat(np.arange(len(rows)), size), self.word[_runs(self.cut[rows], size)]
+        at, slot = self._slots_of(word)
+        own = window[at]
+        return own, slot, (self.share[word][at] / size[own]).astype(np.float32)
+
+    def means(self, margin: np.ndarray) -> np.ndarray:
+        """Of each window, from the n-grams' margins."""
+        run = np.concatenate([[0.0], np.cumsum(margin[self.slot])])
+        word = (run[self.slot_cut[1:]] - run[self.slot_cut[:-1]]) * self.share
+        run = np.concatenate([[0.0], np.cumsum(word[self.word])])
+        return (run[self.cut[1:]] - run[self.cut[:-1]]) / np.maximum(self.size, 1)
 
 
 class Model:
@@ -201,19 +256,26 @@ class Model:
 
     def scores(self, bags: Bags) -> np.ndarray:
         margin, bias = self.margins()
-        run = np.concatenate([[0.0], np.cumsum(margin[bags.slot] * bags.weight)])
-        return bias + run[bags.cut[1:]] - run[bags.cut[:-1]]
+        return bias + bags.means(margin)
 
 
 def fit(texts: pa.Array, doc: np.ndarray, label: np.ndarray, *, rounds: int = 4, batch: int = 1024,
         rate: float = 0.3) -> tuple[np.ndarray, float]:
     """N-gram margins and intercept from windows: their text, the number and the label of their document."""
+    bags = Bags()
+    bags.add(texts)
+    return fit_bags(bags.close(), doc, label, rounds=rounds, batch=batch, rate=rate)
+
+
+def fit_bags(bags: Bags, doc: np.ndarray, label: np.ndarray, *, rounds: int = 4, batch: int = 1024,
+             rate: float = 0.3) -> tuple[np.ndarray, float]:
+    """As ``fit``, from windows that are in bags, those of a document in one run."""
     docs, first = np.unique(doc, return_index=True)
     ones = int(label[first].sum()) if len(docs) else 0
     if not 0 < ones < len(docs):
         share = (ones + 0.5) / (len(docs) + 1)
         return np.zeros(1 << BITS), float(np.log(share / (1 - share)))
-    bags, model, rng = Bags(texts), Model(), np.random.default_rng(11)
+    model, rng = Model(), np.random.default_rng(11)
     # what only one or two texts have says nothing of others; it keeps the margin 0
     model.table[~bags.drop_rare(doc, LEAST_TEXTS)] = 0
     chosen, y = np.arange(bags.rows), label.astype(np.int64)
@@ -238,19 +300,18 @@ def fit(texts: pa.Array, doc: np.ndarray, label: np.ndarray, *, rounds: int = 4,
     return margin, bias
 
 
-def windows_of(column: pa.Array, most: int = WINDOWS_PER_TEXT, size: int = WINDOW) -> Iterator[tuple[int, str]]:
-    """``(row, window)``: successive windows of each text, at most ``most``, spread evenly."""
-    for w in slices(column):
-        counts = w.counts
-        first = np.cumsum(counts) - counts
-        for r in range(w.rows):
-            begins = np.arange(0, counts[r], size)
-            if len(begins) > most:
-                begins = begins[np.linspace(0, len(begins) - 1, most).astype(int)]
-            for b in begins.tolist():
-                i = int(first[r]) + b
-                j = min(i + size, int(first[r] + counts[r])) - 1
-                yield w.first_row + r, w.data[w.start[i]:w.end[j]].tobytes().decode("utf-8", "replace")
+def sample_bags(sample: DataFrame) -> tuple[Bags, np.ndarray, np.ndarray]:
+    """All windows of the texts of a staged sample, the number of each window's document and its label."""
+    size = sample.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = max(1, -(-size // PART_BYTES))
+    bags, doc, label = Bags(), [], []
+    for k in range(parts):
+        got = sample.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == k).toArrow()
+        got = got.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
+        of = bags.add(got["text"], WINDOW)
+        doc.append(np.unique(got["doc_id"].to_numpy(), return_inverse=True)[1][of] + sum(len(np.unique(d)) for d in doc))
+        label.append(got["label"].to_numpy().astype(np.int64)[of])
+    return bags.close(), np.unique(np.concatenate(doc), return_inverse=True)[1], np.concatenate(label)
 
 
 def calibrate(z: np.ndarray, y: np.ndarray, *, ridge: float = 0.02) -> tuple[float, float]:
@@ -280,18 +341,8 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", folds: in
 
     kept_out = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(4)) == 0
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = list(windows_of(batch.column("text")))
-            at = pa.array([r for r, _ in found], pa.int32())
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id").take(at), "label": batch.column("label").take(at),
-                "window": pa.array([t for _, t in found], pa.string())})
-
-    got = sample.where(~kept_out).mapInArrow(cut, "doc_id long, label int, window string").toArrow()
-    got = got.sort_by([("doc_id", "ascending"), ("window", "ascending")]).combine_chunks()
-    doc = np.unique(got["doc_id"].to_numpy(), return_inverse=True)[1]
-    margin, intercept = fit(got["window"], doc, got["label"].to_numpy().astype(np.int64))
+    sample = stage(sample, "toxicity-sample")
+    margin, intercept = fit_bags(*sample_bags(sample.where(~kept_out)))
     shared = docs.sparkSession.sparkContext.broadcast(margin)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -72,6 +72,32 @@ def test_misspelt_words_share_the_vectors_of_known_ones():
     assert z[1] > z[0] + 2 and z[2] > z[0] + 1
 
 
+def test_every_window_of_a_long_text_is_learned_from(spark, monkeypatch):
+    """A passage that is in toxic texts only: 12 of 2,000 words, which lie between evenly spread windows."""
+    monkeypatch.setattr(toxicity, "PART_BYTES", 100_000, raising=False)  # several parts
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(160):
+        text = [f"w{k}ord" for k in rng.integers(0, 300, 2000)]
+        if i % 2:
+            text[6:18] = rng.choice(["horrible", "vile", "disgusting", "filthy", "scum", "hateful"], 12)
+        rows.append((i, " ".join(text)))
+    known = labels(spark, [(i, 0, i % 2) for i, _ in rows])
+    margin, bias = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), known)
+    z = toxicity.text_margins(pa.array(["w1ord w2ord w3ord w4ord", "vile hateful filthy scum"]), margin, bias)
+    assert z[1] > z[0] + 2
+
+
+def test_windows_are_means_over_words_of_means_over_ngrams():
+    texts = ["Ab cde ab x Stupid, é one two three", "", None, "ab ab"]
+    bags = toxicity.Bags()
+    assert bags.add(pa.array(texts), 4).tolist() == [0, 0, 0, 3]
+    own, slot, weight = bags.close().take(np.arange(4))
+    margin = np.random.default_rng(1).normal(size=1 << toxicity.BITS)
+    plain = [toxicity.word_margins(w, margin).mean() for t in ("Ab cde ab x", "Stupid, é one two", "three", "ab ab") for w in slices(pa.array([t]))]
+    assert np.allclose(bags.means(margin), plain) and np.allclose(np.bincount(own, margin[slot] * weight), plain, atol=1e-6)
+
+
 def test_subwords_against_a_plain_count():
     w = next(slices(pa.array(["Ab cde", None, "x stupid, é"])))
     slot, n = toxicity.subwords(w)
