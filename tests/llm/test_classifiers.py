@@ -130,3 +130,10 @@ def test_sample_is_bounded_and_takes_both_classes(spark):
     known = spark.range(500).selectExpr("id AS doc_id", "cast(id % 5 = 0 AS int) AS quality", "0 AS toxic")
     got = labelled_sample(docs, known.union(known), "quality", known["doc_id"] >= 0, rows_per_class=30).collect()
     assert len(got) == 60 and sum(r["label"] for r in got) == 30
+
+
+def test_labels_of_other_documents_do_not_use_up_the_sample(spark):
+    docs = spark.range(500).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    known = spark.range(50_000).selectExpr("id AS doc_id", "cast(id % 5 = 0 AS int) AS quality", "0 AS toxic")
+    got = labelled_sample(docs, known, "quality", known["doc_id"] >= 0, rows_per_class=30).collect()
+    assert len(got) == 60 and sum(r["label"] for r in got) == 30
