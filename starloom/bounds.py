@@ -1,30 +1,29 @@
-"""Proven row-count bounds carried on DataFrame objects.
+"""Counted rows carried on DataFrame objects.
 
-When a size check (``operators.keys.has_at_most``) or a construction (a
-calendar of n days) proves that a frame has at most n rows, the bound is
-recorded on the frame, and on projections of it, so later decisions
-(broadcast a lookup, number rows in one task) need no second check job.
+When a write has counted a table's rows (or a calendar of n days is built), the number is
+recorded on the frame, and on projections of it, so that later decisions (broadcast a
+lookup, compare key counts) know it without a job.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-_ATTR = "_starloom_rows_at_most"
+_ATTR = "_starloom_rows"
 
 
-def mark_rows_at_most(df: DataFrame, max_rows: int) -> DataFrame:
-    """Record on ``df`` that it is proven to have at most ``max_rows`` rows."""
-    setattr(df, _ATTR, max_rows)
+def mark_rows(df: DataFrame, rows: int) -> DataFrame:
+    """Record on ``df`` that it has exactly ``rows`` rows."""
+    setattr(df, _ATTR, rows)
     return df
 
 
-def known_rows_at_most(df: DataFrame) -> int | None:
-    """The bound recorded by ``mark_rows_at_most``, if any."""
+def known_rows_exactly(df: DataFrame) -> int | None:
+    """The number recorded by ``mark_rows``, if any."""
     return getattr(df, _ATTR, None)
 
 
-def keep_bound(source: DataFrame, derived: DataFrame) -> DataFrame:
-    """Carry ``source``'s bound to ``derived`` (a projection or filter of it)."""
-    bound = known_rows_at_most(source)
-    return mark_rows_at_most(derived, bound) if bound is not None else derived
+def keep_rows(source: DataFrame, derived: DataFrame) -> DataFrame:
+    """Carry ``source``'s number to ``derived``, a projection of it."""
+    rows = known_rows_exactly(source)
+    return mark_rows(derived, rows) if rows is not None else derived

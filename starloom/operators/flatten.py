@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.bounds import keep_bound
+from starloom.bounds import keep_rows
 from starloom.operators.keys import small_lookup
 
 
@@ -43,7 +43,7 @@ def flatten(base: DataFrame, hops: Sequence[Lookup]) -> DataFrame:
         k = f"_fl_{i}"
         side = hop.table.select(F.col(hop.parent_key).alias(k),
                                 *[F.col(src).alias(dst) for src, dst in hop.columns.items()])
-        keep_bound(hop.table, side)
+        keep_rows(hop.table, side)
         if hop.small:
             side = small_lookup(side)
         out = out.join(side, F.col(hop.child_key) == F.col(k), "inner").drop(k)

@@ -1,159 +1,173 @@
 """Surrogate keys and key resolution.
 
-Two ways to number rows 1..N in a total order, and ``surrogate_key`` to pick
-between them after a size check:
-
-* ``ordered_key`` - ``row_number()`` over an un-partitioned window. Spark moves
-  every row into one task for it, so it is only for inputs whose size has
-  been checked (``surrogate_key``) or is tiny by construction.
-* ``distributed_key`` - range-partition on the order, sort inside each
-  partition, number rows locally, then add the row count of all earlier
-  partitions. Work is spread over ``num_partitions`` tasks; the only
-  single-task step is a prefix sum over one row per partition. The numbered
-  rows are staged once as Parquet in the session's checkpoint folder (an
-  eager write), so callers get back a frame whose lineage starts there.
-
-Both need a total order (unique order columns); otherwise ties are numbered
-in an arbitrary, run-dependent way.
+``dense_key`` numbers rows 1..N in a total order by one recipe at every size:
+
+1. a quantile sketch of the order tuples - those whose hash lies under a threshold, a sample that
+   merges over tasks and does not depend on partitioning - gives literal bucket bounds;
+2. a row's bucket is found by binary search in the bounds (built-in expressions only);
+3. the buckets' row counts are summed up into offsets (one row per bucket);
+4. ``row_number()`` within the bucket plus the bucket's offset is the key.
+
+Bounds are over the whole tuple, so a hot leading value is split over buckets. They only
+decide how evenly rows are dealt: counts are exact, so any bounds give the same keys. The plan is lazy
+and has one shuffle of the rows; buckets are functions of the row alone, so a lost
+executor's tasks can be run again. Nothing is written.
+
+The order must be total (unique order columns); otherwise ties are numbered
+in an arbitrary, run-dependent way. NULLs come first, as in ``ORDER BY``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starloom.bounds import keep_bound, known_rows_at_most, mark_rows_at_most  # noqa: F401
-from starloom.sinks.staging import staging_path
+from starloom.bounds import keep_rows, known_rows_exactly
 
 ColumnLike = Column | str
 
-# monotonically_increasing_id() = partition index << 33 | position in partition
-_POSITION_BITS = 33
-_POSITION_MASK = (1 << _POSITION_BITS) - 1
+#: Rows of a bucket, about; buckets at most (then they grow); sampled tuples of a bucket.
+ROWS_PER_BUCKET = 1 << 16
+MAX_BUCKETS = 1 << 13
+TUPLES_PER_BUCKET = 16
+
+_HASHES = 1 << 53  # exact as doubles
 
 
 def _cols(cols: Sequence[ColumnLike]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def ordered_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str) -> DataFrame:
-    """Dense key 1..N in ``order_cols`` order, computed in a single task.
+def _tuple(cols: Sequence[ColumnLike]) -> Column:
+    return F.struct(*[c.alias(f"c{i}") for i, c in enumerate(_cols(cols))])
+
+
+@dataclass(frozen=True)
+class BucketBounds:
+    """Least tuples of the buckets 1, 2, ... as JSON; tuples below them all are in bucket 0."""
+
+    json: str
+    type: T.DataType
+    buckets: int
 
-    Use only for frames whose row count is bounded independently of data volume.
+    def bucket(self, df: DataFrame, cols: Sequence[ColumnLike], name: str) -> DataFrame:
+        """``df`` with the bucket of each row: the number of bounds that are not above its tuple.
+
+        One projection per halving; each compares the row's tuple with one
+        element of a literal array. The array is sorted again after parsing, so
+        that even a value that JSON had changed would leave buckets in order.
+        """
+        bounds = F.sort_array(F.from_json(F.lit(self.json), self.type))
+        out = df.withColumn(name, F.lit(0))
+        for k in reversed(range((self.buckets - 1).bit_length())):
+            reached = F.col(name) + F.lit(1 << k)
+            out = out.withColumn(name, F.when(F.get(bounds, reached - 1) <= _tuple(cols), reached).otherwise(F.col(name)))
+        return out
+
+
+def bucket_bounds(df: DataFrame, cols: Sequence[ColumnLike], *, size_of: DataFrame | None = None,
+                  rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> BucketBounds:
+    """Bounds that deal ``df`` evenly by its ``cols`` (two small jobs: a count and the sketch).
+
+    ``size_of`` is a cheaper frame to count, of about as many rows (a dimension's base
+    table): it only sets the sampling share. The sketch is held to ``max_buckets *
+    TUPLES_PER_BUCKET`` tuples, those of the smallest hashes, whatever was
+    counted; the bounds, at most ``max_buckets``, are all that reaches the driver.
     """
-    w = Window.orderBy(*_cols(order_cols))
-    return df.withColumn(name, F.row_number().over(w).cast("long"))
-
-
-def distributed_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str, *,
-                    range_cols: Sequence[ColumnLike] | None = None,
-                    num_partitions: int | None = None,
-                    within: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Dense key 1..N in ``order_cols`` order without a single-partition step.
-
-    ``range_cols`` (default: ``order_cols``) must be a leading prefix of
-    ``order_cols``. Range partitioning on a prefix keeps all rows sharing that
-    prefix in one partition, so ``within`` - a transformation applied to the
-    range-partitioned, sorted rows before they are numbered - can run a window
-    or aggregate clustered on those columns without another shuffle. Range
-    bounds are sampled over the whole tuple, so a hot leading value is still
-    spread over several partitions when the prefix is longer than that value.
-
-    Range bounds are sampled anew by every exchange, so the numbering and the
-    per-partition counts must come from the same materialised partitions: the
-    numbered rows are written once as Parquet under ``spark.checkpoint.dir``
-    (an eager write; a lost executor cannot change committed files) and both
-    the counts and the key read them back. The counts (one per partition) are
-    the only thing that reaches the driver.
+    rows = (df if size_of is None else size_of).count()
+    wanted = min(max_buckets, max(1, math.ceil(rows / rows_per_bucket)))
+    kind = T.ArrayType(df.select(_tuple(cols).alias("t")).schema["t"].dataType)
+    if wanted == 1:
+        return BucketBounds("[]", kind, 1)
+    hashed = F.pmod(F.xxhash64(*_cols(cols)), F.lit(_HASHES))
+    share = min(1.0, wanted * TUPLES_PER_BUCKET / rows)
+    sketch = (df.select(_tuple(cols).alias("t"), hashed.alias("h")).where(F.col("h") < F.lit(int(_HASHES * share)))
+              .orderBy("h").limit(max_buckets * TUPLES_PER_BUCKET))
+    listed = (sketch.agg(F.sort_array(F.collect_list("t")).alias("t"))
+              .withColumn("n", F.greatest(F.lit(1), F.ceil(F.size("t") / TUPLES_PER_BUCKET))))
+    place = lambda i: F.floor(i * F.col("n") / F.size("t"))
+    first = listed.select(F.array_distinct(F.filter("t", lambda _, i: (i > 0) & (place(i) > place(i - 1)))).alias("t"))
+    found = first.select(F.to_json("t").alias("json"), F.size("t").alias("n")).first()
+    return BucketBounds(found["json"], kind, found["n"] + 1)
+
+
+def dense_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str, *,
+              range_cols: Sequence[ColumnLike] | None = None,
+              size_of: DataFrame | None = None,
+              rows_per_bucket: int | None = None,
+              within: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """Dense key 1..N in ``order_cols`` order.
+
+    ``df`` is evaluated three times, twice with its order columns alone; a costly
+    one should be staged by the caller. ``range_cols`` (default: ``order_cols``) must be a
+    leading prefix of ``order_cols``: rows equal in them share a bucket, so ``within`` -
+    a transformation ``(rows, bucket column)`` that keeps the number of rows - can run windows
+    that are partitioned by the bucket and those columns without another shuffle.
+    ``size_of``: see ``bucket_bounds``.
     """
-    spark = df.sparkSession
-    order = _cols(order_cols)
-    by = _cols(range_cols or order_cols)
-    # Without an explicit count the exchange has spark.sql.shuffle.partitions
-    # ranges and AQE may merge neighbouring small ones, which keeps the order.
-    ranged = (df.repartitionByRange(num_partitions, *by) if num_partitions
-              else df.repartitionByRange(*by)).sortWithinPartitions(*order)
-    if within is not None:
-        ranged = within(ranged)
-    path = staging_path(spark, name)
-    ranged.withColumn("_sk_rid", F.monotonically_increasing_id()).write.parquet(path)
-    tagged = spark.read.parquet(path)
-    part = F.shiftrightunsigned(F.col("_sk_rid"), _POSITION_BITS)
-
-    # Rows per range partition: one small job over the one staged column; the
-    # result has at most n rows (bounded metadata). Prefix sums give each
-    # partition's offset; the offsets go back as a local relation, so later
-    # plans on the keyed frame carry no aggregation for them.
-    counts = sorted((r[0], r[1]) for r in tagged.select(part.alias("p"))
-                    .groupBy("p").agg(F.count(F.lit(1))).collect())
-    offsets, running = [], 0
-    for p, rows in counts:
-        offsets.append((p, running))
-        running += rows
-    offset_df = spark.createDataFrame(offsets or [(0, 0)], "_sk_part long, _sk_offset long")
-    keyed = tagged.join(F.broadcast(offset_df), part == F.col("_sk_part"))
-    key = (F.col("_sk_offset")
-           + F.col("_sk_rid").bitwiseAND(F.lit(_POSITION_MASK)) + 1).cast("long")
-    return keyed.withColumn(name, key).drop("_sk_rid", "_sk_part", "_sk_offset")
-
-
-# Largest lookup that is broadcast after its size is checked (narrow lookup
-# rows: about Spark's default 10 MB broadcast threshold).
+    by = range_cols or order_cols
+    bounds = bucket_bounds(df, by, size_of=size_of, rows_per_bucket=rows_per_bucket or ROWS_PER_BUCKET)
+    place = F.row_number().over(Window.partitionBy("_sk_bucket").orderBy(*_cols(order_cols)))
+    bucketed = bounds.bucket(df, by, "_sk_bucket")
+    rows = bucketed if within is None else within(bucketed.repartition("_sk_bucket"), "_sk_bucket")
+    placed = rows.withColumn("_sk_place", place)
+    if bounds.buckets == 1:  # there is no earlier bucket
+        return placed.withColumn(name, F.col("_sk_place").cast("long")).drop("_sk_bucket", "_sk_place")
+    counts = bucketed.groupBy("_sk_bucket").agg(F.count(F.lit(1)).alias("_sk_rows"))
+    # One row per bucket, so the running sum over all of them is bounded, and so is the broadcast.
+    earlier = Window.orderBy("_sk_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_sk_bucket", F.coalesce(F.sum("_sk_rows").over(earlier), F.lit(0)).alias("_sk_offset"))
+    keyed = placed.join(F.broadcast(offsets), "_sk_bucket")
+    return keyed.withColumn(name, (F.col("_sk_offset") + F.col("_sk_place")).cast("long")).drop("_sk_bucket", "_sk_place", "_sk_offset")
+
+
+#: A lookup is broadcast if it has at most so many rows and bytes. Both are measured.
 SMALL_LOOKUP_MAX_ROWS = 100_000
-# Largest input numbered by the single-task window after its size is checked.
-SINGLE_TASK_MAX_ROWS = 100_000
+SMALL_LOOKUP_MAX_BYTES = 16 << 20
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes a row of ``df`` takes in memory: 8 a column, plus the bytes of strings and nested values."""
+    parts = [F.lit(8 * len(df.columns)).cast("long")]
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.VarcharType, T.CharType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(field.name), F.lit(0)).cast("long"))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0)).cast("long"))
+    return sum(parts[1:], parts[0])
 
-    Takes at most ``max_rows + 1`` rows of a single literal column: ``take``
-    scans partitions incrementally and stops once it has enough, so a huge
-    table costs a few partitions, not a full pass, and at most
-    ``max_rows + 1`` one-integer rows reach the driver. Cheap for scans; on a
-    plan with shuffles the shuffle stages run in full.
-    """
-    known = known_rows_at_most(df)
-    if known is not None and known <= max_rows:
-        return True
-    return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
-
-
-def surrogate_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str, *,
-                  bound_by: DataFrame | None = None,
-                  max_single_task_rows: int | None = None,
-                  **distributed: object) -> DataFrame:
-    """Dense key 1..N: one task when the input is proven small, else distributed.
-
-    ``bound_by`` is a cheap frame (a table scan) with at least as many rows
-    as ``df`` - for a dimension built by inner joins to unique parent keys,
-    its base table - so the size check never computes ``df``'s joins. Without
-    it ``df`` itself is checked. Both paths give the same numbering.
+
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    Takes the byte sizes of at most ``max_rows + 1`` rows: ``take`` scans
+    partitions incrementally and stops once it has enough, so a huge table
+    costs a few partitions, not a full pass, and only that many integers reach
+    the driver. A row count that is already known to be too large needs no job.
     """
-    limit = SINGLE_TASK_MAX_ROWS if max_single_task_rows is None else max_single_task_rows
-    if has_at_most(bound_by if bound_by is not None else df, limit):
-        # The bound is recorded, so lookups of the result need no second check.
-        return mark_rows_at_most(ordered_key(df, order_cols, name), limit)
-    return distributed_key(df, order_cols, name, **distributed)
+    known = known_rows_exactly(df)
+    if known is not None and known > max_rows:
+        return False
+    sizes = [r[0] for r in df.select(row_bytes(df)).take(max_rows + 1)]
+    return len(sizes) <= max_rows and sum(sizes) <= max_bytes
 
 
-def small_lookup(df: DataFrame, max_rows: int = SMALL_LOOKUP_MAX_ROWS) -> DataFrame:
-    """``df`` marked for broadcast when it has at most ``max_rows`` rows.
+def small_lookup(df: DataFrame, max_rows: int = SMALL_LOOKUP_MAX_ROWS, max_bytes: int = SMALL_LOOKUP_MAX_BYTES) -> DataFrame:
+    """``df`` marked for broadcast when its measured rows and bytes are within the bounds (``fits_broadcast``).
 
-    The bound is proven with ``has_at_most`` (an incremental ``take`` of at
-    most ``max_rows + 1`` one-integer rows). Over the bound the frame is
-    returned unmarked and the planner picks a shuffle join (AQE splits
+    Over a bound the frame is returned unmarked and the planner picks a shuffle join (AQE splits
     skewed keys).
     Use for lookups with few distinct keys (statuses, cities, brands): a
     shuffle join on such a key would put huge groups of the large side into
     a few tasks, and AQE only turns it into a broadcast after the large side
     has already been shuffled.
     """
-    if has_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def current_rows(dim: DataFrame) -> DataFrame:
@@ -179,7 +193,8 @@ def resolve_key(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
     lookup = current_rows(dim).select(
         *[F.col(r).alias(f"_rk_{i}") for i, r in enumerate(right_cols)],
         *[F.col(c) for c in wanted])
-    keep_bound(dim, lookup)   # a filter and a projection keep the bound
+    if "is_current" not in dim.columns:
+        keep_rows(dim, lookup)   # a projection
     cond = None
     for i, (left, _) in enumerate(on):
         term = F.col(left) == F.col(f"_rk_{i}")

@@ -1,17 +1,20 @@
 """DuckDB statements that compute every registered query independently.
 
-The statements read the raw test tables (views ``region``, ``nation``,
-``customer``, ``part``, ``orders``, ``lineitem``), rebuild the source mapping
-of ``starloom.sources.tpch`` in SQL and then the target tables. Output
+The statements state results over the raw test tables (views ``region``, ``nation``,
+``customer``, ``part``, ``orders``, ``lineitem``). Target tables are stated
+without any dimension or key table: ``shopper``, ``goods``, ``bought`` and ``item`` are raw rows with their
+ranks, ``sold`` is their natural combination, and a surrogate key is the rank of the raw columns that order it.
+The integrity statements rebuild the source mapping of ``starloom.sources.tpch``. Output
 columns carry the same names and types as the Spark queries.
 
 DuckDB notes: decimal / integer gives DOUBLE, so percentages are scaled with
-``* 0.01``; window frames and ``row_number`` follow the SQL standard.
+``* 0.01``.
 """
 
 from __future__ import annotations
 
-from starloom.schemas import TARGET_TABLES
+from starloom.schemas import LOAD_ORDER, TARGET_TABLES
+from starloom.sinks.digest import HEX_DIGITS, NULL_TEXT, SEPARATOR, column_groups
 
 LINE_ORDER = ("l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, "
               "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
@@ -87,169 +90,174 @@ src_line AS (
          ship_date
   FROM src_line_raw)"""
 
-_DIM_DATE = """
-cal_bounds AS (
-  SELECT make_date(year(min(d)), 1, 1) AS lo, make_date(year(max(d)), 12, 31) AS hi
-  FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders
-        UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem) t),
-cal_days AS (
-  SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS full_date
-  FROM cal_bounds),
-dim_date AS (
-  SELECT CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_key, full_date,
-         CAST(isodow(full_date) AS SMALLINT) AS day_of_week, dayname(full_date) AS day_name,
-         CAST(day(full_date) AS SMALLINT) AS day_of_month,
-         CAST(dayofyear(full_date) AS SMALLINT) AS day_of_year,
-         CAST(strftime(full_date, '%W') AS SMALLINT) AS week_of_year,
-         CAST(month(full_date) AS SMALLINT) AS month_number,
-         monthname(full_date) AS month_name, strftime(full_date, '%b') AS month_short,
-         CAST(quarter(full_date) AS SMALLINT) AS quarter_number,
-         'Q' || CAST(quarter(full_date) AS VARCHAR) AS quarter_name,
-         CAST(year(full_date) AS SMALLINT) AS year_number,
-         CAST(CASE WHEN isodow(full_date) >= 6 THEN 1 ELSE 0 END AS SMALLINT) AS is_weekend,
-         CAST(0 AS SMALLINT) AS is_holiday,
-         CAST(year(full_date) AS SMALLINT) AS fiscal_year,
-         CAST(quarter(full_date) AS SMALLINT) AS fiscal_quarter,
-         CAST(month(full_date) AS SMALLINT) AS fiscal_month
-  FROM cal_days)"""
-
-_DIMS = """
-dim_geography AS (
-  SELECT row_number() OVER (ORDER BY co.country_name, s.state_name, ci.city_name, ci.city_id)
-           AS geography_key,
-         ci.city_name AS city, s.state_name AS state, s.state_code,
-         co.country_name AS country, co.country_code
-  FROM src_city ci
-  JOIN src_state s ON s.state_id = ci.state_id
-  JOIN src_country co ON co.country_id = s.country_id),
-dim_customer AS (
-  SELECT row_number() OVER (ORDER BY c.customer_id) AS customer_key, c.customer_id,
-         c.first_name, c.last_name, concat(c.first_name, ' ', c.last_name) AS full_name,
-         c.email, c.phone, c.date_of_birth,
-         CASE WHEN year(DATE '2024-12-31') - year(c.date_of_birth) < 25 THEN '18-24'
-              WHEN year(DATE '2024-12-31') - year(c.date_of_birth) < 35 THEN '25-34'
-              WHEN year(DATE '2024-12-31') - year(c.date_of_birth) < 45 THEN '35-44'
-              WHEN year(DATE '2024-12-31') - year(c.date_of_birth) < 55 THEN '45-54'
-              ELSE '55+' END AS age_band,
-         ci.city_name AS city, s.state_name AS state, s.state_code,
-         co.country_name AS country, co.country_code, a.postal_code,
-         DATE '2022-01-01' AS effective_from, CAST(NULL AS DATE) AS effective_to,
-         CAST(1 AS SMALLINT) AS is_current
-  FROM src_customer c
-  JOIN src_address a ON a.address_id = c.address_id
-  JOIN src_city ci ON ci.city_id = a.city_id
-  JOIN src_state s ON s.state_id = ci.state_id
-  JOIN src_country co ON co.country_id = s.country_id),
-dim_product AS (
-  SELECT row_number() OVER (ORDER BY p.product_id) AS product_key, p.product_id, p.sku,
-         p.product_name, b.brand_name AS brand, bc.country_name AS brand_country,
-         cat.category_name AS category, st.status_name AS product_status,
-         u.uom_code AS unit_of_measure, p.unit_price AS current_unit_price, p.weight_kg,
-         p.warranty_months, p.introduced_date,
-         DATE '2022-01-01' AS effective_from, CAST(NULL AS DATE) AS effective_to,
-         CAST(1 AS SMALLINT) AS is_current
-  FROM src_product p
-  JOIN src_brand b ON b.brand_id = p.brand_id
-  JOIN src_country bc ON bc.country_id = b.country_id
-  JOIN src_category cat ON cat.category_id = p.category_id
-  JOIN src_status st ON st.status_id = p.status_id
-  JOIN src_uom u ON u.uom_id = p.uom_id),
-dim_order_status AS (
-  SELECT row_number() OVER (ORDER BY order_status) AS order_status_key, order_status
-  FROM (SELECT DISTINCT order_status FROM src_order) t)"""
-
-_LINES = """
-bridge AS (
-  SELECT dc.customer_id, dc.customer_key, dg.geography_key
-  FROM dim_customer dc
-  JOIN dim_geography dg ON dg.city = dc.city AND dg.state_code = dc.state_code
-                       AND dg.country_code = dc.country_code
-  WHERE dc.is_current = 1),
-klines AS (
-  SELECT l.*, o.customer_id, o.order_date, o.order_status, b.customer_key, b.geography_key,
-         dp.product_key
-  FROM src_line l
-  JOIN src_order o ON o.order_id = l.order_id
-  JOIN bridge b ON b.customer_id = o.customer_id
-  JOIN dim_product dp ON dp.product_id = l.product_id AND dp.is_current = 1)"""
-
-_FACT = """
-fact_sales AS (
-  SELECT row_number() OVER (ORDER BY k.order_line_id) AS sales_key, k.order_line_id,
-         k.order_id, CAST(strftime(k.order_date, '%Y%m%d') AS INTEGER) AS order_date_key,
-         CASE WHEN k.ship_date IS NOT NULL
-              THEN CAST(strftime(k.ship_date, '%Y%m%d') AS INTEGER) END AS ship_date_key,
-         k.customer_key, k.product_key, k.geography_key, dos.order_status_key,
-         k.quantity, k.unit_price, k.discount_pct,
-         CAST(round(k.unit_price * k.quantity * k.discount_pct * 0.01, 2) AS DECIMAL(10,2))
-           AS discount_amount,
-         CAST(round(k.unit_price * k.quantity, 2) AS DECIMAL(10,2)) AS gross_sales_amount,
-         k.line_total AS net_sales_amount,
-         CAST(NULL AS DECIMAL(10,2)) AS cost_amount,
-         CAST(NULL AS DECIMAL(10,2)) AS gross_margin_amount,
-         CASE WHEN k.ship_date IS NOT NULL
-              THEN CAST(date_diff('day', k.order_date, k.ship_date) AS SMALLINT) END
-           AS days_to_ship
-  FROM klines k JOIN dim_order_status dos ON dos.order_status = k.order_status)"""
-
-
-def _monthly(dims: str, source: str) -> str:
-    return f"""
-  SELECT {dims}, year(order_date) AS year_number, month(order_date) AS month_number,
-         count(order_line_id) AS order_count, sum(quantity) AS quantity_sold,
-         round(sum(unit_price * quantity), 2) AS gross_sales_amount,
-         round(sum(unit_price * quantity * discount_pct * 0.01), 2) AS discount_amount,
-         round(sum(line_total), 2) AS net_sales_amount
-  FROM {source}
-  GROUP BY {dims}, year(order_date), month(order_date)"""
-
-
-def _snapshot(dims: str, source: str, count_t: str, money_t: str) -> str:
-    return f"""
-  SELECT row_number() OVER (ORDER BY {dims}, year_number, month_number) AS snapshot_key,
-         CAST(strftime(last_day(make_date(year_number, month_number, 1)), '%Y%m%d')
-              AS INTEGER) AS snapshot_date_key,
-         {dims},
-         CAST(order_count AS {count_t}) AS order_count,
-         CAST(quantity_sold AS {count_t}) AS quantity_sold,
-         CAST(gross_sales_amount AS {money_t}) AS gross_sales_amount,
-         CAST(discount_amount AS {money_t}) AS discount_amount,
-         CAST(net_sales_amount AS {money_t}) AS net_sales_amount,
-         CAST(NULL AS {money_t}) AS gross_margin_amount,
-         CAST(sum(order_count) OVER w AS {count_t}) AS ytd_order_count,
-         CAST(sum(quantity_sold) OVER w AS {count_t}) AS ytd_quantity_sold,
-         CAST(sum(net_sales_amount) OVER w AS {money_t}) AS ytd_net_sales
-  FROM ({_monthly(dims, source)}) m
-  WINDOW w AS (PARTITION BY {dims}, year_number ORDER BY month_number
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
-
-
-_SNAPSHOT = f"""
-fact_snapshot AS ({_snapshot("customer_key, product_key, geography_key", "klines",
-                             "INTEGER", "DECIMAL(12,2)")})"""
-
-_REPORT_SELECT = """
-  SELECT f.sales_key, f.order_id, f.order_line_id, dd_ord.full_date AS order_date,
-         dd_shp.full_date AS ship_date, f.days_to_ship, dc.full_name AS customer_name,
-         dc.city AS customer_city, dc.state AS customer_state, dc.country AS customer_country,
-         dp.product_name, dp.brand, dp.category, dg.city AS ship_city, dg.state AS ship_state,
-         dg.country AS ship_country, dos.order_status, f.quantity, f.unit_price,
-         f.discount_pct, f.discount_amount, f.gross_sales_amount, f.net_sales_amount
-  FROM fact_sales f
-  JOIN dim_date dd_ord ON dd_ord.date_key = f.order_date_key
-  LEFT JOIN dim_date dd_shp ON dd_shp.date_key = f.ship_date_key
-  JOIN dim_customer dc ON dc.customer_key = f.customer_key
-  JOIN dim_product dp ON dp.product_key = f.product_key
-  JOIN dim_geography dg ON dg.geography_key = f.geography_key
-  JOIN dim_order_status dos ON dos.order_status_key = f.order_status_key
-  ORDER BY f.order_id, f.order_line_id"""
+_RAW = f"""
+shopper AS (
+  SELECT c_custkey, c_name, c_mktsegment AS town, n_name AS province, r_name AS land,
+         lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS province_code, upper(left(r_name, 2)) AS land_code,
+         row_number() OVER (ORDER BY c_custkey) AS shopper_rank,
+         dense_rank() OVER (ORDER BY r_name, n_name, c_mktsegment) AS place_rank
+  FROM customer, nation, region WHERE c_nationkey = n_nationkey AND n_regionkey = r_regionkey),
+goods AS (
+  SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, r_name AS maker,
+         CASE WHEN p_size > 45 THEN 'Discontinued' WHEN p_size > 40 THEN 'Seasonal' ELSE 'Active' END AS state_of_sale,
+         CASE WHEN p_size > 25 THEN 'BX' ELSE 'EA' END AS sold_by,
+         row_number() OVER (ORDER BY p_partkey) AS goods_rank
+  FROM part, region WHERE r_regionkey = CAST(split_part(p_brand, '#', 2) AS BIGINT) % 5),
+bought AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS bought_on,
+         dense_rank() OVER (ORDER BY o_orderstatus) AS status_rank
+  FROM orders),
+item AS (
+  SELECT l_orderkey, l_partkey, CAST(l_quantity AS SMALLINT) AS pieces,
+         CAST(l_extendedprice AS DECIMAL(10,2)) AS price, CAST(l_discount * 100 AS DECIMAL(5,2)) AS percent,
+         CASE l_linestatus WHEN 'F' THEN CAST(l_shipdate AS DATE) END AS sent_on,
+         row_number() OVER (ORDER BY {LINE_ORDER}) AS item_rank
+  FROM lineitem),
+sold AS (
+  SELECT *, price * pieces AS worth, price * pieces * percent * 0.01 AS rebate,
+         CAST(round(price * pieces - price * pieces * percent * 0.01, 2) AS DECIMAL(10,2)) AS paid
+  FROM item JOIN bought ON l_orderkey = o_orderkey JOIN shopper ON o_custkey = c_custkey
+       JOIN goods ON l_partkey = p_partkey)"""
+
+
+def _day_key(day: str) -> str:
+    """A day as the integer year, month, day."""
+    return f"CAST(10000 * year({day}) + 100 * month({day}) + day({day}) AS INTEGER)"
+
+
+def _select(columns: dict[str, str], rest: str) -> str:
+    return "SELECT " + ",\n       ".join(f"{e} AS {name}" for name, e in columns.items()) + f"\n{rest}"
+
+
+def _null(kind: str) -> str:
+    return f"CAST(NULL AS {kind})"
+
+
+_VERSION = {"effective_from": "DATE '2022-01-01'", "effective_to": _null("DATE"), "is_current": "CAST(1 AS SMALLINT)"}
+
+_BIRTH = """CASE WHEN c_custkey % 10 > 0 THEN make_date(CAST(1950 + c_custkey % 60 AS BIGINT),
+         CAST(1 + c_custkey % 12 AS BIGINT), CAST(1 + c_custkey % 28 AS BIGINT)) END"""
+
+_PLACE = {"city": "town", "state": "province", "state_code": "province_code", "country": "land", "country_code": "land_code"}
+
+_CUSTOMERS = _select({
+    "customer_key": "shopper_rank", "customer_id": "CAST(c_custkey AS BIGINT)",
+    "first_name": "split_part(c_name, '#', 1)", "last_name": "split_part(c_name, '#', 2)",
+    "full_name": "replace(c_name, '#', ' ')", "email": "replace(lower(c_name), '#', '.') || '@example.com'",
+    "phone": _null("VARCHAR"), "date_of_birth": "born",
+    # years of birth by the age reached in 2024
+    "age_band": "CASE WHEN year(born) > 1999 THEN '18-24' WHEN year(born) > 1989 THEN '25-34' WHEN year(born) > 1979 THEN '35-44' "
+                "WHEN year(born) > 1969 THEN '45-54' ELSE '55+' END",
+    **_PLACE, "postal_code": "right('0000' || CAST(c_custkey % 100000 AS VARCHAR), 5)", **_VERSION},
+    f"FROM (SELECT *, {_BIRTH} AS born FROM shopper)")
+
+_PRODUCTS = _select({
+    "product_key": "goods_rank", "product_id": "CAST(p_partkey AS BIGINT)", "sku": "concat('SKU-', p_partkey)",
+    "product_name": "p_name", "brand": "p_brand", "brand_country": "maker", "category": "p_type",
+    "product_status": "state_of_sale", "unit_of_measure": "sold_by",
+    "current_unit_price": "CAST(p_retailprice AS DECIMAL(10,2))", "weight_kg": "CAST(p_size AS DECIMAL(8,3))",
+    "warranty_months": _null("SMALLINT"), "introduced_date": _null("DATE"), **_VERSION}, "FROM goods")
+
+_GEOGRAPHY = _select({"geography_key": "place_rank", **_PLACE}, "FROM shopper GROUP BY ALL")
+
+_STATUSES = "SELECT DISTINCT status_rank AS order_status_key, o_orderstatus AS order_status FROM bought"
+
+_FACT = _select({
+    "sales_key": "row_number() OVER (ORDER BY item_rank)", "order_line_id": "item_rank",
+    "order_id": "CAST(o_orderkey AS BIGINT)", "order_date_key": _day_key("bought_on"), "ship_date_key": _day_key("sent_on"),
+    "customer_key": "shopper_rank", "product_key": "goods_rank", "geography_key": "place_rank", "order_status_key": "status_rank",
+    "quantity": "pieces", "unit_price": "price", "discount_pct": "percent",
+    "discount_amount": "CAST(round(rebate, 2) AS DECIMAL(10,2))", "gross_sales_amount": "CAST(worth AS DECIMAL(10,2))",
+    "net_sales_amount": "paid", "cost_amount": _null("DECIMAL(10,2)"), "gross_margin_amount": _null("DECIMAL(10,2)"),
+    "days_to_ship": "CAST(sent_on - bought_on AS SMALLINT)"}, "FROM sold")
+
+
+def _by_month(grain: dict[str, str]) -> str:
+    """Sums of each month's first day and ``grain``: lines, pieces and money, the latter rounded once."""
+    return _select({**grain, "month": "CAST(date_trunc('month', bought_on) AS DATE)", "lines": "count(*)", "units": "sum(pieces)",
+                    "full_money": "round(sum(worth), 2)", "off_money": "round(sum(rebate), 2)", "net_money": "sum(paid)"},
+                   "FROM sold GROUP BY ALL")
+
+
+def _so_far(measure: str, grain: dict[str, str], kind: str) -> str:
+    return f"CAST(sum({measure}) OVER (PARTITION BY {', '.join(grain)}, year(month) ORDER BY month) AS {kind})"
+
+
+def _snapshot(grain: dict[str, str], count_t: str, money_t: str) -> str:
+    return _select({
+        "snapshot_key": f"row_number() OVER (ORDER BY {', '.join(grain)}, month)", "snapshot_date_key": _day_key("last_day(month)"),
+        **{name: name for name in grain},
+        "order_count": f"CAST(lines AS {count_t})", "quantity_sold": f"CAST(units AS {count_t})",
+        "gross_sales_amount": f"CAST(full_money AS {money_t})", "discount_amount": f"CAST(off_money AS {money_t})",
+        "net_sales_amount": f"CAST(net_money AS {money_t})", "gross_margin_amount": _null(money_t),
+        "ytd_order_count": _so_far("lines", grain, count_t), "ytd_quantity_sold": _so_far("units", grain, count_t),
+        "ytd_net_sales": _so_far("net_money", grain, money_t)}, f"FROM ({_by_month(grain)})")
+
+
+_KEY_GRAIN = {"customer_key": "shopper_rank", "product_key": "goods_rank", "geography_key": "place_rank"}
+_SNAPSHOT = _snapshot(_KEY_GRAIN, "INTEGER", "DECIMAL(12,2)")
+
+
+def _report(first: str = "", last: str = "") -> str:
+    """Every sold line with its names; of a calendar from ``first`` to ``last``, days outside are unknown and such orders left out."""
+    within = f"BETWEEN DATE '{first}' AND DATE '{last}'"
+    return _select({
+        "sales_key": "sales_rank", "order_id": "CAST(o_orderkey AS BIGINT)", "order_line_id": "item_rank", "order_date": "bought_on",
+        "ship_date": f"CASE WHEN sent_on {within} THEN sent_on END" if first else "sent_on",
+        "days_to_ship": "CAST(sent_on - bought_on AS SMALLINT)", "customer_name": "replace(c_name, '#', ' ')",
+        "customer_city": "town", "customer_state": "province", "customer_country": "land",
+        "product_name": "p_name", "brand": "p_brand", "category": "p_type",
+        "ship_city": "town", "ship_state": "province", "ship_country": "land", "order_status": "o_orderstatus",
+        "quantity": "pieces", "unit_price": "price", "discount_pct": "percent",
+        "discount_amount": "CAST(round(rebate, 2) AS DECIMAL(10,2))", "gross_sales_amount": "CAST(worth AS DECIMAL(10,2))",
+        "net_sales_amount": "paid"},
+        f"FROM (SELECT *, row_number() OVER (ORDER BY item_rank) AS sales_rank FROM sold) {f'WHERE bought_on {within}' if first else ''}")
+
+
+_DAYS = """
+span AS (
+  SELECT min(d) AS first, max(d) AS last
+  FROM (SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate FROM lineitem)),
+days AS (
+  SELECT CAST(make_date(year(first), 1, 1) + CAST(k AS INTEGER) AS DATE) AS d
+  FROM span, range(0, date_diff('day', make_date(year(first), 1, 1), make_date(year(last), 12, 31)) + 1) AS r(k))"""
+
+_CALENDAR = _select({
+    "date_key": _day_key("d"), "full_date": "d", **{
+        name: f"CAST({e} AS {kind})" if kind else e for name, kind, e in (
+            ("day_of_week", "SMALLINT", "isodow(d)"), ("day_name", "", "dayname(d)"), ("day_of_month", "SMALLINT", "day(d)"),
+            ("day_of_year", "SMALLINT", "dayofyear(d)"), ("week_of_year", "SMALLINT", "strftime(d, '%W')"),
+            ("month_number", "SMALLINT", "month(d)"), ("month_name", "", "monthname(d)"), ("month_short", "", "left(monthname(d), 3)"),
+            ("quarter_number", "SMALLINT", "quarter(d)"), ("quarter_name", "", "concat('Q', quarter(d))"),
+            ("year_number", "SMALLINT", "year(d)"), ("is_weekend", "SMALLINT", "isodow(d) > 5"), ("is_holiday", "SMALLINT", "0"),
+            ("fiscal_year", "SMALLINT", "year(d)"), ("fiscal_quarter", "SMALLINT", "quarter(d)"), ("fiscal_month", "SMALLINT", "month(d)"))}},
+    "FROM days")
+
+#: The statement of each target table, over ``_RAW`` and ``_DAYS``.
+_TARGET = {"dim_date": _CALENDAR, "dim_customer": _CUSTOMERS, "dim_product": _PRODUCTS, "dim_geography": _GEOGRAPHY,
+           "dim_order_status": _STATUSES, "fact_sales": _FACT, "fact_sales_monthly_snapshot": _SNAPSHOT}
 
 
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
 
-_ALL = (_SOURCE, _DIM_DATE, _DIMS, _LINES, _FACT, _SNAPSHOT)
+#: All target tables by name.
+_STAR = (_RAW, _DAYS, *(f"\n{name} AS ({statement})" for name, statement in _TARGET.items()))
+
+
+def _digest_sql() -> str:
+    """Rows and digests as ``starloom.sinks.digest`` defines them."""
+    def digest(cols: list[str]) -> str:
+        parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '{NULL_TEXT}')" for c in cols)
+        text = f"concat_ws(chr({ord(SEPARATOR)}), {parts})"
+        return f"CAST(coalesce(sum(CAST('0x' || left(md5({text}), {HEX_DIGITS}) AS BIGINT)), 0) AS VARCHAR)"
+
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, "
+        + ", ".join(f"{digest(cols)} AS {group}" for group, cols in column_groups(table).items())
+        + f", true AS as_written FROM {name}" for name, table in TARGET_TABLES.items())
+
 
 _PROFILE_COLS = {
     "dim_customer": [
@@ -340,7 +348,7 @@ def _profile_sql(table: str) -> str:
             f"{nn} AS declared_not_null, "
             f"CAST(count(*) FILTER (WHERE {col} IS NULL) AS BIGINT) AS null_count, "
             f"{w_decl} AS declared_width, {w_over} AS over_width_count, "
-            f"{w_max} AS max_length FROM {'fact_snapshot' if table == 'fact_sales_monthly_snapshot' else table}")
+            f"{w_max} AS max_length FROM {table}")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -381,11 +389,6 @@ def _orphans_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-# CTE name of each target table in the statements above.
-_CTE = {name: name for name in TARGET_TABLES}
-_CTE["fact_sales_monthly_snapshot"] = "fact_snapshot"
-
-
 def _integrity_sql() -> str:
     parts = []
     for name, t in TARGET_TABLES.items():
@@ -396,109 +399,67 @@ def _integrity_sql() -> str:
             parts.append(
                 f"SELECT '{name}({c})' AS constraint_name, '{kind}' AS kind, "
                 f"CAST(count(*) AS BIGINT) AS violations FROM "
-                f"(SELECT {c} FROM {_CTE[name]} GROUP BY {c} HAVING count(*) > 1) d")
+                f"(SELECT {c} FROM {name} GROUP BY {c} HAVING count(*) > 1) d")
         for cols, parent, pcols in t.foreign_keys:
             c = ", ".join(cols)
             present = " AND ".join(f"x.{k} IS NOT NULL" for k in cols)
             match = " AND ".join(f"p.{pk} = x.{k}" for k, pk in zip(cols, pcols))
             parts.append(
                 f"SELECT '{name}({c}) -> {parent}', 'foreign', CAST(count(*) AS BIGINT) "
-                f"FROM {_CTE[name]} x WHERE {present} AND NOT EXISTS "
-                f"(SELECT 1 FROM {_CTE[parent]} p WHERE {match})")
+                f"FROM {name} x WHERE {present} AND NOT EXISTS "
+                f"(SELECT 1 FROM {parent} p WHERE {match})")
     return "\nUNION ALL\n".join(parts)
 
 
 ORACLE_SQL: dict[str, str] = {
-    "calendar_dim": _with(_DIM_DATE) + "SELECT * FROM dim_date",
-    "geography_dim": _with(_SOURCE, _DIMS) + "SELECT * FROM dim_geography",
-    "customer_dim": _with(_SOURCE, _DIMS) + "SELECT * FROM dim_customer",
-    "product_dim": _with(_SOURCE, _DIMS) + "SELECT * FROM dim_product",
-    "order_status_dim": _with(_SOURCE, _DIMS) + "SELECT * FROM dim_order_status",
+    "calendar_dim": _with(_DAYS) + _CALENDAR,
+    "geography_dim": _with(_RAW) + _GEOGRAPHY,
+    "customer_dim": _with(_RAW) + _CUSTOMERS,
+    "product_dim": _with(_RAW) + _PRODUCTS,
+    "order_status_dim": _with(_RAW) + _STATUSES,
     "surrogate_key_large": (
         f"SELECT {LINE_ORDER}, row_number() OVER (ORDER BY {LINE_ORDER}) AS order_line_id "
         "FROM lineitem"),
-    "line_measures": _with(_SOURCE) + """
-  SELECT l.order_line_id, CAST(strftime(o.order_date, '%Y%m%d') AS INTEGER) AS order_date_key,
-         CASE WHEN l.ship_date IS NOT NULL
-              THEN CAST(strftime(l.ship_date, '%Y%m%d') AS INTEGER) END AS ship_date_key,
-         CAST(round(l.unit_price * l.quantity, 2) AS DECIMAL(10,2)) AS gross_sales_amount,
-         CAST(round(l.unit_price * l.quantity * l.discount_pct * 0.01, 2) AS DECIMAL(10,2))
-           AS discount_amount,
-         l.line_total AS net_sales_amount,
-         CASE WHEN l.ship_date IS NOT NULL
-              THEN CAST(date_diff('day', o.order_date, l.ship_date) AS SMALLINT) END
-           AS days_to_ship
-  FROM src_line l JOIN src_order o ON o.order_id = l.order_id""",
-    "current_key_lookup": _with(_SOURCE, _DIMS) + """,
-versioned AS (
-  SELECT product_id, product_key, current_unit_price, is_current FROM dim_product
-  UNION ALL
-  SELECT product_id, -product_key, CAST(round(current_unit_price * 1.1, 2) AS DECIMAL(10,2)),
-         CAST(0 AS SMALLINT)
-  FROM dim_product WHERE product_status = 'Discontinued')
-  SELECT l.order_line_id, l.product_id, v.product_key, v.current_unit_price
-  FROM src_line l JOIN versioned v ON v.product_id = l.product_id AND v.is_current = 1""",
-    "sales_fact": _with(_SOURCE, _DIMS, _LINES, _FACT) + "SELECT * FROM fact_sales",
-    "monthly_snapshot": _with(_SOURCE, _DIMS, _LINES, _SNAPSHOT) + "SELECT * FROM fact_snapshot",
-    "monthly_snapshot_brand": _with(_SOURCE, _DIMS, _LINES) + """,
-bs_lines AS (
-  SELECT k.*, dp.brand, dg.state FROM klines k
-  JOIN dim_product dp ON dp.product_key = k.product_key AND dp.is_current = 1
-  JOIN dim_geography dg ON dg.geography_key = k.geography_key)
-""" + _snapshot("brand, state", "bs_lines", "BIGINT", "DECIMAL(18,2)"),
-    "running_ytd": _with(_SOURCE, _DIMS, _LINES) + f""",
-st_lines AS (
-  SELECT k.*, dg.state FROM klines k JOIN dim_geography dg ON dg.geography_key = k.geography_key)
-  SELECT state, CAST(year_number AS INTEGER) AS year_number,
-         CAST(month_number AS INTEGER) AS month_number,
-         CAST(order_count AS BIGINT) AS order_count,
-         CAST(quantity_sold AS BIGINT) AS quantity_sold,
-         CAST(net_sales_amount AS DECIMAL(18,2)) AS net_sales_amount,
-         CAST(sum(order_count) OVER w AS BIGINT) AS ytd_order_count,
-         CAST(sum(quantity_sold) OVER w AS BIGINT) AS ytd_quantity_sold,
-         CAST(sum(net_sales_amount) OVER w AS DECIMAL(18,2)) AS ytd_net_sales
-  FROM ({_monthly("state", "st_lines")}) m
-  WINDOW w AS (PARTITION BY state, year_number ORDER BY month_number
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
-    "sales_report": _with(*_ALL) + _REPORT_SELECT + "\n  LIMIT 100",
-    "ship_date_left_join": _with(*_ALL) + _REPORT_SELECT,
-    "sales_report_narrow_calendar": _with(*_ALL) + """,
-narrow AS (SELECT * FROM dim_date WHERE full_date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31')
-""" + _REPORT_SELECT.replace(" dim_date ", " narrow ") + "\n  LIMIT 100",
-    "geography_key_duplicates": _with(_SOURCE, _DIMS) + """
+    "line_measures": _with(_RAW) + _select({
+        "order_line_id": "item_rank", "order_date_key": _day_key("bought_on"), "ship_date_key": _day_key("sent_on"),
+        "gross_sales_amount": "CAST(worth AS DECIMAL(10,2))", "discount_amount": "CAST(round(rebate, 2) AS DECIMAL(10,2))",
+        "net_sales_amount": "paid", "days_to_ship": "CAST(sent_on - bought_on AS SMALLINT)"}, "FROM sold"),
+    "current_key_lookup": _with(_RAW) + _select({
+        "order_line_id": "item_rank", "product_id": "CAST(l_partkey AS BIGINT)", "product_key": "goods_rank",
+        "current_unit_price": "CAST(p_retailprice AS DECIMAL(10,2))"}, "FROM item JOIN goods ON l_partkey = p_partkey"),
+    "sales_fact": _with(_RAW) + _FACT,
+    "monthly_snapshot": _with(_RAW) + _SNAPSHOT,
+    "monthly_snapshot_brand": _with(_RAW) + _snapshot({"brand": "p_brand", "state": "province"}, "BIGINT", "DECIMAL(18,2)"),
+    "running_ytd": _with(_RAW) + _select({
+        "state": "state", "year_number": "CAST(year(month) AS INTEGER)", "month_number": "CAST(month(month) AS INTEGER)",
+        "order_count": "CAST(lines AS BIGINT)", "quantity_sold": "CAST(units AS BIGINT)",
+        "net_sales_amount": "CAST(net_money AS DECIMAL(18,2))",
+        "ytd_order_count": _so_far("lines", {"state": ""}, "BIGINT"), "ytd_quantity_sold": _so_far("units", {"state": ""}, "BIGINT"),
+        "ytd_net_sales": _so_far("net_money", {"state": ""}, "DECIMAL(18,2)")}, f"FROM ({_by_month({'state': 'province'})})"),
+    "sales_report": _with(_RAW) + _report() + " ORDER BY order_id, order_line_id LIMIT 100",
+    "ship_date_left_join": _with(_RAW) + _report(),
+    "sales_report_narrow_calendar": (_with(_RAW) + _report("1997-01-01", "1998-12-31")
+                                     + " ORDER BY order_id, order_line_id LIMIT 100"),
+    "geography_key_duplicates": _with(_RAW) + f"""
   SELECT city, state_code, country_code, CAST(count(*) AS BIGINT) AS row_count
-  FROM dim_geography GROUP BY ALL HAVING count(*) > 1""",
+  FROM ({_GEOGRAPHY}) GROUP BY city, state_code, country_code HAVING count(*) > 1""",
     "source_integrity": _with(_SOURCE) + _source_integrity_sql(),
     "pk_violations": """
   SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS row_count
   FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "fk_orphans": _with(_SOURCE) + _orphans_sql(),
-    "not_null_and_width": _with(_SOURCE, _DIMS) + _profile_sql("dim_customer")
+    "not_null_and_width": _with(*_STAR) + _profile_sql("dim_customer")
     + "\nUNION ALL\n" + _profile_sql("dim_product"),
-    "target_not_null": _with(*_ALL) + "\nUNION ALL\n".join(map(_profile_sql, (
+    "target_not_null": _with(*_STAR) + "\nUNION ALL\n".join(map(_profile_sql, (
         "dim_date", "dim_geography", "dim_order_status", "fact_sales", "fact_sales_monthly_snapshot"))),
-    "star_integrity": _with(*_ALL) + _integrity_sql(),
-    "full_refresh_report": _with(*_ALL) + """
-  SELECT 1 AS load_order, 'dim_date' AS table_name,
-         CAST(count(*) AS BIGINT) AS rows_written FROM dim_date
-  UNION ALL SELECT 2, 'dim_customer', count(*) FROM dim_customer
-  UNION ALL SELECT 3, 'dim_product', count(*) FROM dim_product
-  UNION ALL SELECT 4, 'dim_geography', count(*) FROM dim_geography
-  UNION ALL SELECT 5, 'dim_order_status', count(*) FROM dim_order_status
-  UNION ALL SELECT 6, 'fact_sales', count(*) FROM fact_sales
-  UNION ALL SELECT 7, 'fact_sales_monthly_snapshot', count(*) FROM fact_snapshot""",
-    "snapshot_reconcile": _with(*_ALL) + """,
-fm AS (SELECT CAST(order_date_key // 100 AS INTEGER) AS ym,
-              sum(net_sales_amount) AS fact_net_sales, count(*) AS fact_lines
-       FROM fact_sales GROUP BY 1),
-sm AS (SELECT CAST(snapshot_date_key // 100 AS INTEGER) AS ym,
-              sum(net_sales_amount) AS snapshot_net_sales, sum(order_count) AS snapshot_lines
-       FROM fact_snapshot GROUP BY 1)
-  SELECT CAST(coalesce(fm.ym, sm.ym) // 100 AS INTEGER) AS year_number,
-         CAST(coalesce(fm.ym, sm.ym) % 100 AS INTEGER) AS month_number,
-         CAST(fact_net_sales AS DECIMAL(18,2)) AS fact_net_sales,
-         CAST(snapshot_net_sales AS DECIMAL(18,2)) AS snapshot_net_sales,
-         CAST(fact_lines AS BIGINT) AS fact_lines,
-         CAST(snapshot_lines AS BIGINT) AS snapshot_lines
-  FROM fm FULL JOIN sm ON fm.ym = sm.ym""",
+    "star_integrity": _with(*_STAR) + _integrity_sql(),
+    "full_refresh_report": _with(*_STAR) + "\nUNION ALL\n".join(
+        f"SELECT {k} AS load_order, '{name}' AS table_name, count(*) AS rows_written FROM {name}"
+        for k, name in enumerate(LOAD_ORDER, 1)),
+    "written_star_digest": _with(*_STAR) + _digest_sql(),
+    "snapshot_reconcile": _with(_RAW) + f"""
+  SELECT CAST(year(bought_on) AS INTEGER) AS year_number, CAST(month(bought_on) AS INTEGER) AS month_number,
+         CAST(sum(paid) AS DECIMAL(18,2)) AS fact_net_sales, CAST(sum(paid) AS DECIMAL(18,2)) AS snapshot_net_sales,
+         count(*) AS fact_lines, count(*) AS snapshot_lines
+  FROM sold GROUP BY ALL""",
 }

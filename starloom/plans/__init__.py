@@ -11,10 +11,10 @@ from starloom.plans.dimensions import (
 from starloom.plans.facts import customer_bridge, keyed_lines, line_measures, sales_fact
 from starloom.plans.refresh import (
     full_refresh,
-    latest_run,
-    publish_run,
+    read_run,
     read_star,
     register_views,
+    run_digests,
 )
 from starloom.plans.report import sales_report
 from starloom.plans.snapshot import monthly_aggregate, monthly_snapshot, sales_monthly_snapshot
@@ -23,5 +23,5 @@ __all__ = [
     "calendar_columns", "calendar_covering", "calendar_dimension", "age_band",
     "customer_dimension", "geography_dimension", "order_status_dimension",
     "product_dimension", "customer_bridge", "keyed_lines", "line_measures", "sales_fact",
-    "full_refresh", "latest_run", "publish_run", "read_star", "register_views", "sales_report", "monthly_aggregate", "monthly_snapshot", "sales_monthly_snapshot",
+    "full_refresh", "read_run", "read_star", "register_views", "run_digests", "sales_report", "monthly_aggregate", "monthly_snapshot", "sales_monthly_snapshot",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key, iso_day_of_week, monday_week_of_year
-from starloom.bounds import mark_rows_at_most
+from starloom.bounds import mark_rows
 from starloom.schemas import DIM_DATE, conform
 
 def calendar_dimension(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
@@ -22,7 +22,7 @@ def calendar_dimension(spark: SparkSession, start: dt.date, end: dt.date) -> Dat
     n = (end - start).days + 1
     days = spark.range(n).select(
         F.date_add(F.lit(start), F.col("id").cast("int")).alias("full_date"))
-    return mark_rows_at_most(calendar_columns(days), n)
+    return mark_rows(calendar_columns(days), n)
 
 
 def calendar_covering(*dates: Column, source: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def calendar_covering(*dates: Column, source: DataFrame) -> DataFrame:
     spark = source.sparkSession
     if row is None or row.lo is None:
         empty = spark.range(0).select(F.lit(None).cast("date").alias("full_date"))
-        return mark_rows_at_most(calendar_columns(empty), 0)
+        return mark_rows(calendar_columns(empty), 0)
     return calendar_dimension(spark, dt.date(row.lo.year, 1, 1), dt.date(row.hi.year, 12, 31))
 
 

@@ -7,12 +7,12 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.bounds import keep_bound
 from starloom.functions.dates import calendar_year_boundaries
 from starloom.functions.text import join_names
 from starloom.operators.flatten import Lookup, flatten
-from starloom.operators.keys import surrogate_key
+from starloom.operators.keys import dense_key
 from starloom.operators.versioning import initial_version
+from starloom.sinks.staging import stage
 from starloom.schemas import (
     DIM_CUSTOMER,
     DIM_GEOGRAPHY,
@@ -57,13 +57,11 @@ def _address_hops(src: RetailSource) -> list[Lookup]:
 
 
 def customer_dimension(src: RetailSource, as_of: dt.date, *,
-                       effective_from: dt.date = FIRST_VERSION_FROM,
-                       num_partitions: int | None = None) -> DataFrame:
+                       effective_from: dt.date = FIRST_VERSION_FROM) -> DataFrame:
     """``dim_customer``: customers flattened through address, city, state, country.
 
-    ``customer_key`` numbers customers 1..N by ``customer_id``: in one task
-    when the customer table is proven small, else with the distributed key,
-    so a large customer table is never gathered into one task.
+    ``customer_key`` numbers customers 1..N by ``customer_id``. The customer
+    table is counted only to size the key's sketch.
     """
     base = src.customer.select("customer_id", "first_name", "last_name", "email", "phone",
                                "date_of_birth", "address_id")
@@ -78,14 +76,11 @@ def customer_dimension(src: RetailSource, as_of: dt.date, *,
         "email", "phone", "date_of_birth",
         age_band(F.col("date_of_birth"), as_of).alias("age_band"),
         "city", "state", "state_code", "country", "country_code", "postal_code")
-    # Inner joins to unique parent keys: at most one row per source customer.
-    keyed = surrogate_key(shaped, ["customer_id"], "customer_key", bound_by=src.customer,
-                          num_partitions=num_partitions)
-    return conform(keep_bound(keyed, initial_version(keyed, effective_from)), DIM_CUSTOMER)
+    keyed = dense_key(shaped, ["customer_id"], "customer_key", size_of=src.customer)
+    return conform(initial_version(keyed, effective_from), DIM_CUSTOMER)
 
 
-def product_dimension(src: RetailSource, *, effective_from: dt.date = FIRST_VERSION_FROM,
-                      num_partitions: int | None = None) -> DataFrame:
+def product_dimension(src: RetailSource, *, effective_from: dt.date = FIRST_VERSION_FROM) -> DataFrame:
     """``dim_product``: products flattened through brand (and its country),
     category, status and unit of measure; ``product_key`` by ``product_id``."""
     base = src.product.select("product_id", "sku", "product_name", "brand_id", "category_id",
@@ -108,23 +103,20 @@ def product_dimension(src: RetailSource, *, effective_from: dt.date = FIRST_VERS
         "product_status", "unit_of_measure",
         F.col("unit_price").alias("current_unit_price"),
         "weight_kg", "warranty_months", "introduced_date")
-    keyed = surrogate_key(shaped, ["product_id"], "product_key", bound_by=src.product,
-                          num_partitions=num_partitions)
-    return conform(keep_bound(keyed, initial_version(keyed, effective_from)), DIM_PRODUCT)
+    keyed = dense_key(shaped, ["product_id"], "product_key", size_of=src.product)
+    return conform(initial_version(keyed, effective_from), DIM_PRODUCT)
 
 
 def geography_dimension(src: RetailSource) -> DataFrame:
     """``dim_geography``: one row per city, keyed by country, state, city name.
 
     ``city_id`` breaks ties between equally named cities of one state so the
-    key is deterministic. The row count is at most the number of cities; the
-    key runs in one task when that is proven small, else distributed.
+    key is deterministic.
     """
     base = src.city.select("city_id", F.col("city_name").alias("city"),
                            F.col("state_id").alias("_state_id"))
     flat = flatten(base, _address_hops(src)[1:])
-    keyed = surrogate_key(flat, ["country", "state", "city", "city_id"], "geography_key",
-                          bound_by=src.city)
+    keyed = dense_key(flat, ["country", "state", "city", "city_id"], "geography_key", size_of=src.city)
     return conform(keyed, DIM_GEOGRAPHY)
 
 
@@ -132,8 +124,8 @@ def order_status_dimension(src: RetailSource) -> DataFrame:
     """``dim_order_status``: the distinct order statuses, keyed alphabetically.
 
     The distinct runs as a partial aggregate per task, so only a handful of
-    values cross the shuffle whatever the order count.
+    values cross the shuffle whatever the order count. They are staged, so the
+    orders are scanned once for all steps of the key.
     """
-    statuses = src.sales_order.select("order_status").distinct()
-    return conform(surrogate_key(statuses, ["order_status"], "order_status_key"),
-                   DIM_ORDER_STATUS)
+    statuses = stage(src.sales_order.select("order_status").distinct(), "order-statuses")
+    return conform(dense_key(statuses, ["order_status"], "order_status_key"), DIM_ORDER_STATUS)

@@ -13,7 +13,7 @@ lookup is a join whose strategy the planner picks from sizes):
 3. lines join keyed orders on ``order_id`` and current products on
    ``product_id`` (``keyed_lines``). Fact and snapshot share this frame.
 4. the fact adds the order-status key and per-line measures, then numbers
-   rows by ``order_line_id`` with the distributed key.
+   rows by ``order_line_id`` with the dense key.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from starloom.functions.dates import date_key, days_between, nullable_date_key
 from starloom.functions.money import discount_amount, gross_amount, round_money
 from starloom.operators.keys import (
     current_rows,
-    distributed_key,
+    dense_key,
     resolve_key,
     small_lookup,
 )
@@ -97,15 +97,16 @@ def line_measures(df: DataFrame) -> DataFrame:
     )
 
 
-def sales_fact(lines: DataFrame, dim_order_status: DataFrame, *,
-               num_partitions: int | None = None) -> DataFrame:
-    """``fact_sales`` from ``keyed_lines``: one row per order line, 18 columns."""
+def sales_fact(lines: DataFrame, dim_order_status: DataFrame) -> DataFrame:
+    """``fact_sales`` from ``keyed_lines``: one row per order line, 18 columns.
+
+    ``lines`` should be staged: the key reads it three times, twice with its key columns alone.
+    """
     with_status = resolve_key(lines, dim_order_status, [("order_status", "order_status")],
                               "order_status_key", small=True)
     measured = line_measures(with_status)
     # A line can occur twice (two geography rows of one name); the further keys
     # make the order total, so the numbering does not depend on the run.
-    keyed = distributed_key(measured, ["order_line_id", "customer_key", "product_key",
-                                       "geography_key", "order_status_key"], "sales_key",
-                            num_partitions=num_partitions)
+    keyed = dense_key(measured, ["order_line_id", "customer_key", "product_key",
+                                 "geography_key", "order_status_key"], "sales_key", size_of=lines)
     return conform(keyed, FACT_SALES)

@@ -1,26 +1,31 @@
 """Full refresh of the star schema.
 
-Every run writes all seven tables into a new folder ``<target>/runs/<run_id>/``
-in load order (dimensions, then the line fact, then the snapshot) and finishes
-by writing ``_load_report`` there. A run without a report is incomplete, so
-readers that pick the newest run with a report never see a half-loaded or
-empty schema, and the previous run stays readable until the new one is done.
-
-The fact and the snapshot share one "keyed lines" frame, staged as Parquet
-under ``spark.checkpoint.dir`` so the line joins run once and the lineage is
-cut before the two loads.
+A refresh builds all seven tables in load order (dimensions, then the line fact, then the
+snapshot), each under its run's own folder, and publishes them together by one
+manifest (``sinks.manifest``). Until then readers see the run before, afterwards this one.
+
+Each finished table is recorded with its rows and digests. A refresh that finds an unpublished run
+of the same fingerprint - source, arguments and plans alike - takes over what that run has recorded and builds only
+the rest. The "keyed lines" that fact and snapshot share are such a recorded part: they
+are written once into the run's work folder, which is deleted when the run is published.
+
+All facts and lookups read the written dimensions, whose row counts are known.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 import uuid
+from collections.abc import Callable
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from starloom.bounds import mark_rows_at_most
+from starloom.bounds import mark_rows
+from starloom.config import ensure_checkpoint_dir
 from starloom.plans.calendar import calendar_covering, calendar_dimension
 from starloom.plans.dimensions import (
     customer_dimension,
@@ -31,11 +36,25 @@ from starloom.plans.dimensions import (
 from starloom.plans.facts import keyed_lines, sales_fact
 from starloom.plans.snapshot import sales_monthly_snapshot
 from starloom.schemas import LOAD_ORDER, TARGET_TABLES, conform, create_table_sql
-from starloom.sinks.staging import drop_staging, stage, staging_mark
-from starloom.sinks.writer import write_table
+from starloom.sinks.digest import table_digest
+from starloom.sinks.manifest import (
+    WORK,
+    Manifest,
+    current_manifest,
+    delete_folder,
+    get_record,
+    publish,
+    put_if_absent,
+    record_path,
+    table_path,
+    unfinished_run,
+)
+from starloom.sinks.staging import drop_staging, staging_mark
+from starloom.sinks.writer import Written, write_table
 from starloom.sources.retail import RetailSource
 
-REPORT = "_load_report"
+#: Part of every fingerprint; to be raised when a plan changes what it computes.
+PLAN_VERSION = 1
 
 
 def _ship_dates(src: RetailSource) -> DataFrame:
@@ -44,90 +63,137 @@ def _ship_dates(src: RetailSource) -> DataFrame:
     return src.sales_order_line.select(F.col("ship_date").alias("d"))
 
 
+def source_fingerprint(spark: SparkSession, src: RetailSource) -> str | None:
+    """Digest of the paths, lengths and times of the source's files; None if a table does not lie in files of its own.
+
+    Only file metadata is read, by Spark's tasks; the contents are not.
+    """
+    tables = src.tables()
+    files = {name: df.inputFiles() for name, df in tables.items()}
+    scratch = ensure_checkpoint_dir(spark).split(":", 1)[-1].rstrip("/")
+    if any(not f or any(scratch in p for p in f) for f in files.values()):
+        return None
+    listed = (spark.read.format("binaryFile").load(sorted({p for f in files.values() for p in f}))
+              .select(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)").alias("h"), "length"))
+    row = listed.agg(F.count(F.lit(1)), F.sum("length"), F.sum("h")).first()
+    return "/".join(str(x) for x in row)
+
+
+def _fingerprint(source: str | None, **arguments: object) -> str:
+    """One for every state of the source and every choice that decides the rows; never the same without a source version."""
+    ddl = [create_table_sql(t, t.name) for t in TARGET_TABLES.values()]
+    state = [PLAN_VERSION, source or uuid.uuid4().hex, ddl, {k: str(v) for k, v in sorted(arguments.items())}]
+    return hashlib.sha256(json.dumps(state).encode()).hexdigest()
+
+
 def full_refresh(spark: SparkSession, src: RetailSource, target: str, *,
                  as_of: dt.date, calendar: tuple[dt.date, dt.date] | None = None,
-                 fmt: str = "parquet", num_partitions: int | None = None,
-                 fact_partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Rebuild all seven tables under a new run folder; return the load report.
+                 fmt: str = "parquet", fact_partition_by: tuple[str, ...] = (),
+                 source_version: str | None = None, resume: bool = True) -> DataFrame:
+    """Rebuild all seven tables as a new run of ``target`` and publish it; return the load report.
 
     ``calendar`` gives the calendar's first and last day; by default it covers
     the whole years of every order and ship date. The report has one row per
     table: ``run_id``, ``load_order``, ``table_name``, ``rows_written``.
+
+    With ``resume`` an unpublished run of the same fingerprint is taken over. The source's state in it is
+    ``source_version``, or else that of its files (``source_fingerprint``); a source with neither is
+    rebuilt. One refresh of a target runs at a time; if another was published meanwhile, ``PublishConflict`` is
+    raised and the finished tables stay recorded.
     """
-    run_id = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + \
-        uuid.uuid4().hex[:8]
-    root = f"{target.rstrip('/')}/runs/{run_id}"
-    counts: dict[str, int] = {}
     # Build the source tables first (some have staged parts of their own), so
     # that only this refresh's intermediates are dropped at the end.
     src.tables()
+    before = current_manifest(spark, target)
     mark = staging_mark()
+    state = source_version or (source_fingerprint(spark, src) if resume else None)
+    fingerprint = _fingerprint(state, as_of=as_of, calendar=calendar, fmt=fmt, fact_partition_by=fact_partition_by)
+    run_id = unfinished_run(spark, target, fingerprint) if resume else None
+    if run_id is None:
+        run_id = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+        put_if_absent(spark, record_path(target, run_id, "begin"), {"fingerprint": fingerprint})
+    written: dict[str, Written] = {}
+
+    def load(name: str, build: Callable[[], DataFrame], **kw) -> DataFrame:
+        path = table_path(target, name, run_id)
+        done = get_record(spark, record_path(target, run_id, name))
+        if done is None:
+            done = asdict(write_table(build(), TARGET_TABLES[name], path, fmt=fmt, **kw))
+            put_if_absent(spark, record_path(target, run_id, name), done)
+        written[name] = Written(**done)
+        return mark_rows(conform(spark.read.format(fmt).load(path), TARGET_TABLES[name]), written[name].rows)
+
+    def dim_date() -> DataFrame:
+        if calendar is not None:
+            return calendar_dimension(spark, *calendar)
+        dates = src.sales_order.select(F.col("order_date").alias("d")).unionByName(_ship_dates(src))
+        return calendar_covering(F.col("d"), source=dates)
 
-    def path(name: str) -> str:
-        return f"{root}/{name}"
+    work = f"{target.rstrip('/')}/{WORK}/{run_id}"
 
-    def load(name: str, df: DataFrame, **kw) -> DataFrame:
-        counts[name] = write_table(df, TARGET_TABLES[name], path(name), fmt=fmt, **kw)
-        # Later steps read the written table: exact file statistics for the planner,
-        # and the written row count is a proven bound (no size check needed).
-        return mark_rows_at_most(spark.read.format(fmt).load(path(name)), counts[name])
+    def lines() -> DataFrame:
+        path = f"{work}/keyed_lines"
+        if get_record(spark, record_path(target, run_id, "keyed_lines")) is None:
+            keyed_lines(src, customers, products, geography).write.mode("overwrite").parquet(path)
+            put_if_absent(spark, record_path(target, run_id, "keyed_lines"), {"path": path})
+        return spark.read.parquet(path)
 
     try:
-        if calendar is not None:
-            dim_date = calendar_dimension(spark, *calendar)
-        else:
-            dates = src.sales_order.select(F.col("order_date").alias("d")).unionByName(
-                _ship_dates(src))
-            dim_date = calendar_covering(F.col("d"), source=dates)
         load("dim_date", dim_date)
-        dim_customer = load("dim_customer", customer_dimension(src, as_of,
-                                                               num_partitions=num_partitions))
-        dim_product = load("dim_product", product_dimension(src, num_partitions=num_partitions))
-        dim_geography = load("dim_geography", geography_dimension(src))
-        dim_status = load("dim_order_status", order_status_dimension(src))
-
-        lines = stage(keyed_lines(src, dim_customer, dim_product, dim_geography), "keyed_lines")
-
-        load("fact_sales", sales_fact(lines, dim_status, num_partitions=num_partitions),
-             partition_by=fact_partition_by)
-        load("fact_sales_monthly_snapshot",
-             sales_monthly_snapshot(lines, num_partitions=num_partitions))
-
-        report = spark.createDataFrame(
-            [(run_id, i + 1, name, counts[name]) for i, name in enumerate(LOAD_ORDER)],
-            "run_id string, load_order int, table_name string, rows_written long")
-        report.coalesce(1).write.mode("overwrite").parquet(path(REPORT))
+        customers = load("dim_customer", lambda: customer_dimension(src, as_of))
+        products = load("dim_product", lambda: product_dimension(src))
+        geography = load("dim_geography", lambda: geography_dimension(src))
+        statuses = load("dim_order_status", lambda: order_status_dimension(src))
+        load("fact_sales", lambda: sales_fact(lines(), statuses), partition_by=fact_partition_by)
+        load("fact_sales_monthly_snapshot", lambda: sales_monthly_snapshot(lines()))
+        manifest = publish(spark, target, run_id, written, after=before.version if before else 0)
+        put_if_absent(spark, record_path(target, run_id, "published"), {"version": manifest.version})
+        delete_folder(spark, work)
     finally:
-        # Committed or failed: the intermediates staged for this run are not needed.
+        # Committed or failed: what was staged for steps of this run is not needed.
         drop_staging(spark, mark)
-    return spark.read.parquet(path(REPORT))
+    return load_report(spark, manifest)
 
 
-def latest_run(spark: SparkSession, target: str) -> str | None:
-    """Folder of the newest complete run (one that has a load report), or None."""
-    try:
-        reports = spark.read.parquet(f"{target.rstrip('/')}/runs/*/{REPORT}")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return None  # no run yet: the glob matches nothing
-    row = reports.agg(F.max("run_id").alias("run_id")).first()
-    if row is None or row.run_id is None:
-        return None
-    return f"{target.rstrip('/')}/runs/{row.run_id}"
+def load_report(spark: SparkSession, manifest: Manifest) -> DataFrame:
+    """One row per table: ``run_id``, ``load_order``, ``table_name``, ``rows_written``."""
+    return spark.createDataFrame(
+        [(manifest.run_id, i + 1, name, manifest.tables[name].rows) for i, name in enumerate(LOAD_ORDER)],
+        "run_id string, load_order int, table_name string, rows_written long")
 
 
-def read_star(spark: SparkSession, target: str, *, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """The seven tables of the newest complete run, columns in declared order.
+def read_run(spark: SparkSession, target: str, manifest: Manifest, *, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """The seven tables of a published run, columns in declared order, rows known from the manifest.
 
     (A partitioned table reads back with its partition columns last and their
     types inferred from folder names; ``conform`` restores both.)
     """
-    run = latest_run(spark, target)
-    if run is None:
-        raise FileNotFoundError(f"no complete run under {target}")
-    return {name: conform(spark.read.format(fmt).load(f"{run}/{name}"), TARGET_TABLES[name])
-            for name in LOAD_ORDER}
+    return {name: mark_rows(conform(spark.read.format(fmt).load(table_path(target, name, manifest.run_id)), TARGET_TABLES[name]),
+                            manifest.tables[name].rows) for name in LOAD_ORDER}
+
+
+def read_star(spark: SparkSession, target: str, *, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """The seven tables of the current run, all resolved through one manifest."""
+    manifest = current_manifest(spark, target)
+    if manifest is None:
+        raise FileNotFoundError(f"no run published under {target}")
+    return read_run(spark, target, manifest, fmt=fmt)
+
+
+def run_digests(spark: SparkSession, target: str, manifest: Manifest, *, fmt: str = "parquet") -> DataFrame:
+    """Rows and digests of the tables as they lie there, beside those of the write.
+
+    ``table_name``, ``row_count``, ``keys_digest``, ``rows_digest`` and ``as_written`` (whether all
+    three equal what the write saw); one scan of each table.
+    """
+    out = None
+    for name, df in read_run(spark, target, manifest, fmt=fmt).items():
+        w = manifest.tables[name]
+        same = ((F.col("row_count") == w.rows) & (F.col("keys_digest") == F.lit(w.keys_digest).cast("decimal(38,0)"))
+                & (F.col("rows_digest") == F.lit(w.rows_digest).cast("decimal(38,0)")))
+        part = table_digest(df, TARGET_TABLES[name]).withColumn("as_written", same)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
@@ -137,22 +203,3 @@ def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
         df.createOrReplaceTempView(prefix + name)
         names.append(prefix + name)
     return names
-
-
-def publish_run(spark: SparkSession, run_folder: str, database: str, *,
-                fmt: str = "parquet") -> list[str]:
-    """Point catalog tables ``<database>.<table>`` at the tables of ``run_folder``.
-
-    Each table is dropped and re-created as an external table over the run's
-    folder (dropping an external table leaves its files alone), so publishing
-    a newer run swaps the catalog over table by table while the files of both
-    runs stay intact. The database must exist.
-    """
-    names = []
-    for name in LOAD_ORDER:
-        qualified = f"{database}.{name}"
-        spark.sql(f"DROP TABLE IF EXISTS {qualified}")
-        spark.sql(create_table_sql(TARGET_TABLES[name], qualified, f"{run_folder}/{name}",
-                                   fmt))
-        names.append(qualified)
-    return names

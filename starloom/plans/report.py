@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.bounds import keep_bound
+from starloom.bounds import keep_rows
 from starloom.operators.keys import small_lookup
 from starloom.sinks.staging import stage
 
@@ -54,20 +54,20 @@ def _star(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
                     "geography_key", "order_status_key", "quantity", "unit_price",
                     "discount_pct", "discount_amount", "gross_sales_amount",
                     "net_sales_amount")
-    ord_dates = keep_bound(dim_date, dim_date.select(F.col("date_key").alias("_od_key"),
+    ord_dates = keep_rows(dim_date, dim_date.select(F.col("date_key").alias("_od_key"),
                                                      F.col("full_date").alias("order_date")))
-    shp_dates = keep_bound(dim_date, dim_date.select(F.col("date_key").alias("_sd_key"),
+    shp_dates = keep_rows(dim_date, dim_date.select(F.col("date_key").alias("_sd_key"),
                                                      F.col("full_date").alias("ship_date")))
-    cust = keep_bound(dim_customer, dim_customer.select(
+    cust = keep_rows(dim_customer, dim_customer.select(
         F.col("customer_key").alias("_c_key"), F.col("full_name").alias("customer_name"),
         F.col("city").alias("customer_city"), F.col("state").alias("customer_state"),
         F.col("country").alias("customer_country")))
-    prod = keep_bound(dim_product, dim_product.select(
+    prod = keep_rows(dim_product, dim_product.select(
         F.col("product_key").alias("_p_key"), "product_name", "brand", "category"))
-    geo = keep_bound(dim_geography, dim_geography.select(
+    geo = keep_rows(dim_geography, dim_geography.select(
         F.col("geography_key").alias("_g_key"), F.col("city").alias("ship_city"),
         F.col("state").alias("ship_state"), F.col("country").alias("ship_country")))
-    status = keep_bound(dim_order_status, dim_order_status.select(
+    status = keep_rows(dim_order_status, dim_order_status.select(
         F.col("order_status_key").alias("_s_key"), "order_status"))
 
     if not small_fact:
@@ -114,7 +114,7 @@ def sales_report(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
     for dim, key, own in ((dim_date, "date_key", "order_date_key"),
                           (dim_geography, "geography_key", "geography_key"),
                           (dim_order_status, "order_status_key", "order_status_key")):
-        keys = keep_bound(dim, dim.select(F.col(key).alias("_key")))
+        keys = keep_rows(dim, dim.select(F.col(key).alias("_key")))
         kept = kept.join(small_lookup(keys), F.col(own) == F.col("_key"), "left_semi")
     top = stage(first_rows(kept, REPORT_ORDER, n), "report-top")
     joined = stage(_star(top, *dims, small_fact=True), "report-lines")

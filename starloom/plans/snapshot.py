@@ -1,12 +1,11 @@
 """Monthly periodic snapshot with year-to-date running totals.
 
 Plan: partial aggregate per task -> hash exchange on the group keys -> final
-aggregate -> range exchange on (dimension keys, year) -> sort by (dimension
-keys, year, month) -> year-to-date window -> row numbering. The window runs
-inside the range-partitioned stage (range partitioning on the window's
-partition columns satisfies its clustering), so the snapshot key and the
-running totals share one exchange. Each window partition holds at most
-twelve rows, so a hot customer cannot make one window group large.
+aggregate, staged -> exchange on the key's bucket of (dimension keys, year) -> sort by (bucket, dimension
+keys, year, month) -> year-to-date window -> row numbering. Rows of one dimension
+tuple and year share a bucket, so the windows of the running totals and of the
+snapshot key are both clustered by it and share one exchange and one sort. Each
+running total holds at most twelve rows, so a hot customer cannot make one group large.
 """
 
 from __future__ import annotations
@@ -19,9 +18,10 @@ from pyspark.sql import types as T
 
 from starloom.functions.dates import date_key, month_end
 from starloom.functions.money import discount_amount, gross_amount, round_money
-from starloom.operators.keys import distributed_key
+from starloom.operators.keys import dense_key
 from starloom.operators.running import running_totals
 from starloom.schemas import FACT_SALES_MONTHLY_SNAPSHOT, conform
+from starloom.sinks.staging import stage
 
 REFERENCE_GRAIN = ("customer_key", "product_key", "geography_key")
 
@@ -45,8 +45,7 @@ def monthly_aggregate(lines: DataFrame, dims: Sequence[str]) -> DataFrame:
 
 def monthly_snapshot(lines: DataFrame, dims: Sequence[str] = REFERENCE_GRAIN, *,
                      key_name: str = "snapshot_key", count_type: T.DataType = T.IntegerType(),
-                     money_type: T.DataType = T.DecimalType(12, 2),
-                     num_partitions: int | None = None) -> DataFrame:
+                     money_type: T.DataType = T.DecimalType(12, 2)) -> DataFrame:
     """Monthly snapshot at grain ``dims`` x month with year-to-date totals.
 
     The year-to-date totals restart every ``year_number`` and include the
@@ -56,18 +55,18 @@ def monthly_snapshot(lines: DataFrame, dims: Sequence[str] = REFERENCE_GRAIN, *,
     (NULL), ytd_order_count, ytd_quantity_sold, ytd_net_sales.
     """
     dims = list(dims)
-    agg = monthly_aggregate(lines, dims)
+    # Staged: the key reads it three times, and the lines are aggregated once.
+    agg = stage(monthly_aggregate(lines, dims), "monthly")
 
-    def year_to_date(ranged: DataFrame) -> DataFrame:
-        return running_totals(ranged, [*dims, "year_number"], "month_number", {
+    def year_to_date(rows: DataFrame, bucket: str) -> DataFrame:
+        return running_totals(rows, [bucket, *dims, "year_number"], "month_number", {
             "ytd_order_count": "order_count",
             "ytd_quantity_sold": "quantity_sold",
             "ytd_net_sales": "net_sales_amount",
         })
 
-    ytd = distributed_key(agg, [*dims, "year_number", "month_number"], key_name,
-                          range_cols=[*dims, "year_number"], num_partitions=num_partitions,
-                          within=year_to_date)
+    ytd = dense_key(agg, [*dims, "year_number", "month_number"], key_name,
+                    range_cols=[*dims, "year_number"], within=year_to_date)
     return ytd.select(
         F.col(key_name),
         date_key(month_end("year_number", "month_number")).alias("snapshot_date_key"),
@@ -84,7 +83,6 @@ def monthly_snapshot(lines: DataFrame, dims: Sequence[str] = REFERENCE_GRAIN, *,
     )
 
 
-def sales_monthly_snapshot(lines: DataFrame, *, num_partitions: int | None = None) -> DataFrame:
+def sales_monthly_snapshot(lines: DataFrame) -> DataFrame:
     """``fact_sales_monthly_snapshot`` at customer x product x geography x month."""
-    return conform(monthly_snapshot(lines, num_partitions=num_partitions),
-                   FACT_SALES_MONTHLY_SNAPSHOT)
+    return conform(monthly_snapshot(lines), FACT_SALES_MONTHLY_SNAPSHOT)

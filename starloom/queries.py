@@ -20,8 +20,9 @@ from starloom.operators.checks import (
     duplicate_keys,
     orphan_rows,
 )
-from starloom.operators.keys import distributed_key, resolve_key
-from starloom.sinks.staging import stage, staging_path
+from starloom.operators.keys import dense_key, resolve_key
+from starloom.sinks.manifest import current_manifest
+from starloom.sinks.staging import stage, stage_counted, staging_path
 from starloom.operators.running import running_totals
 from starloom.plans.calendar import calendar_covering, calendar_dimension
 from starloom.plans.dimensions import (
@@ -31,10 +32,10 @@ from starloom.plans.dimensions import (
     product_dimension,
 )
 from starloom.plans.facts import GEOGRAPHY_NATURAL_KEY, keyed_lines, line_measures, sales_fact
-from starloom.plans.refresh import full_refresh
+from starloom.plans.refresh import full_refresh, run_digests
 from starloom.plans.report import sales_report
 from starloom.plans.snapshot import monthly_aggregate, monthly_snapshot, sales_monthly_snapshot
-from starloom.schemas import DIM_CUSTOMER, DIM_PRODUCT, SOURCE_TABLES, TARGET_TABLES
+from starloom.schemas import DIM_CUSTOMER, DIM_PRODUCT, LOAD_ORDER, SOURCE_TABLES, TARGET_TABLES
 from starloom.sources.readers import read_table
 from starloom.sources.retail import RetailSource
 from starloom.sources.tpch import LINE_ORDER, retail_from_tpch
@@ -89,10 +90,20 @@ class Model:
     def dim_order_status(self) -> DataFrame:
         return self._get("dim_order_status", lambda: order_status_dimension(self.src))
 
+    def loaded(self, name: str) -> DataFrame:
+        """A target table as later steps read it: written once, with its rows counted."""
+        plan = {"fact_sales": "fact", "fact_sales_monthly_snapshot": "snapshot"}.get(name, name)
+        return self._get(f"loaded {name}", lambda: stage_counted(getattr(self, plan), name))
+
+    @property
+    def dims(self) -> tuple[DataFrame, ...]:
+        """The five dimensions, loaded, in the order of the report's arguments."""
+        return tuple(self.loaded(n) for n in ("dim_date", "dim_customer", "dim_product", "dim_geography", "dim_order_status"))
+
     @property
     def lines(self) -> DataFrame:
         def build():
-            lines = keyed_lines(self.src, self.dim_customer, self.dim_product, self.dim_geography)
+            lines = keyed_lines(self.src, *(self.loaded(n) for n in ("dim_customer", "dim_product", "dim_geography")))
             # Fact and snapshot both read numbered lines, so they are staged once;
             # a rollup alone reads its lines once.
             return stage(lines, "keyed_lines") if self.numbered_lines else lines
@@ -100,7 +111,7 @@ class Model:
 
     @property
     def fact(self) -> DataFrame:
-        return self._get("fact", lambda: sales_fact(self.lines, self.dim_order_status))
+        return self._get("fact", lambda: sales_fact(self.lines, self.loaded("dim_order_status")))
 
     @property
     def snapshot(self) -> DataFrame:
@@ -129,9 +140,9 @@ def order_status_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def surrogate_key_large(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U2 distributed: dense 1..N over every lineitem row in full-row order."""
+    """U2: dense 1..N over every lineitem row in full-row order."""
     lineitem = read_table(spark, sf_dir, "lineitem")
-    return distributed_key(lineitem.select(*LINE_ORDER), list(LINE_ORDER), "order_line_id")
+    return dense_key(lineitem.select(*LINE_ORDER), list(LINE_ORDER), "order_line_id")
 
 
 def line_measures_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +162,7 @@ def current_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     price 10 % higher, is_current = 0); the lookup must ignore those rows.
     """
     m = Model(spark, sf_dir)
-    dim = m.dim_product
+    dim = m.loaded("dim_product")
     expired = dim.where(F.col("product_status") == "Discontinued").select(
         *[(-F.col(c)).alias(c) if c == "product_key"
           else F.round(F.col(c) * 1.1, 2).cast("decimal(10,2)").alias(c)
@@ -175,8 +186,8 @@ def monthly_snapshot_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines_with_brand_state(m: Model) -> DataFrame:
-    lines = resolve_key(m.lines, m.dim_product, [("product_key", "product_key")], "brand")
-    return resolve_key(lines, m.dim_geography, [("geography_key", "geography_key")], "state",
+    lines = resolve_key(m.lines, m.loaded("dim_product"), [("product_key", "product_key")], "brand")
+    return resolve_key(lines, m.loaded("dim_geography"), [("geography_key", "geography_key")], "state",
                        small=True)
 
 
@@ -191,7 +202,7 @@ def monthly_snapshot_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
 def running_ytd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U13: monthly line counts, quantity and net per state with year-to-date sums."""
     m = Model(spark, sf_dir, numbered_lines=False)
-    lines = resolve_key(m.lines, m.dim_geography, [("geography_key", "geography_key")],
+    lines = resolve_key(m.lines, m.loaded("dim_geography"), [("geography_key", "geography_key")],
                         "state", small=True)
     monthly = monthly_aggregate(lines, ["state"])
     ytd = running_totals(monthly, ["state", "year_number"], "month_number", {
@@ -210,23 +221,20 @@ def running_ytd(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U14: the first 100 report lines by order and line id (flagship)."""
     m = Model(spark, sf_dir)
-    return sales_report(m.fact, m.dim_date, m.dim_customer, m.dim_product, m.dim_geography,
-                        m.dim_order_status, n=100)
+    return sales_report(m.fact, *m.dims, n=100)
 
 
 def ship_date_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J10: the whole report, every line; unshipped lines keep a NULL ship date."""
     m = Model(spark, sf_dir)
-    return sales_report(m.fact, m.dim_date, m.dim_customer, m.dim_product, m.dim_geography,
-                        m.dim_order_status, n=None, ordered=False)
+    return sales_report(m.fact, *m.dims, n=None, ordered=False)
 
 
 def sales_report_narrow_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U14 over a fixed calendar of some middle years: the inner join drops all other lines."""
     m = Model(spark, sf_dir)
     years = calendar_dimension(spark, *NARROW_YEARS)
-    return sales_report(m.fact, years, m.dim_customer, m.dim_product, m.dim_geography,
-                        m.dim_order_status, n=100)
+    return sales_report(m.fact, years, *m.dims[1:], n=100)
 
 
 def geography_key_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,7 +249,10 @@ def geography_key_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I1 + I2 on the source: every declared primary, unique and foreign key of the 12 tables."""
-    return declared_key_violations(Model(spark, sf_dir).src.tables(), SOURCE_TABLES)
+    src = Model(spark, sf_dir).src.tables()
+    # The adapter derives these tables; written once, each scan of a check reads columns only.
+    tables = {name: stage(df, name) for name, df in src.items()}
+    return declared_key_violations(tables, SOURCE_TABLES)
 
 
 def target_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,11 +343,7 @@ def snapshot_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I1 + I2 on the built star: every declared primary, unique and foreign key."""
     m = Model(spark, sf_dir)
-    tables = {"dim_date": m.dim_date, "dim_customer": m.dim_customer,
-              "dim_product": m.dim_product, "dim_geography": m.dim_geography,
-              "dim_order_status": m.dim_order_status, "fact_sales": m.fact,
-              "fact_sales_monthly_snapshot": m.snapshot}
-    return declared_key_violations(tables, TARGET_TABLES)
+    return declared_key_violations({name: m.loaded(name) for name in LOAD_ORDER}, TARGET_TABLES)
 
 
 def full_refresh_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,6 +356,18 @@ def full_refresh_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("load_order", "table_name", "rows_written")
 
 
+def written_star_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 + S2: rows and digests of all seven tables as read back from a published run.
+
+    ``as_written``: whether they equal what the writes themselves saw.
+    """
+    target = staging_path(spark, "refresh")
+    full_refresh(spark, Model(spark, sf_dir).src, target, as_of=AS_OF)
+    found = run_digests(spark, target, current_manifest(spark, target))
+    return found.select("table_name", "row_count", *[F.col(c).cast("string").alias(c) for c in ("keys_digest", "rows_digest")],
+                        "as_written")
+
+
 QUERIES: dict[str, Query] = {
     "calendar_dim": calendar_dim,
     "geography_dim": geography_dim,
@@ -373,6 +392,7 @@ QUERIES: dict[str, Query] = {
     "not_null_and_width": not_null_and_width,
     "snapshot_reconcile": snapshot_reconcile,
     "full_refresh_report": full_refresh_report,
+    "written_star_digest": written_star_digest,
     "star_integrity": star_integrity,
 }
 

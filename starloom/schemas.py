@@ -4,6 +4,7 @@ Each table is a ``StructType`` plus constraint metadata (primary and unique
 keys, foreign keys, declared character widths). Spark does not enforce keys,
 so the metadata feeds the integrity checks in ``starloom.operators.checks``.
 
+Names, types, widths and keys of the tables are fixed values of the model.
 Identifier and surrogate-key columns are ``LongType``: at the scale this
 library targets (hundreds of billions of order lines) 32-bit keys overflow.
 Every other column keeps the width declared by the model.
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.bounds import keep_bound
+from starloom.bounds import keep_rows
 
 KEY = T.LongType()
 SMALL = T.ShortType()
@@ -288,11 +289,11 @@ def conform(df: DataFrame, table: Table) -> DataFrame:
         raise ValueError(f"{table.name}: missing columns {missing}")
     out = df.select([F.col(f.name).cast(f.dataType).alias(f.name)
                      for f in table.schema.fields])
-    return keep_bound(df, out)   # a projection keeps a proven row bound
+    return keep_rows(df, out)   # a projection keeps the row count
 
 
 def create_table_sql(table: Table, qualified_name: str, location: str | None = None,
-                     fmt: str = "parquet") -> str:
+                     fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> str:
     """``CREATE TABLE`` statement for ``table`` (Spark SQL, external when ``location``).
 
     Character columns are declared ``STRING``: a declared width is checked by
@@ -302,5 +303,13 @@ def create_table_sql(table: Table, qualified_name: str, location: str | None = N
     cols = ",\n  ".join(
         f"{f.name} {f.dataType.simpleString().upper()}{'' if f.nullable else ' NOT NULL'}"
         for f in table.schema.fields)
+    parts = f"\nPARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     where = f"\nLOCATION '{location}'" if location else ""
-    return f"CREATE TABLE {qualified_name} (\n  {cols}\n) USING {fmt}{where}"
+    return f"CREATE TABLE {qualified_name} (\n  {cols}\n) USING {fmt}{parts}{where}"
+
+
+def create_view_sql(table: Table, qualified_name: str, folder: str, manifests: str) -> str:
+    """``CREATE VIEW`` statement: the table's rows of the run that the newest manifest names."""
+    cols = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString().upper()}) AS {f.name}" for f in table.schema.fields)
+    current = f"SELECT max_by(run_id, version) FROM json.`{manifests}`"
+    return f"CREATE OR REPLACE VIEW {qualified_name} AS SELECT {cols} FROM parquet.`{folder}` WHERE run_id = ({current})"

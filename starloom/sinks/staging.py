@@ -12,8 +12,10 @@ from __future__ import annotations
 import threading
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from starloom.bounds import mark_rows
 from starloom.config import ensure_checkpoint_dir
 
 class _Created(threading.local):
@@ -43,6 +45,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def stage_counted(df: DataFrame, label: str) -> DataFrame:
+    """``stage``, with the rows counted by the write itself and recorded on the result."""
+    seen = Observation()
+    out = stage(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return mark_rows(out, int(seen.get.get("rows", 0)))
+
+
 def staging_mark() -> int:
     """Position in the record of staging folders; pass to ``drop_staging``."""
     return len(_created.paths)

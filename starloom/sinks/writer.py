@@ -1,18 +1,29 @@
-"""Table writer that conforms to the declared schema and counts rows while writing."""
+"""Table writer that conforms to the declared schema and counts and digests rows while writing."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
 
 from starloom.schemas import Table, conform
+from starloom.sinks.digest import digest_aggregates
+
+
+@dataclass(frozen=True)
+class Written:
+    """What a write saw: its rows and their digests (see ``sinks.digest``), as decimal text."""
+
+    rows: int
+    keys_digest: str
+    rows_digest: str
 
 
 def write_table(df: DataFrame, table: Table, path: str, *, fmt: str = "parquet",
-                partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> int:
-    """Write ``df`` (conformed to ``table``) to ``path``; return the rows written.
+                partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> Written:
+    """Write ``df`` (conformed to ``table``) to ``path``; return the rows written and their digests.
 
-    The count is an ``Observation`` metric gathered by the write job itself,
+    They are ``Observation`` metrics gathered by the write job itself,
     so no second pass over the data is made. An empty frame writes an empty
     table with the right schema.
 
@@ -26,9 +37,10 @@ def write_table(df: DataFrame, table: Table, path: str, *, fmt: str = "parquet",
     out = conform(df, table)
     if partition_by:
         out = out.repartitionByRange(*partition_by, *table.primary_key)
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = out.observe(obs, *digest_aggregates(table))
     writer = out.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return int(obs.get.get("rows", 0))
+    seen = obs.get
+    return Written(int(seen.get("row_count", 0)), str(seen.get("keys_digest", 0)), str(seen.get("rows_digest", 0)))

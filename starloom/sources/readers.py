@@ -1,28 +1,30 @@
 """Table readers.
 
 The source of each table is a parameter: Parquet files (the default), or any
-other Spark data source such as JDBC, where ``partitionColumn``,
-``lowerBound``, ``upperBound`` and ``numPartitions`` make the read parallel.
-Nothing is fetched to the driver.
+other Spark data source such as JDBC, where predicates (see ``sources.splits``) make the read parallel.
+No rows are fetched to the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def read_table(spark: SparkSession, location: str, name: str, *, fmt: str = "parquet",
-               options: Mapping[str, str] | None = None) -> DataFrame:
+               options: Mapping[str, str] | None = None, predicates: Sequence[str] | None = None) -> DataFrame:
     """Read one table.
 
     ``parquet``/``orc``: ``location`` is a folder; the table is
     ``<location>/<name>.parquet`` when that exists, else ``<location>/<name>``.
-    ``jdbc``: ``location`` is the JDBC URL and ``name`` the table name.
+    ``jdbc``: ``location`` is the JDBC URL and ``name`` the table name; each of ``predicates`` is read
+    by a task of its own.
     Any other format is passed to ``spark.read.format(fmt)`` with the path.
     """
     reader = spark.read.options(**dict(options or {}))
+    if fmt == "jdbc" and predicates:
+        return spark.read.jdbc(location, name, predicates=list(predicates), properties=dict(options or {}))
     if fmt == "jdbc":
         return reader.format("jdbc").option("url", location).option("dbtable", name).load()
     path = f"{location.rstrip('/')}/{name}.{fmt}"

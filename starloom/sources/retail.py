@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.schemas import SOURCE_TABLES
+from starloom.schemas import DATE, SOURCE_TABLES, Table, conform
 from starloom.sources.readers import read_table
 
 TableSpec = DataFrame | Callable[[], DataFrame]
@@ -49,8 +50,32 @@ class RetailSource:
         return {n: self.table(n) for n in self.NAMES}
 
 
+def conform_source(df: DataFrame, table: Table) -> DataFrame:
+    """``df`` with the columns that the source model declares, by name and of the declared types.
+
+    A value that does not fit its type raises (ANSI casts): dates given as strings and wider decimals
+    are taken if they can be. Other columns are left out, and a missing one raises, but for ``ship_date``, which may be
+    with the orders or with their lines.
+    """
+    by_line = table.name == "sales_order_line" and "ship_date" in df.columns
+    if table.name == "sales_order" and "ship_date" not in df.columns:
+        df = df.withColumn("ship_date", F.lit(None).cast(DATE))
+        return conform(df, table).drop("ship_date")
+    out = conform(df, table)
+    return out if not by_line else df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields],
+                                             F.col("ship_date").cast(DATE).alias("ship_date"))
+
+
 def read_retail_source(spark: SparkSession, location: str, *, fmt: str = "parquet",
-                       options: dict[str, str] | None = None) -> RetailSource:
-    """Read the twelve tables by name from ``location`` (folder or JDBC URL)."""
-    return RetailSource({name: read_table(spark, location, name, fmt=fmt, options=options)
-                         for name in SOURCE_TABLES})
+                       options: Mapping[str, str] | None = None,
+                       splits: Mapping[str, Sequence[str]] | None = None) -> RetailSource:
+    """Read the twelve tables by name from ``location`` (folder or JDBC URL), each as the model declares it.
+
+    ``splits`` has the predicates by which a JDBC table is read in parallel, by table
+    name (``sources.splits``); a table without any is read by one task.
+    """
+    def read(name: str) -> DataFrame:
+        df = read_table(spark, location, name, fmt=fmt, options=options, predicates=(splits or {}).get(name))
+        return conform_source(df, SOURCE_TABLES[name])
+
+    return RetailSource({name: read(name) for name in SOURCE_TABLES})

@@ -31,8 +31,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.money import discount_amount, gross_amount
-from starloom.operators.keys import distributed_key, surrogate_key
+from starloom.operators.keys import dense_key
 from starloom.sources.readers import read_table
+from starloom.sinks.staging import stage
 from starloom.sources.retail import RetailSource
 
 TPCH_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
@@ -79,7 +80,7 @@ def retail_from_frames(spark: SparkSession, region: DataFrame, nation: DataFrame
     # Cities: one per nation x market segment present.
     city_names = customer.select(F.col("c_nationkey").cast("long").alias("state_id"),
                                  F.col("c_mktsegment").alias("city_name")).distinct()
-    city = surrogate_key(city_names, ["state_id", "city_name"], "city_id").select(
+    city = dense_key(stage(city_names, "cities"), ["state_id", "city_name"], "city_id").select(
         "city_id", "city_name", "state_id")
 
     address = customer.join(
@@ -102,9 +103,8 @@ def retail_from_frames(spark: SparkSession, region: DataFrame, nation: DataFrame
         F.col("c_custkey").cast("long").alias("address_id"),
         F.lit("1995-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"))
 
-    category = surrogate_key(part.select(F.col("p_type").alias("category_name")).distinct(),
-                             ["category_name"], "category_id").select("category_id",
-                                                                      "category_name")
+    category = dense_key(stage(part.select(F.col("p_type").alias("category_name")).distinct(), "categories"),
+                         ["category_name"], "category_id").select("category_id", "category_name")
     brand = part.select("p_brand").distinct().select(
         F.split_part("p_brand", F.lit("#"), F.lit(2)).cast("long").alias("brand_id"),
         F.col("p_brand").alias("brand_name"),
@@ -142,7 +142,7 @@ def retail_from_frames(spark: SparkSession, region: DataFrame, nation: DataFrame
                         customer=cust, product_category=category, brand=brand,
                         unit_of_measure=uom, product_status=status, product=product,
                         sales_order=sales_order,
-                        # Built on first use: the line key has an eager write.
+                        # Built on first use: the line key counts and samples the lines.
                         sales_order_line=lambda: order_lines_from_lineitem(lineitem, numbered=numbered_lines))
 
 
@@ -150,11 +150,11 @@ def order_lines_from_lineitem(lineitem: DataFrame, *, numbered: bool = True) ->
     """Order lines with a dense ``order_line_id`` over the full lineitem order.
 
     Rollups only count lines; with ``numbered=False`` the id is made of the
-    order and line number, and nothing is sorted or staged.
+    order and line number, and nothing is sorted.
     """
     rows = lineitem.select(*LINE_ORDER)
     if numbered:
-        keyed = distributed_key(rows, list(LINE_ORDER), "order_line_id")
+        keyed = dense_key(rows, list(LINE_ORDER), "order_line_id")
     else:
         keyed = rows.withColumn("order_line_id", F.col("l_orderkey").cast("long") * 8 + F.col("l_linenumber"))
     unit_price = F.col("l_extendedprice").cast("decimal(10,2)")
