@@ -54,6 +54,8 @@ REPETITIONS = 12
 WALKS = 2
 SHORTEST = 5
 BLOCK_BYTES = 16 << 20
+#: Candidates of a slice that are held before those that cannot match are dropped.
+HELD_CANDIDATES = 1 << 18
 
 _U = np.uint64
 _FACTORS = [_U(0xD6E8FEB86659FD93), _U(0xA0761D6478BD642F), _U(0xE7037ED1A0B428DB)]
@@ -165,17 +167,41 @@ class Index:
             item, offset = np.full(len(starts), k, np.int32), starts.astype(np.int32)
             for size, rep, keys in window_keys(words, starts, [size]):
                 parts.setdefault((size, rep), []).append((keys, item, offset))
+        self.vocabulary = np.unique(np.concatenate([np.zeros(0, _U), *self.words]))
+        self.numbers = [np.searchsorted(self.vocabulary, words) for words in self.words]
+        bits = min(24, len(self.vocabulary).bit_length() + 6)
+        self.shift, self.seen = _U(64 - bits), np.zeros(1 << bits, bool)
+        self.seen[self.vocabulary >> self.shift] = True
         self.tables = {at: Table(*(np.concatenate(c) for c in zip(*rows))) for at, rows in parts.items()}
         self.sizes = sorted({size for size, _ in self.tables})
         self.within, self.alone = ({n: Table(*(np.array(c, t) for c, t in zip(zip(*rows), (_U, np.int32, np.int32))))
                                     for n, rows in parts_of.items()} for parts_of in short)
 
-    def candidates(self, w: Words) -> np.ndarray:
-        """Rows ``(text, first word of the item, item)``, distinct and ordered."""
+    def numbered(self, hashes: np.ndarray) -> np.ndarray:
+        """Each word's place in the items' vocabulary, its length for a word that no item has."""
+        out = np.full(len(hashes), len(self.vocabulary))
+        at = np.flatnonzero(self.seen[hashes >> self.shift])
+        place = np.searchsorted(self.vocabulary, hashes[at])
+        place[place == len(self.vocabulary)] = 0
+        known = self.vocabulary[place] == hashes[at] if len(self.vocabulary) else np.zeros(0, bool)
+        out[at[known]] = place[known]
+        return out
+
+    def candidates(self, w: Words, numbers: np.ndarray) -> np.ndarray:
+        """Rows ``(text, first word of the item, item)``, distinct, and ordered by item, text and place."""
         counts = w.counts
         first = np.cumsum(counts) - counts
         end = first + counts
-        found = []
+        found, held = [], []
+
+        def hold(rows: np.ndarray | None) -> None:
+            """Candidates of several tables are told apart together; what is held is bounded."""
+            if rows is not None and len(rows):
+                held.append(rows)
+            if held and (rows is None or sum(map(len, held)) > HELD_CANDIDATES):
+                found.append(self._plausible(numbers, np.concatenate(held)))
+                held.clear()
+
         if self.sizes:
             n = -(-counts // STRIDE)
             row = np.repeat(np.arange(w.rows), n)
@@ -187,12 +213,13 @@ class Index:
                 for size, rep, keys in window_keys(w.hash, starts, self.sizes):
                     at, item, offset = self.tables[size, rep].find(keys)
                     ok = room[at] >= size
-                    found.append(self._plausible(w.hash, np.stack([row[at], starts[at] - offset, item], 1)[ok]))
+                    hold(np.stack([row[at], starts[at] - offset, item], 1)[ok])
         for n, known in self.within.items():
             if len(w.hash) >= n:
                 at, item, offset = known.find(_whole(w.hash, n))
                 ok = w.row[at] == w.row[at + n - 1]
-                found.append(self._plausible(w.hash, np.stack([w.row[at], at - offset, item], 1)[ok]))
+                hold(np.stack([w.row[at], at - offset, item], 1)[ok])
+        hold(None)
         if self.alone:
             few = np.flatnonzero(counts[w.row] < SHORTEST - 1 + most_edits(SHORTEST - 1) + 1)
             for n, known in self.alone.items():
@@ -202,22 +229,29 @@ class Index:
                     row = w.row[few[at]]
                     found.append(np.stack([row, first[row], item], 1)[ok])
         found = [f for f in found if len(f)]
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
+        return _distinct(np.concatenate(found)) if found else np.zeros((0, 3), np.int64)
 
-    def _plausible(self, hashes: np.ndarray, found: np.ndarray) -> np.ndarray:
+    def _plausible(self, numbers: np.ndarray, found: np.ndarray) -> np.ndarray:
         """Distinct candidates around which enough words are words of the item: all but ``most_edits`` must be."""
-        if not len(found):
-            return found
-        found = np.unique(found, axis=0)
+        found = _distinct(found)
         keep = np.zeros(len(found), bool)
-        order = np.argsort(found[:, 2], kind="stable")
-        cut = np.flatnonzero(np.diff(found[order, 2], prepend=-1))
-        for rows in np.split(order, cut[1:]):
-            item = self.words[found[rows[0], 2]]
+        marked = np.zeros(len(self.vocabulary) + 1, np.uint8)
+        cut = np.flatnonzero(np.diff(found[:, 2], prepend=-1, append=-1))
+        for a, b in zip(cut[:-1], cut[1:]):
+            item = self.numbers[found[a, 2]]
             most = most_edits(len(item))
-            at = found[rows, 1][:, None] + np.arange(-most, len(item) + most)
-            near = np.isin(hashes[np.clip(at, 0, len(hashes) - 1)], item) & (at >= 0) & (at < len(hashes))
-            keep[rows] = near.sum(1) >= len(item) - most
+            marked[item] = 1
+            # words of the item up to each place of the stretch that its candidates touch
+            low, high = max(0, int(found[a:b, 1].min()) - most), int(found[a:b, 1].max()) + len(item) + most
+            if high - low <= (b - a) * (len(item) + 2 * most):
+                sums = np.concatenate([[0], np.cumsum(marked[numbers[low:high]], dtype=np.int64)])
+                ends = [np.clip(found[a:b, 1] + d - low, 0, len(sums) - 1) for d in (-most, len(item) + most)]
+                near = sums[ends[1]] - sums[ends[0]]
+            else:
+                at = found[a:b, 1][:, None] + np.arange(-most, len(item) + most)
+                near = (marked[numbers[np.clip(at, 0, len(numbers) - 1)]] * ((at >= 0) & (at < len(numbers)))).sum(1)
+            keep[a:b] = near >= len(item) - most
+            marked[item] = 0
         return found[keep]
 
     def matches(self, w: Words) -> Iterator[tuple[int, int, int, int, int]]:
@@ -225,7 +259,9 @@ class Index:
         counts = w.counts
         first = np.cumsum(counts) - counts
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for row, begin, item in self.candidates(w).tolist():
+        numbers = self.numbered(w.hash)
+        marked = np.zeros(len(self.vocabulary) + 1, bool)
+        for row, begin, item in self.candidates(w, numbers).tolist():
             words = self.words[item]
             most = most_edits(len(words))
             known = best.get((row, item))
@@ -237,13 +273,27 @@ class Index:
                 edits = word_edits(words.tolist(), w.hash[first[row]:first[row] + counts[row]].tolist())
                 got = (edits, 0, int(counts[row])) if edits <= most else None
             else:
-                got = closest(words, w.hash[a:b], most, begin - a)
+                marked[numbers[a:b]] = True
+                shared = int(marked[self.numbers[item]].sum())
+                marked[numbers[a:b]] = False
+                got = closest(words, w.hash[a:b], most, begin - a) if shared >= len(words) - most else None
             if got is not None and (known is None or (got[0], a + got[1]) < known[:2]):
                 best[row, item] = (got[0], a + got[1], a + got[2])
         for (row, item), (edits, a, b) in sorted(best.items()):
             yield row, self.ids[item], int(w.start[a] - w.bounds[row]), int(w.end[b - 1] - w.bounds[row]), edits
 
 
+def _distinct(found: np.ndarray) -> np.ndarray:
+    """Distinct rows ``(text, place, item)``, ordered by item, text and place."""
+    low = found.min(0)
+    texts, places, items = (int(n) for n in found.max(0) - low + 1)
+    if texts * places * items >= 1 << 62:
+        return np.unique(found[:, [2, 0, 1]], axis=0)[:, [1, 2, 0]]
+    text, place, item = (found - low).T
+    keys = np.unique((item * texts + text) * places + place)
+    return np.stack([keys // places % texts, keys % places, keys // (texts * places)], 1) + low
+
+
 def _whole(words: np.ndarray, n: int) -> np.ndarray:
     """A hash of each run of ``n`` words."""
     h = np.zeros(len(words) - n + 1, _U)
@@ -271,7 +321,7 @@ def closest(item: np.ndarray, text: np.ndarray, most: int, guess: int) -> tuple[
     """
     if 0 <= guess and guess + len(item) <= len(text) and np.array_equal(text[guess:guess + len(item)], item):
         return 0, guess, guess + len(item)
-    if not most or not len(text) or np.isin(item, text).sum() < len(item) - most:
+    if not most or not len(text):
         return None
     n = len(text)
     place = np.arange(n + 1)
