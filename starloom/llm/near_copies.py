@@ -30,8 +30,8 @@ class from the start; the rest of the work is on one document of each class.
 
 Defined results: null and empty texts, or white space only, have no shingle,
 link with nothing and are their own component; a text of fewer than five words
-has one shingle. Repeated rows each get a row. A row with a null id belongs to
-the component of its text's class, null if all its ids are. The one chance for
+has one shingle. Repeated rows each get a row. A row with a null id links like
+others; its component's smallest id is null if all its ids are. The one chance for
 error is a 64-bit hash collision.
 """
 
@@ -45,6 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.components import components
+from starloom.llm.skew import join_per_key
 from starloom.llm.textblock import mix, shingle_sets, slices
 from starloom.sinks.staging import stage
 
@@ -86,7 +87,7 @@ def _sets(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id``, class ``sid`` (null without shingles), ``n`` and ``m``: set size, all and in the region."""
+    """``doc_id``, class ``sid`` (null without shingles), ``n`` and ``m``: set size, all and in the region; ``h``: hash of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ns, ms, sids = [], [], []
@@ -98,11 +99,11 @@ def signatures(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"),
                 pa.array(np.concatenate(sids) if sids else n, pa.int64(), mask=n == 0),
-                pa.array(n, pa.int64()), pa.array(np.concatenate(ms) if ms else n, pa.int64())],
-                ["doc_id", "sid", "n", "m"])
+                pa.array(n, pa.int64()), pa.array(np.concatenate(ms) if ms else n, pa.int64()), batch.column("h")],
+                ["doc_id", "sid", "n", "m", "h"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, sid long, n long, m long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h")).mapInArrow(
+        run, "doc_id long, sid long, n long, m long, h long")
 
 
 _BLOCK = "bucket int, kind int, sids binary, runs binary, tokens binary"
@@ -240,8 +241,12 @@ def _token_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                     ["sid", "n", "tokens", "bits"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return (rows.join(chosen.select("doc_id", "sid").hint("shuffle_hash"), "doc_id")
-            .select("text", "sid").mapInArrow(run, "sid long, n long, tokens array<long>, bits array<long>"))
+    by_id = rows.join(chosen.select("doc_id", "sid").hint("shuffle_hash"), "doc_id").select("text", "sid")
+    # classes whose rows all lack an id: by the hash of a text, of which one row is taken
+    no_id = chosen.where(F.col("doc_id").isNull()).select("h", "sid")
+    by_text = (rows.where(F.col("doc_id").isNull()).select("text", F.xxhash64("text").alias("h"))
+               .join(no_id, "h").dropDuplicates(["sid"]).select("text", "sid"))
+    return by_id.unionByName(by_text).mapInArrow(run, "sid long, n long, tokens array<long>, bits array<long>")
 
 
 def _among(key: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -409,7 +414,7 @@ def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
     """``(node, component)`` of the classes that link with another class."""
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     classes = (signed.where(F.col("sid").isNotNull()).groupBy("sid")
-               .agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("m").alias("m")))
+               .agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("m").alias("m"), F.min("h").alias("h")))
     total = signed.agg(F.sum("m").alias("m")).first()["m"] or 0
     bits = min(24, max(3, int(np.ceil(np.log2(max(total / 0.4 / BLOCK_TOKENS, 1))))))
     limit = max(FREQUENT, -(-total // MOST_FREQUENT))
@@ -444,14 +449,21 @@ def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
     return _merged(late, grouped) if late.take(1) else grouped
 
 
-def near_copy_components(docs: DataFrame) -> DataFrame:
-    """Per document: ``doc_id``, ``n_shingles`` and ``component_id`` (smallest id reachable by links)."""
+def _assigned(docs: DataFrame) -> DataFrame:
+    """Per document ``doc_id``, ``n``, ``sid``, ``h``, its ``component`` (null without shingles) and that one's smallest id."""
     signed = stage(signatures(docs), "near-signatures")
     grouped = linked_classes(docs, signed)
-    rows = (signed.join(grouped.withColumnRenamed("node", "sid"), "sid", "left")
-            .withColumn("component", F.coalesce("component", "sid")))
-    least = (rows.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("component_id")))
-    return rows.join(least, "component", "left").select(
+    classes = signed.where(F.col("sid").isNotNull()).groupBy("sid").agg(F.min("doc_id").alias("own"))
+    classes = classes.join(grouped.withColumnRenamed("node", "sid"), "sid", "left")
+    classes = stage(classes.select("sid", "own", F.coalesce("component", "sid").alias("component")), "near-classes")
+    least = classes.groupBy("component").agg(F.min("own").alias("component_id"))
+    per_sid = stage(join_per_key(classes, least, "component").select("sid", "component", "component_id"), "near-components")
+    return join_per_key(signed, per_sid, "sid")
+
+
+def near_copy_components(docs: DataFrame) -> DataFrame:
+    """Per document: ``doc_id``, ``n_shingles`` and ``component_id`` (smallest id reachable by links)."""
+    return _assigned(docs).select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
@@ -459,9 +471,17 @@ def near_copy_components(docs: DataFrame) -> DataFrame:
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The documents without the near copies of others: of each group the one with the smallest id stays.
 
-    Rows that repeat an id and a text are one document. A row without an id
-    cannot be the smallest of a group and stays.
+    Rows that repeat an id and a text are one document. Of a group whose rows all lack an id one text stays, and one row of it; rows
+    without an id in other groups go. A document without words is in no group: each id stays once with its text, and every row without an id.
     """
-    kept = near_copy_components(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    rows = stage(_assigned(docs), "near-assigned")
+    own = F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    kept = rows.where(F.col("doc_id") == own).select("doc_id").distinct()
     known = docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"])
-    return known.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    nameless = docs.where(F.col("doc_id").isNull())
+    wordless = F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
+    chosen = rows.where(F.col("sid").isNotNull() & F.col("component_id").isNull()).groupBy("component").agg(F.min("h").alias("_h"))
+    one_text = (nameless.where(~wordless).withColumn("_h", F.xxhash64("text")).join(chosen.select("_h"), "_h", "left_semi")
+                .dropDuplicates(["_h"]))
+    out = known.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return out.unionByName(one_text.select(*docs.columns)).unionByName(nameless.where(wordless))

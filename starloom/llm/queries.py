@@ -159,24 +159,24 @@ FROM kept JOIN coded USING (k), digest"""
 QUERY_ORACLES: dict[str, str] = {
     "op10_ngram_jaccard": f"""
 WITH RECURSIVE
-words AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w
+words AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w
   FROM documents),
 sets AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+  SELECT k, doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
                       WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
                       ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
   FROM words),
-grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+grams AS (SELECT k, len(s) AS n, unnest(s) AS g FROM sets),
 links AS (
-  SELECT x.doc_id AS a, y.doc_id AS b FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id
-  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+  SELECT x.k AS a, y.k AS b FROM grams x JOIN grams y ON x.g = y.g AND x.k <> y.k
+  GROUP BY x.k, y.k, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
 reach AS (
-  SELECT doc_id AS a, doc_id AS b FROM documents
+  SELECT k AS a, k AS b FROM words
   UNION
   SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, m.component_id
-FROM sets s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) m ON m.a = s.doc_id""",
+FROM sets s JOIN (SELECT a, min(doc_id) AS component_id FROM reach JOIN words ON k = b GROUP BY a) m ON m.a = s.k""",
     "op11_vector_codes": _vector_codes_sql(),
     "op12_spelling_variants": f"""
 WITH RECURSIVE

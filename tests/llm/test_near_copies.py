@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from helpers import documents, empty, needs_tables, odd, plain_components
@@ -49,6 +50,29 @@ def test_against_all_pairs_with_every_kind_of_key(spark, monkeypatch, frequent,
     assert _run(spark.createDataFrame(rows, "doc_id long, text string")) == plain_components(rows)
 
 
+def test_links_through_a_row_without_an_id(spark):
+    """A links to B and B to C; whether B has an id or not, all three are one component."""
+    base = [f"w{k}" for k in range(100)]
+    a, b, c = base, base[:-9] + [f"x{k}" for k in range(9)], base[9:-9] + [f"x{k}" for k in range(9)] + [f"y{k}" for k in range(1)]
+    sets = {k: {tuple(t[i:i + 5]) for i in range(len(t) - 4)} for k, t in (("a", a), ("b", b), ("c", c))}
+    near = lambda x, y: 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y])
+    assert near("a", "b") and near("b", "c") and not near("a", "c")
+    for of_b in (2, None):
+        rows = [(1, " ".join(a)), (of_b, " ".join(b)), (of_b, " ".join(b)), (3, " ".join(c)), (None, "all by itself without an id"), (None, None)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        got = Counter((r["doc_id"], r["component_id"]) for r in near_copy_components(frame).collect())
+        assert got == Counter({(1, 1): 1, (of_b, 1): 2, (3, 1): 1}) + Counter([(None, None)] * 2)
+        left = Counter((r["doc_id"], r["text"]) for r in one_of_each_group(frame).collect())
+        assert left == Counter([rows[0], rows[4], rows[5]])
+
+
+def test_one_stays_of_a_group_without_ids(spark):
+    text = [" ".join(f"w{k}" for k in range(n)) for n in (60, 61, 62)]
+    rows = [(None, text[0], "a"), (None, text[0], "b"), (None, text[1], "a"), (None, text[2], "c"), (None, "  ", "x"), (None, "  ", "x")]
+    left = one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string, h string")).collect()
+    assert len(left) == 3 and sum(r["text"] in text for r in left) == 1 and left[0].asDict().keys() == {"doc_id", "text", "h"}
+
+
 def test_odd_rows(spark):
     got = near_copy_components(odd(spark)).collect()
     assert len(got) == 11
