@@ -153,7 +153,7 @@ def _near_in_cells(rows: pa.Table, m: int) -> Iterator[tuple[np.ndarray, np.ndar
 
 
 def near_words(counts: DataFrame) -> DataFrame:
-    """``(a, n_a, b, n_b)``: each pair of near words of ``(word, n)`` once. Words must be distinct."""
+    """``(a, n_a, b, n_b)``: each pair of near words of ``(word, n)`` once. Words must be distinct, and should be a written table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "tile", STREAM_ROWS):
             table = table.sort_by([("m", "ascending"), ("tile", "ascending")])
@@ -174,7 +174,9 @@ def near_words(counts: DataFrame) -> DataFrame:
                         [part.column(c).combine_chunks().take(k) for k in (i, j) for c in ("word", "n")], ["a", "n_a", "b", "n_b"])
                 first = end
 
-    return (_cells(counts).repartition("tile").sortWithinPartitions("tile")
+    # tasks by the rows that they compare, which are few bytes but much work
+    tasks = max(1, -(-4 * counts.count() // STREAM_ROWS))
+    return (_cells(counts).repartition(tasks, "tile").sortWithinPartitions("tile")
             .mapInArrow(run, "a string, n_a long, b string, n_b long"))
 
 
