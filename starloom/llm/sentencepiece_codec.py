@@ -28,6 +28,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -115,16 +116,33 @@ class BpeForward:
                     found.append(len(piece))
 
     def merged(self, word: str) -> tuple[list[str], tuple[str, str] | None]:
-        """Plain BPE of a short string, best score first, then leftmost; and the parts of the last merge."""
-        symbols, parts = list(word), None
-        while True:
-            best = max(((self.score[a + b], -i) for i, (a, b) in enumerate(zip(symbols, symbols[1:]))
-                        if a + b in self.score), default=None)
-            if best is None:
-                return symbols, parts
-            i = -best[1]
-            parts = (symbols[i], symbols[i + 1])
-            symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
+        """Plain BPE of a string, best score first, then leftmost; and the parts of the last merge.
+
+        Symbols are a linked list, the merges that can be made a heap, so a long run of marks takes ``n log n`` steps.
+        """
+        symbols: list[str | None] = list(word)
+        after, before, parts = list(range(1, len(word) + 1)), list(range(-1, len(word) - 1)), None
+        heap = [(-self.score[a + b], i, a + b) for i, (a, b) in enumerate(zip(word, word[1:])) if a + b in self.score]
+        heapify(heap)
+
+        def offer(i: int) -> None:
+            both = symbols[i] + symbols[after[i]]
+            if both in self.score:
+                heappush(heap, (-self.score[both], i, both))
+
+        while heap:
+            _, i, both = heappop(heap)
+            j = after[i]
+            if symbols[i] is None or j == len(word) or symbols[i] + symbols[j] != both:
+                continue  # one of the two was merged with another meanwhile
+            parts = (symbols[i], symbols[j])
+            symbols[i], symbols[j], after[i] = both, None, after[j]
+            if after[i] < len(word):
+                before[after[i]] = i
+                offer(i)
+            if before[i] >= 0:
+                offer(before[i])
+        return [s for s in symbols if s is not None], parts
 
     def _parts(self, piece: str) -> tuple[str, str] | None:
         """What a piece was merged from last; None for one character or a piece that merging never makes."""

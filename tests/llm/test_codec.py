@@ -32,6 +32,38 @@ def test_ids_and_texts_are_the_librarys():
         assert own.decode(np.array(want)) == sp.decode(want)
 
 
+def test_long_runs_of_spaces_take_no_square_of_steps():
+    import time
+
+    own, sp = codec.codec(tokenizer_file(PIECES)), _library()
+    texts = [" " * n + end for n in (2, 3, 17, 1000, 20_001) for end in ("", "x", "the end")] + ["a" + "  " * 5000 + "b", "▁" * 4097]
+    for text, ids in zip(texts, own.encode(texts)):
+        assert np.frombuffer(ids, "<i4").tolist() == sp.encode(text)
+    started = time.process_time()
+    assert own.encode([" " * 1_000_000])[0]
+    assert time.process_time() - started < 60
+
+
+def test_merging_against_the_plain_way():
+    own = codec.codec(tokenizer_file(PIECES)).forward
+    rng = random.Random(4)
+
+    def plain(word):
+        symbols, parts = list(word), None
+        while True:
+            best = max(((own.score[a + b], -i) for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if a + b in own.score), default=None)
+            if best is None:
+                return symbols, parts
+            i = -best[1]
+            parts = (symbols[i], symbols[i + 1])
+            symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
+
+    pool = list(own.score)[:3000]
+    for _ in range(2000):
+        word = "".join(rng.choice(pool) for _ in range(rng.randrange(1, 6)))
+        assert own.merged(word) == plain(word), word
+
+
 def test_store_that_overflows_gives_the_same(monkeypatch):
     own = codec.Codec(codec.Pieces(tokenizer_file(PIECES)))
     texts = _texts()[:400]
