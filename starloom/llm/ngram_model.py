@@ -18,8 +18,9 @@ successors of a hot word over many shards. Three scans feed three shuffles:
    ``SHARD_PAIRS`` pairs. The weights ``l`` are fitted by leaving one occurrence
    out: a shard's log likelihoods are a table of fixed size, which Spark adds up
    over all shards, so every training pair counts;
-3. the pairs of all texts, likewise. A shard builds its trie, looks all pairs up,
-   and sends the sums of its texts, by blocks of texts.
+3. the pairs of all texts, likewise, in flushes of texts that are known by their place in the
+   flush. A shard builds its trie, looks all pairs up, and sends each flush the sums of its texts;
+   the flush's keys travel once, with its first block.
 
 Words are known by 48 bits of their hash.
 
@@ -34,6 +35,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +54,7 @@ SIZES = 40
 GRID = np.array([0.01, 0.03, 0.06, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.93, 0.95, 0.97, 0.98, 0.99, 0.995, 0.999])
 
 _U = np.uint64
-_SUM_NAMES, _SUMS = ("key", "base", "score", "known", "n"), ("<i8", "<f8", "<f8", "<u4", "<u4")
+_SUM_NAMES, _SUMS = ("base", "score", "known", "n"), ("<f8", "<f8", "<u4", "<u4")
 _START, _END = (int(v) >> 16 for v in mix(np.array([1, 2], _U)))
 
 
@@ -170,11 +172,13 @@ def _counts_by_shard(blocks: DataFrame, shards: int) -> DataFrame:
 
 
 def _pair_blocks(rows: DataFrame, shards: int, *, by_text: bool) -> DataFrame:
-    """Pairs by shard: texts with their runs, words, and both words' places among them.
+    """Pairs by shard: texts (places in their flush) with their runs, words, and both words' places among them.
 
-    Unless ``by_text``, a block's pairs are those of its training texts and are sent as the run of one text.
+    A flush is known by its partition and number, which a repeated task gives again; its first block has the keys of its
+    texts. Unless ``by_text``, a block's pairs are those of its training texts and are sent as the run of one text.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flush = TaskContext.get().partitionId() << 32
         for batch in batches:
             train = batch.column("train").to_numpy(zero_copy_only=False)
             key = batch.column("key").to_numpy(zero_copy_only=False)
@@ -186,7 +190,8 @@ def _pair_blocks(rows: DataFrame, shards: int, *, by_text: bool) -> DataFrame:
                 shard = shard_of(a, b, shards)
                 order = np.argsort(shard.astype(np.uint16) if shards < 65536 else shard, kind="stable")
                 cut = np.searchsorted(shard[order], np.arange(shards + 1))
-                out = []
+                out, names, place = [], key[row].astype("<i8").tobytes() if by_text else b"", _width(len(row))
+                flush += 1
                 for k in range(shards):
                     part = order[cut[k]:cut[k + 1]]
                     if not len(part):
@@ -194,18 +199,19 @@ def _pair_blocks(rows: DataFrame, shards: int, *, by_text: bool) -> DataFrame:
                     words, at = np.unique(np.concatenate([a[part], b[part]]), return_inverse=True)
                     texts, runs = np.unique(own[part], return_counts=True)
                     small = "<u2" if len(words) < 65536 else "<u4"
-                    out.append((k, key[row[texts]].astype("<i8").tobytes(), np.packbits(train[row[texts]]).tobytes(),
+                    out.append((k, flush, names, texts.astype(place).tobytes(), np.packbits(train[row[texts]]).tobytes(),
                                 runs.astype("<u4").tobytes(), _pack(words), at.astype(small).tobytes()))
+                    names = b""
                 if out:
                     cols = list(zip(*out))
                     del shard, order, out
                     release_memory()
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])],
-                        ["shard", "keys", "train", "runs", "words", "places"])
+                        [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[2:])],
+                        ["shard", "flush", "keys", "texts", "train", "runs", "words", "places"])
 
     return rows.select("key", "text", "train").mapInArrow(
-        run, "shard int, keys binary, train binary, runs binary, words binary, places binary")
+        run, "shard int, flush long, keys binary, texts binary, train binary, runs binary, words binary, places binary")
 
 
 class Shard:
@@ -219,10 +225,10 @@ class Shard:
         order = np.argsort(words)
         words, self.count = words[order], np.append(n[order], 0)          # the last id is that of unseen words
         self.unseen = len(words)
-        first, second, train, own, keys, done = [], [], [], [], [], 0
-        columns = [blocks[c] for c in ("words", "runs", "places", "train", "keys")]
+        first, second, train, own, self.ends = [], [], [], [], [0]
+        columns = [blocks[c] for c in ("words", "runs", "places", "train")]
         for k in range(len(blocks)):
-            block = dict(zip(("words", "runs", "places", "train", "keys"), (c[k].as_buffer() for c in columns)))  # no copy
+            block = dict(zip(("words", "runs", "places", "train"), (c[k].as_buffer() for c in columns)))  # no copy
             known = _unpack(block["words"])
             at = np.minimum(np.searchsorted(words, known), max(len(words) - 1, 0))
             ids = np.where(words[at] == known, at, self.unseen) if len(words) else np.full(len(known), self.unseen)
@@ -233,10 +239,9 @@ class Shard:
             second.append(ids[place[total:]].astype(np.int32))
             flags = np.unpackbits(np.frombuffer(block["train"], np.uint8), count=len(runs)).astype(bool)
             train.append(np.repeat(flags, runs))
-            own.append(np.repeat(np.arange(len(runs), dtype=np.int32) + done, runs))
-            keys.append(np.frombuffer(block["keys"], "<i8"))
-            done += len(runs)
-        self.keys, self.own = np.concatenate(keys), np.concatenate(own)
+            own.append(np.repeat(np.arange(len(runs), dtype=np.int32) + self.ends[-1], runs))
+            self.ends.append(self.ends[-1] + len(runs))
+        self.own = np.concatenate(own)
         pair = np.concatenate(first).astype(np.int64) * (self.unseen + 1) + np.concatenate(second)
         train = np.concatenate(train)
         del first, second, own, columns
@@ -260,7 +265,7 @@ class Shard:
         return np.stack([np.bincount(size, c * np.log((1 - g) * share + g * low), minlength=SIZES) for g in GRID], 1)
 
     def scores(self, weights: np.ndarray) -> tuple[np.ndarray, ...]:
-        """``(key, base, score, known, tokens)`` of each text's pairs."""
+        """``(base, score, known, tokens)`` of each text's pairs; block ``k`` has the texts from ``ends[k]`` on."""
         weight = weights[self.size]
         rows = np.flatnonzero(self.seen)
         first, second = self.first[rows], self.second[rows]
@@ -271,9 +276,9 @@ class Shard:
         backoff = np.where(self.count > 0, Quantiser.logs(Quantiser.codes(np.log10(weight))), 0.0)
         found, logs = trie.find(self.first, self.second)
         logs = np.where(found, logs, backoff[self.first] + unigram[self.second])
-        n = len(self.keys)
+        n = self.ends[-1]
         second = self.second[self.at]
-        return (self.keys, np.bincount(self.own, base[second], minlength=n), np.bincount(self.own, logs[self.at], minlength=n),
+        return (np.bincount(self.own, base[second], minlength=n), np.bincount(self.own, logs[self.at], minlength=n),
                 np.bincount(self.own, self.count[second] > 0, minlength=n).astype(np.int64), np.bincount(self.own, minlength=n))
 
 
@@ -335,29 +340,30 @@ def language_scores(docs: DataFrame, *, folds: int = FOLDS, held_out_fold: int =
     def look_up(key, blocks: pa.Table, words: pa.Table) -> pa.Table:
         out = []
         if len(blocks):
-            cols = Shard(blocks, words, tokens, types).scores(weights)
-            bucket = (mix(cols[0].view(_U)) % _U(shards)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cut = np.searchsorted(bucket[order], np.arange(shards + 1))
-            out = [(k, *(c[order[a:b]].astype(t).tobytes() for c, t in zip(cols, _SUMS)))
-                   for k, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if a < b]
+            shard = Shard(blocks, words, tokens, types)
+            cols = shard.scores(weights)
+            out = [(*(blocks[c][k].as_py() for c in ("flush", "keys", "texts")), *(c[a:b].astype(t).tobytes() for c, t in zip(cols, _SUMS)))
+                   for k, (a, b) in enumerate(zip(shard.ends, shard.ends[1:]))]
         release_memory()
-        cols = list(zip(*out)) or [[]] * 6
-        return pa.Table.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])],
-                                    ["bucket", *_SUM_NAMES])
+        cols = list(zip(*out)) or [[]] * (3 + len(_SUMS))
+        return pa.Table.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[1:])],
+                                    ["flush", "keys", "texts", *_SUM_NAMES])
 
     def add_up(table: pa.Table) -> pa.Table:
-        cols = [np.frombuffer(b"".join(table[c].to_pylist()), t) for c, t in zip(_SUM_NAMES, _SUMS)]
-        ids, at = np.unique(cols[0], return_inverse=True)
-        sums = [np.bincount(at, c, minlength=len(ids)) for c in cols[1:]]
-        return pa.table({"key": ids, **{c: v for c, v in zip(_SUM_NAMES[1:], sums)}})
+        keys = np.frombuffer(b"".join(table["keys"].to_pylist()), "<i8")
+        sums = [np.zeros(len(keys)) for _ in _SUMS]
+        texts = table["texts"]
+        for k in range(len(texts)):
+            at = np.frombuffer(texts[k].as_buffer(), _width(len(keys)))
+            for total, name, kind in zip(sums, _SUM_NAMES, _SUMS):
+                total[at] += np.frombuffer(table[name][k].as_buffer(), kind)
+        return pa.table({"key": keys, **dict(zip(_SUM_NAMES, sums))})
 
     sums = (_pair_blocks(rows, shards, by_text=True).groupBy("shard").cogroup(of_words)
-            .applyInArrow(look_up, "bucket int, key binary, base binary, score binary, known binary, n binary")
-            .groupBy("bucket").applyInArrow(add_up, "key long, base double, score double, known double, n double"))
-    # rows that repeat an id and a text share a key, and all their pairs are in its sums
-    same = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
-    sums = sums.join(same, "key").select("key", *((F.col(c) / F.col("rows")).alias(c) for c in ("base", "score", "known", "n")))
+            .applyInArrow(look_up, "flush long, keys binary, texts binary, base binary, score binary, known binary, n binary")
+            .groupBy("flush").applyInArrow(add_up, "key long, base double, score double, known double, n double"))
+    # rows that repeat an id and a text share a key and have the same sums
+    sums = sums.groupBy("key").agg(*(F.max(c).alias(c) for c in _SUM_NAMES))
     return rows.select("doc_id", "key", (~F.col("train")).alias("held_out")).join(sums, "key").select(
         "doc_id", "held_out", F.col("n").cast("long").alias("n_tokens"), F.col("known").cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
