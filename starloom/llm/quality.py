@@ -173,10 +173,10 @@ def probability(spark: SparkSession, model: tuple[np.ndarray, float]) -> Callabl
 
 def quality_scores(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, folds: int = FOLDS,
                    held_out_fold: int = HELD_OUT_FOLD) -> DataFrame:
-    """Per document: ``doc_id``, ``held_out``, ``score`` (0 to 1) and ``predicted``."""
+    """Per document: ``doc_id``, ``held_out`` (false without an id), ``score`` (0 to 1) and ``predicted``."""
     model = train(docs, labels, folds=folds, held_out_fold=held_out_fold)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        probability(docs.sparkSession, model)(F.col("text")).alias("score"))
     return rows.select(
-        "doc_id", (fold(F.col("doc_id"), folds) == held_out_fold).alias("held_out"), "score",
+        "doc_id", F.coalesce(fold(F.col("doc_id"), folds) == held_out_fold, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
