@@ -37,7 +37,7 @@ error is a 64-bit hash collision.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.components import components
 from starloom.llm.skew import join_per_key
-from starloom.llm.textblock import mix, shingle_sets, slices
+from starloom.llm.textblock import mix, release_memory, shingle_sets, slices
 from starloom.sinks.staging import stage
 
 SHINGLE = 5
@@ -88,22 +88,31 @@ def _sets(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
 
 def signatures(docs: DataFrame) -> DataFrame:
     """``doc_id``, class ``sid`` (null without shingles), ``n`` and ``m``: set size, all and in the region; ``h``: hash of the text."""
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ns, ms, sids = [], [], []
+        for _, rows, row, h, n, sid in _sets(batch.column("text")):
+            ns.append(n)
+            ms.append(np.bincount(row[h < _REGION], minlength=rows))
+            sids.append(sid)
+        n = np.concatenate(ns) if ns else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([
+            batch.column("doc_id"),
+            pa.array(np.concatenate(sids) if sids else n, pa.int64(), mask=n == 0),
+            pa.array(n, pa.int64()), pa.array(np.concatenate(ms) if ms else n, pa.int64()), batch.column("h")],
+            ["doc_id", "sid", "n", "m", "h"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h")).mapInArrow(
+        _each(run), "doc_id long, sid long, n long, m long, h long")
+
+
+def _each(work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Runs ``work`` on batch after batch and gives back what each one held before the next is read."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ns, ms, sids = [], [], []
-            for _, rows, row, h, n, sid in _sets(batch.column("text")):
-                ns.append(n)
-                ms.append(np.bincount(row[h < _REGION], minlength=rows))
-                sids.append(sid)
-            n = np.concatenate(ns) if ns else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"),
-                pa.array(np.concatenate(sids) if sids else n, pa.int64(), mask=n == 0),
-                pa.array(n, pa.int64()), pa.array(np.concatenate(ms) if ms else n, pa.int64()), batch.column("h")],
-                ["doc_id", "sid", "n", "m", "h"])
+            yield from work(batch)
+            release_memory()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h")).mapInArrow(
-        run, "doc_id long, sid long, n long, m long, h long")
+    return run
 
 
 _BLOCK = "bucket int, kind int, sids binary, runs binary, tokens binary"
@@ -117,53 +126,52 @@ def _region_blocks(docs: DataFrame, bits: int) -> DataFrame:
     """
     low = _U(32 - bits)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens, owners, seen = [], [], np.zeros(0, np.int64)
-            for _, rows, row, h, n, sid in _sets(batch.column("text")):
-                fresh = np.zeros(rows, bool)
-                fresh[np.unique(sid, return_index=True)[1]] = True
-                fresh &= (n > 0) & ~np.isin(sid, seen)
-                seen = np.concatenate([seen, sid[fresh]])
-                keep = fresh[row] & (h < _REGION)
-                tokens.append(h[keep] >> low)
-                owners.append(sid[row[keep]])
-            key = np.concatenate(tokens) if tokens else np.zeros(0, _U)
-            sid = np.concatenate(owners) if owners else np.zeros(0, np.int64)
-            if not len(key):
-                continue
-            out: list[tuple] = []
-            order = np.argsort(key)
-            ordered = key[order]
-            new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-            first = np.flatnonzero(new)
-            size = np.diff(np.append(first, len(ordered)))
-            several = np.zeros(len(key), bool)
-            several[order] = np.repeat(size > 1, size)
-            again, count = ordered[first][size > 1], size[size > 1]
-            bucket = (again >> _U(32)).astype(np.int64)
-            for b in np.unique(bucket).tolist():
-                here = bucket == b
-                out.append((b, 1, b"", count[here].astype("<u4").tobytes(), again[here].astype("<u4").tobytes()))
-            if several.any():
-                ids, count = np.unique(sid[several], return_counts=True)
-                out.append((int(key[0] >> _U(32)), 2, ids.tobytes(), count.astype("<u4").tobytes(), b""))
-            key, sid = key[~several], sid[~several]
-            bucket = (key >> _U(32)).astype(np.uint32 if bits > 16 else np.uint16)
-            order = np.argsort(bucket, kind="stable")
-            key, sid, bucket = key[order], sid[order], bucket[order]
-            cut = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (sid[1:] != sid[:-1])])) if len(key) else np.zeros(0, int)
-            runs, run_bucket = np.diff(np.append(cut, len(key))), bucket[cut]
-            for b in np.unique(run_bucket).tolist():
-                i, j = np.searchsorted(run_bucket, [b, b + 1])
-                a, z = cut[i], (cut[j] if j < len(cut) else len(key))
-                out.append((b, 0, sid[cut[i:j]].tobytes(), runs[i:j].astype("<u4").tobytes(), key[a:z].astype("<u4").tobytes()))
-            cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[2:])],
-                ["bucket", "kind", "sids", "runs", "tokens"])
-
-    return docs.select("text").mapInArrow(run, _BLOCK)
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        tokens, owners, seen = [], [], np.zeros(0, np.int64)
+        for _, rows, row, h, n, sid in _sets(batch.column("text")):
+            fresh = np.zeros(rows, bool)
+            fresh[np.unique(sid, return_index=True)[1]] = True
+            fresh &= (n > 0) & ~np.isin(sid, seen)
+            seen = np.concatenate([seen, sid[fresh]])
+            keep = fresh[row] & (h < _REGION)
+            tokens.append(h[keep] >> low)
+            owners.append(sid[row[keep]])
+        key = np.concatenate(tokens) if tokens else np.zeros(0, _U)
+        sid = np.concatenate(owners) if owners else np.zeros(0, np.int64)
+        if not len(key):
+            return
+        out: list[tuple] = []
+        order = np.argsort(key)
+        ordered = key[order]
+        new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(ordered)))
+        several = np.zeros(len(key), bool)
+        several[order] = np.repeat(size > 1, size)
+        again, count = ordered[first][size > 1], size[size > 1]
+        bucket = (again >> _U(32)).astype(np.int64)
+        for b in np.unique(bucket).tolist():
+            here = bucket == b
+            out.append((b, 1, b"", count[here].astype("<u4").tobytes(), again[here].astype("<u4").tobytes()))
+        if several.any():
+            ids, count = np.unique(sid[several], return_counts=True)
+            out.append((int(key[0] >> _U(32)), 2, ids.tobytes(), count.astype("<u4").tobytes(), b""))
+        key, sid = key[~several], sid[~several]
+        bucket = (key >> _U(32)).astype(np.uint32 if bits > 16 else np.uint16)
+        order = np.argsort(bucket, kind="stable")
+        key, sid, bucket = key[order], sid[order], bucket[order]
+        cut = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (sid[1:] != sid[:-1])])) if len(key) else np.zeros(0, int)
+        runs, run_bucket = np.diff(np.append(cut, len(key))), bucket[cut]
+        for b in np.unique(run_bucket).tolist():
+            i, j = np.searchsorted(run_bucket, [b, b + 1])
+            a, z = cut[i], (cut[j] if j < len(cut) else len(key))
+            out.append((b, 0, sid[cut[i:j]].tobytes(), runs[i:j].astype("<u4").tobytes(), key[a:z].astype("<u4").tobytes()))
+        cols = list(zip(*out))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[2:])],
+            ["bucket", "kind", "sids", "runs", "tokens"])
+
+    return docs.select("text").mapInArrow(_each(run), _BLOCK)
 
 
 def _shared_counts(blocks: DataFrame, frequent: int) -> DataFrame:
@@ -223,22 +231,21 @@ def _shared_counts(blocks: DataFrame, frequent: int) -> DataFrame:
 
 def _token_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """``sid``, ``n``, ordered ``tokens`` and ``bits`` of the chosen classes, from the text of one document of each."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            wanted = batch.column("sid").to_numpy(zero_copy_only=False)
-            for first, rows, row, h, n, sid in _sets(batch.column("text")):
-                good = (n > 0) & (sid == wanted[first:first + rows])
-                h = h[good[row]]
-                n, sid = n[good], sid[good]
-                ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
-                marked = np.zeros((len(n), BITMAP_WORDS * 64), np.uint8)
-                marked[np.repeat(np.arange(len(n)), n), (h % _U(BITMAP_WORDS * 64)).astype(np.int64)] = 1
-                bits = np.packbits(marked, axis=1, bitorder="little").view(np.int64).ravel()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(sid), pa.array(n.astype(np.int64)),
-                    pa.LargeListArray.from_arrays(ends, pa.array(h.view(np.int64))).cast(pa.list_(pa.int64())),
-                    pa.FixedSizeListArray.from_arrays(pa.array(bits), BITMAP_WORDS).cast(pa.list_(pa.int64()))],
-                    ["sid", "n", "tokens", "bits"])
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        wanted = batch.column("sid").to_numpy(zero_copy_only=False)
+        for first, rows, row, h, n, sid in _sets(batch.column("text")):
+            good = (n > 0) & (sid == wanted[first:first + rows])
+            h = h[good[row]]
+            n, sid = n[good], sid[good]
+            ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
+            marked = np.zeros((len(n), BITMAP_WORDS * 64), np.uint8)
+            marked[np.repeat(np.arange(len(n)), n), (h % _U(BITMAP_WORDS * 64)).astype(np.int64)] = 1
+            bits = np.packbits(marked, axis=1, bitorder="little").view(np.int64).ravel()
+            yield pa.RecordBatch.from_arrays([
+                pa.array(sid), pa.array(n.astype(np.int64)),
+                pa.LargeListArray.from_arrays(ends, pa.array(h.view(np.int64))).cast(pa.list_(pa.int64())),
+                pa.FixedSizeListArray.from_arrays(pa.array(bits), BITMAP_WORDS).cast(pa.list_(pa.int64()))],
+                ["sid", "n", "tokens", "bits"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     by_id = rows.join(chosen.select("doc_id", "sid").hint("shuffle_hash"), "doc_id").select("text", "sid")
@@ -246,7 +253,7 @@ def _token_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     no_id = chosen.where(F.col("doc_id").isNull()).select("h", "sid")
     by_text = (rows.where(F.col("doc_id").isNull()).select("text", F.xxhash64("text").alias("h"))
                .join(no_id, "h").dropDuplicates(["sid"]).select("text", "sid"))
-    return by_id.unionByName(by_text).mapInArrow(run, "sid long, n long, tokens array<long>, bits array<long>")
+    return by_id.unionByName(by_text).mapInArrow(_each(run), "sid long, n long, tokens array<long>, bits array<long>")
 
 
 def _among(key: np.ndarray, ordered: np.ndarray) -> np.ndarray:
