@@ -18,8 +18,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from starloom.config import ensure_checkpoint_dir
-from starloom.plans.refresh import full_refresh, read_star
-from starloom.plans.report import sales_report
+from starloom.plans.refresh import full_refresh, run_report
 from starloom.sources.retail import read_retail_source
 from starloom.sources.tpch import retail_from_tpch
 
@@ -57,10 +56,7 @@ def main(argv: list[str] | None = None) -> int:
         report = full_refresh(spark, src, args.target, as_of=args.as_of, calendar=calendar)
         report.orderBy("load_order").show(truncate=False)
     else:
-        star = read_star(spark, args.target)
-        sales_report(star["fact_sales"], star["dim_date"], star["dim_customer"],
-                     star["dim_product"], star["dim_geography"], star["dim_order_status"],
-                     n=args.limit).show(args.limit, truncate=False)
+        run_report(spark, args.target, n=args.limit).show(args.limit, truncate=False)
     return 0
 
 

@@ -109,13 +109,21 @@ def dense_key(df: DataFrame, order_cols: Sequence[ColumnLike], name: str, *,
     a transformation ``(rows, bucket column)`` that keeps the number of rows - can run windows
     that are partitioned by the bucket and those columns without another shuffle.
     ``size_of``: see ``bucket_bounds``.
+
+    Without ``within`` the result's partitions (``spark.sql.shuffle.partitions``, or fewer) are runs of buckets, in
+    order, so a table that is written from it has files that follow each other in ``order_cols``.
     """
     by = range_cols or order_cols
     bounds = bucket_bounds(df, by, size_of=size_of, rows_per_bucket=rows_per_bucket or ROWS_PER_BUCKET)
-    place = F.row_number().over(Window.partitionBy("_sk_bucket").orderBy(*_cols(order_cols)))
     bucketed = bounds.bucket(df, by, "_sk_bucket")
-    rows = bucketed if within is None else within(bucketed.repartition("_sk_bucket"), "_sk_bucket")
-    placed = rows.withColumn("_sk_place", place)
+    if within is None:
+        parts = min(bounds.buckets, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        run = F.floor(F.col("_sk_bucket") * F.lit(parts) / F.lit(bounds.buckets)).cast("int")
+        rows, by_bucket = bucketed.withColumn("_sk_run", run).repartitionById(parts, "_sk_run"), ["_sk_run", "_sk_bucket"]
+    else:
+        rows, by_bucket = within(bucketed.repartition("_sk_bucket"), "_sk_bucket"), ["_sk_bucket"]
+    place = F.row_number().over(Window.partitionBy(*by_bucket).orderBy(*_cols(order_cols)))
+    placed = rows.withColumn("_sk_place", place).drop("_sk_run")
     if bounds.buckets == 1:  # there is no earlier bucket
         return placed.withColumn(name, F.col("_sk_place").cast("long")).drop("_sk_bucket", "_sk_place")
     counts = bucketed.groupBy("_sk_bucket").agg(F.count(F.lit(1)).alias("_sk_rows"))

@@ -437,6 +437,7 @@ ORACLE_SQL: dict[str, str] = {
         "ytd_order_count": _so_far("lines", {"state": ""}, "BIGINT"), "ytd_quantity_sold": _so_far("units", {"state": ""}, "BIGINT"),
         "ytd_net_sales": _so_far("net_money", {"state": ""}, "DECIMAL(18,2)")}, f"FROM ({_by_month({'state': 'province'})})"),
     "sales_report": _with(_RAW) + _report() + " ORDER BY order_id, order_line_id LIMIT 100",
+    "sales_report_by_files": _with(_RAW) + _report() + " ORDER BY order_id, order_line_id LIMIT 100",
     "ship_date_left_join": _with(_RAW) + _report(),
     "sales_report_narrow_calendar": (_with(_RAW) + _report("1997-01-01", "1998-12-31")
                                      + " ORDER BY order_id, order_line_id LIMIT 100"),

@@ -10,6 +10,8 @@ the rest. The "keyed lines" that fact and snapshot share are such a recorded par
 are written once into the run's work folder, which is deleted when the run is published.
 
 All facts and lookups read the written dimensions, whose row counts are known.
+The ranges of the fact's files by the report's order are written beside each run
+(``sinks.ranges``), so ``run_report`` opens few of them.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from starloom.plans.dimensions import (
     product_dimension,
 )
 from starloom.plans.facts import keyed_lines, sales_fact
+from starloom.plans.report import REPORT_ORDER, sales_report
 from starloom.plans.snapshot import sales_monthly_snapshot
 from starloom.schemas import LOAD_ORDER, TARGET_TABLES, conform, create_table_sql
 from starloom.sinks.digest import table_digest
@@ -43,12 +46,15 @@ from starloom.sinks.manifest import (
     current_manifest,
     delete_folder,
     get_record,
+    list_names,
     publish,
     put_if_absent,
+    ranges_path,
     record_path,
     table_path,
     unfinished_run,
 )
+from starloom.sinks.ranges import FileRanges, file_ranges
 from starloom.sinks.staging import drop_staging, staging_mark
 from starloom.sinks.writer import Written, write_table
 from starloom.sources.retail import RetailSource
@@ -145,6 +151,11 @@ def full_refresh(spark: SparkSession, src: RetailSource, target: str, *,
         geography = load("dim_geography", lambda: geography_dimension(src))
         statuses = load("dim_order_status", lambda: order_status_dimension(src))
         load("fact_sales", lambda: sales_fact(lines(), statuses), partition_by=fact_partition_by)
+        if get_record(spark, record_path(target, run_id, "fact_ranges")) is None:
+            ranges = file_ranges(spark.read.format(fmt).load(table_path(target, "fact_sales", run_id)), REPORT_ORDER, f"run_id={run_id}")
+            place = ranges_path(target, "fact_sales", run_id)
+            ranges.write.mode("overwrite").parquet(place)
+            put_if_absent(spark, record_path(target, run_id, "fact_ranges"), {"path": place})
         load("fact_sales_monthly_snapshot", lambda: sales_monthly_snapshot(lines()))
         manifest = publish(spark, target, run_id, written, after=before.version if before else 0)
         put_if_absent(spark, record_path(target, run_id, "published"), {"version": manifest.version})
@@ -180,6 +191,30 @@ def read_star(spark: SparkSession, target: str, *, fmt: str = "parquet") -> dict
     return read_run(spark, target, manifest, fmt=fmt)
 
 
+def fact_ranges(spark: SparkSession, target: str, manifest: Manifest, *, fmt: str = "parquet") -> FileRanges | None:
+    """The ranges of the files of a run's fact; None if it was written without."""
+    place = ranges_path(target, "fact_sales", manifest.run_id)
+    if not list_names(spark, place):
+        return None
+    root = table_path(target, "fact_sales", manifest.run_id)
+
+    def read(files: list[str]) -> DataFrame:
+        some = spark.read.format(fmt).option("basePath", root).load([f"{root}/{f}" for f in files])
+        return conform(some, TARGET_TABLES["fact_sales"])
+
+    return FileRanges(spark.read.parquet(place), REPORT_ORDER, read)
+
+
+def run_report(spark: SparkSession, target: str, *, n: int = 100, fmt: str = "parquet") -> DataFrame:
+    """The report's first ``n`` lines over the current run; only the first files of its fact are opened."""
+    manifest = current_manifest(spark, target)
+    if manifest is None:
+        raise FileNotFoundError(f"no run published under {target}")
+    star = read_run(spark, target, manifest, fmt=fmt)
+    return sales_report(star["fact_sales"], star["dim_date"], star["dim_customer"], star["dim_product"], star["dim_geography"],
+                        star["dim_order_status"], n=n, files=fact_ranges(spark, target, manifest, fmt=fmt))
+
+
 def run_digests(spark: SparkSession, target: str, manifest: Manifest, *, fmt: str = "parquet") -> DataFrame:
     """Rows and digests of the tables as they lie there, beside those of the write.
 

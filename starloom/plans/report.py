@@ -18,6 +18,11 @@ returns the first ``n`` lines by order and line id.
 A customer or product key without a dimension row would drop a line in step 3;
 only then fewer than ``n`` lines are left and the ``join_first`` plan, the star
 join of the whole fact followed by the same two steps, gives the answer.
+
+With the ranges of the fact's files (``sinks.ranges``) steps 1 to 3 run over the first files by their
+least order tuple: as many as hold ``n`` rows, then eight times as many, and so on, until ``n`` of
+the rows below the next file's least tuple are in the report. Rows below it are complete, so the lines are the
+same as those of the whole fact, which is read where ``MOST_FILES`` files were not enough.
 """
 
 from __future__ import annotations
@@ -29,10 +34,13 @@ from pyspark.sql import functions as F
 
 from starloom.bounds import keep_rows
 from starloom.operators.keys import small_lookup
+from starloom.sinks.ranges import MOST_FILES, FileRanges
 from starloom.sinks.staging import stage
 
 REPORT_ORDER = ("order_id", "order_line_id")
 TOP_BUCKETS = 64
+#: Files are opened so many times as many in each round.
+MORE_FILES = 8
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
@@ -91,15 +99,48 @@ def _star(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
         "gross_sales_amount", "net_sales_amount")
 
 
+def _in_report(fact: DataFrame, dims: Sequence[DataFrame]) -> DataFrame:
+    """Fact rows whose calendar, geography and status keys have a dimension row."""
+    dim_date, _, _, dim_geography, dim_order_status = dims
+    for dim, key, own in ((dim_date, "date_key", "order_date_key"),
+                          (dim_geography, "geography_key", "geography_key"),
+                          (dim_order_status, "order_status_key", "order_status_key")):
+        keys = keep_rows(dim, dim.select(F.col(key).alias("_key")))
+        fact = fact.join(small_lookup(keys), F.col(own) == F.col("_key"), "left_semi")
+    return fact
+
+
+def _first_of_files(files: FileRanges, dims: Sequence[DataFrame], n: int) -> DataFrame | None:
+    """The first ``n`` rows of the fact that can be in the report, staged; None if the listed files do not tell."""
+    listed = files.first()
+    opened, rows = 0, 0
+    while opened < min(len(listed), MOST_FILES) and rows < n:
+        rows += listed[opened]["file_rows"]
+        opened += 1
+    while opened:
+        lines = files.read([f["file"] for f in listed[:opened]])
+        if opened < len(listed):
+            lines = lines.where(files.below(listed[opened]["least"]))
+        top = stage(first_rows(_in_report(lines, dims), REPORT_ORDER, n), "report-top")
+        if opened == len(listed) or top.count() == n:
+            return top
+        if opened == MOST_FILES:
+            break
+        opened = min(opened * MORE_FILES, len(listed), MOST_FILES)
+    return None
+
+
 def sales_report(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
                  dim_product: DataFrame, dim_geography: DataFrame,
                  dim_order_status: DataFrame, *, n: int | None = 100,
-                 strategy: str = "topk_first", ordered: bool = True) -> DataFrame:
+                 strategy: str = "topk_first", ordered: bool = True,
+                 files: FileRanges | None = None) -> DataFrame:
     """The 23-column report, first ``n`` lines by (order_id, order_line_id).
 
     ``n=None`` returns every line, sorted if ``ordered``. ``strategy`` is
     ``topk_first`` or ``join_first`` (see the module docstring); both return
-    the same rows.
+    the same rows. ``files``, the ranges of the fact's files by ``REPORT_ORDER``, lets
+    ``topk_first`` open only the first of them.
     """
     dims = (dim_date, dim_customer, dim_product, dim_geography, dim_order_status)
     if n is None:
@@ -110,13 +151,9 @@ def sales_report(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
     if strategy != "topk_first":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    kept = fact
-    for dim, key, own in ((dim_date, "date_key", "order_date_key"),
-                          (dim_geography, "geography_key", "geography_key"),
-                          (dim_order_status, "order_status_key", "order_status_key")):
-        keys = keep_rows(dim, dim.select(F.col(key).alias("_key")))
-        kept = kept.join(small_lookup(keys), F.col(own) == F.col("_key"), "left_semi")
-    top = stage(first_rows(kept, REPORT_ORDER, n), "report-top")
+    top = _first_of_files(files, dims, n) if files is not None else None
+    if top is None:
+        top = stage(first_rows(_in_report(fact, dims), REPORT_ORDER, n), "report-top")
     joined = stage(_star(top, *dims, small_fact=True), "report-lines")
     if joined.count() < min(n, top.count()):
         return sales_report(fact, *dims, n=n, strategy="join_first")

@@ -22,7 +22,9 @@ from starloom.operators.checks import (
 )
 from starloom.operators.keys import dense_key, resolve_key
 from starloom.sinks.manifest import current_manifest
+from starloom.sinks.ranges import FileRanges, file_ranges
 from starloom.sinks.staging import stage, stage_counted, staging_path
+from starloom.sinks.writer import write_table
 from starloom.operators.running import running_totals
 from starloom.plans.calendar import calendar_covering, calendar_dimension
 from starloom.plans.dimensions import (
@@ -33,7 +35,7 @@ from starloom.plans.dimensions import (
 )
 from starloom.plans.facts import GEOGRAPHY_NATURAL_KEY, keyed_lines, line_measures, sales_fact
 from starloom.plans.refresh import full_refresh, run_digests
-from starloom.plans.report import sales_report
+from starloom.plans.report import REPORT_ORDER, sales_report
 from starloom.plans.snapshot import monthly_aggregate, monthly_snapshot, sales_monthly_snapshot
 from starloom.schemas import DIM_CUSTOMER, DIM_PRODUCT, LOAD_ORDER, SOURCE_TABLES, TARGET_TABLES
 from starloom.sources.readers import read_table
@@ -224,6 +226,17 @@ def sales_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_report(m.fact, *m.dims, n=100)
 
 
+def sales_report_by_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: the same lines from the written fact, of which only the first files by order and line id are opened."""
+    m = Model(spark, sf_dir)
+    path = staging_path(spark, "fact_sales")
+    write_table(m.fact, TARGET_TABLES["fact_sales"], path)
+    fact = spark.read.parquet(path)
+    ranges = stage(file_ranges(fact, REPORT_ORDER, path.rsplit("/", 1)[-1]), "fact-ranges")
+    files = FileRanges(ranges, REPORT_ORDER, lambda names: spark.read.parquet(*[f"{path}/{n}" for n in names]))
+    return sales_report(fact, *m.dims, n=100, files=files)
+
+
 def ship_date_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J10: the whole report, every line; unshipped lines keep a NULL ship date."""
     m = Model(spark, sf_dir)
@@ -382,6 +395,7 @@ QUERIES: dict[str, Query] = {
     "monthly_snapshot_brand": monthly_snapshot_brand,
     "running_ytd": running_ytd,
     "sales_report": sales_report_q,
+    "sales_report_by_files": sales_report_by_files,
     "ship_date_left_join": ship_date_left_join,
     "sales_report_narrow_calendar": sales_report_narrow_calendar,
     "geography_key_duplicates": geography_key_duplicates,

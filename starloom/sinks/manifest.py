@@ -27,6 +27,7 @@ from starloom.sinks.writer import Written
 MANIFESTS = "_manifests"
 RUNS = "_runs"
 WORK = "_work"
+RANGES = "_ranges"
 
 
 class PublishConflict(RuntimeError):
@@ -46,6 +47,11 @@ def table_path(target: str, table: str, run_id: str) -> str:
     return f"{target.rstrip('/')}/{table}/run_id={run_id}"
 
 
+def ranges_path(target: str, table: str, run_id: str) -> str:
+    """Where the least order tuples of the files of a run's table lie (see ``sinks.ranges``)."""
+    return f"{target.rstrip('/')}/{RANGES}/{run_id}/{table}"
+
+
 def _hadoop(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -137,6 +143,7 @@ def expire_runs(spark: SparkSession, target: str, *, keep: int = 2) -> list[str]
     for run_id in old:
         for table in TARGET_TABLES:
             delete_folder(spark, table_path(target, table, run_id))
+        delete_folder(spark, f"{root}/{RANGES}/{run_id}")
     return old
 
 

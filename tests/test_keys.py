@@ -155,3 +155,16 @@ def test_dimensions_are_the_same_with_any_number_of_buckets(spark, monkeypatch):
     single = build()
     monkeypatch.setattr(keys, "ROWS_PER_BUCKET", 11)
     assert build() == single
+
+
+def test_partitions_follow_each_other_after_one_shuffle(spark):
+    df = spark.range(1000).selectExpr("(id * 37) % 1000 AS a", "id AS b")
+    keyed = dense_key(df, ["a"], "k", rows_per_bucket=50)
+    text = keyed._jdf.queryExecution().executedPlan().toString()
+    window = text.split("Window [", 1)[1]
+    assert window.split("BroadcastExchange", 1)[0].count("Exchange") == 1
+    ends = sorted((r[1], r[2], r[0]) for r in keyed.selectExpr("spark_partition_id() AS p", "k").groupBy("p")
+                  .agg({"k": "min", "p": "count"}).join(keyed.selectExpr("spark_partition_id() AS p", "k").groupBy("p").agg({"k": "max"}), "p")
+                  .selectExpr("p", "`min(k)`", "`max(k)`").collect())
+    assert len(ends) == 8 and [e[2] for e in ends] == sorted(e[2] for e in ends)
+    assert all(a[1] + 1 == b[0] for a, b in zip(ends, ends[1:]))
