@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.textblock import Words, mix, slices
+from starloom.llm.textblock import Words, mix, release_memory, slices
 from starloom.llm.training_rows import fold, labelled_sample
 
 BITS = 18
@@ -156,7 +156,10 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", folds:
     got = sample.mapInArrow(featurise, "doc_id long, label int, slots binary, shares binary").toArrow()
     rows = sorted(zip(*(got.column(c).to_pylist() for c in ("doc_id", "slots", "shares", "label"))))
     del got
-    return fit([(np.frombuffer(s, np.int32), np.frombuffer(v, np.float32), y) for _, s, v, y in rows])
+    model = fit([(np.frombuffer(s, np.int32), np.frombuffer(v, np.float32), y) for _, s, v, y in rows])
+    del rows
+    release_memory()  # the driver's, for the steps that follow
+    return model
 
 
 def probability(spark: SparkSession, model: tuple[np.ndarray, float]) -> Callable[[Column], Column]:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.textblock import Words, slices
+from starloom.llm.textblock import Words, release_memory, slices
 from starloom.llm.training_rows import fold, labelled_sample
 from starloom.sinks.staging import stage
 
@@ -343,6 +343,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", folds: in
 
     sample = stage(sample, "toxicity-sample")
     margin, intercept = fit_bags(*sample_bags(sample.where(~kept_out)))
+    release_memory()  # the driver's, for the steps that follow
     shared = docs.sparkSession.sparkContext.broadcast(margin)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
