@@ -70,6 +70,14 @@ def _unpack(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.int64)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending: by sorting, as ``np.unique`` without counts hashes them, many times slower."""
+    values = np.sort(values)
+    keep = np.ones(len(values), bool)
+    keep[1:] = values[1:] != values[:-1]
+    return values[keep]
+
+
 def shard_of(first: np.ndarray, second: np.ndarray, shards: int) -> np.ndarray:
     """Shard of each pair: by the first word and four bits of the second."""
     h = mix(first.astype(_U) * _U(31) + (second.astype(_U) >> _U(44))) >> _U(32)
@@ -119,7 +127,7 @@ def _word_blocks(rows: DataFrame, shards: int, buckets: int) -> DataFrame:
                 n = np.bincount(second[learn], minlength=len(words))
                 n[words == _START] = (learn & (a == _START)).sum()
                 del a, b
-                asks = np.union1d(np.unique(first * np.int64(shards) + shard), np.unique(second * np.int64(shards) + shard))
+                asks = _distinct(np.concatenate([first, second]) * np.int64(shards) + np.tile(shard, 2))
                 word, shard = asks // shards, asks % shards
                 bucket = (mix(words.astype(_U)) % _U(buckets)).astype(np.int64)
                 order = np.argsort(bucket[word], kind="stable")
@@ -153,7 +161,7 @@ def _counts_by_shard(blocks: DataFrame, shards: int) -> DataFrame:
         shard = np.concatenate([np.frombuffer(s, width) for s in places]).astype(np.int64)
         ids, at = np.unique(word, return_inverse=True)
         total = np.bincount(at, count, minlength=len(ids)).astype(np.int64)
-        asks = np.unique(shard * len(ids) + np.repeat(at, runs))
+        asks = _distinct(shard * len(ids) + np.repeat(at, runs))
         shard, at = asks // len(ids), asks % len(ids)
         known = total[at] > 0
         shard, at = shard[known], at[known]
@@ -180,13 +188,15 @@ def _pair_blocks(rows: DataFrame, shards: int, *, by_text: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flush = TaskContext.get().partitionId() << 32
         for batch in batches:
+            if not by_text:
+                batch = batch.filter(batch.column("train"))
+            if not len(batch):
+                continue
             train = batch.column("train").to_numpy(zero_copy_only=False)
             key = batch.column("key").to_numpy(zero_copy_only=False)
             for row, a, b, own in _pairs(batch):
                 if not by_text:
-                    learn = train[row][own]
-                    a, b, own = a[learn], b[learn], np.zeros(int(learn.sum()), np.int64)
-                    row = row[train[row]][:1]
+                    own, row = np.zeros(len(a), np.int64), row[:1]
                 shard = shard_of(a, b, shards)
                 order = np.argsort(shard.astype(np.uint16) if shards < 65536 else shard, kind="stable")
                 cut = np.searchsorted(shard[order], np.arange(shards + 1))
@@ -197,7 +207,8 @@ def _pair_blocks(rows: DataFrame, shards: int, *, by_text: bool) -> DataFrame:
                     if not len(part):
                         continue
                     words, at = np.unique(np.concatenate([a[part], b[part]]), return_inverse=True)
-                    texts, runs = np.unique(own[part], return_counts=True)
+                    starts = np.flatnonzero(np.diff(own[part], prepend=-1))      # the sort is stable: texts ascend
+                    texts, runs = own[part[starts]], np.diff(starts, append=len(part))
                     small = "<u2" if len(words) < 65536 else "<u4"
                     out.append((k, flush, names, texts.astype(place).tobytes(), np.packbits(train[row[texts]]).tobytes(),
                                 runs.astype("<u4").tobytes(), _pack(words), at.astype(small).tobytes()))

@@ -3,6 +3,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from helpers import SF, documents, empty, needs_tables, odd, words
 
 from starloom.llm import elias_fano, ngram_model
@@ -191,3 +193,47 @@ def test_scores_of_an_empty_table_and_without_training(spark):
     lone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
     r = language_scores(spark.createDataFrame([(lone, "some words")], "doc_id long, text string")).first()
     assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) == (True, 3, 0, 0, 0.0, 0.0)
+
+
+class _Partition:
+    """A stand-in for a frame that gives the function of ``mapInArrow`` itself."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        return run
+
+
+def test_words_and_shards_are_told_apart_by_sorting(monkeypatch):
+    unique = np.unique
+
+    def sorting_unique(values, **returned):
+        assert returned, "np.unique without counts, index or inverse hashes the values"
+        return unique(values, **returned)
+
+    texts = [" ".join(f"w{(7 * i * k) % 389}" for k in range(i % 40)) for i in range(300)]
+    train = [i % 3 > 0 for i in range(300)]
+    batch = pa.record_batch([pa.array(texts), pa.array(train)], ["text", "train"])
+    want = {(int(w), int(s)) for _, a, b, _ in ngram_model._pairs(batch) for p in (a, b) for w, s in zip(p, ngram_model.shard_of(a, b, 9))}
+    monkeypatch.setattr(np, "unique", sorting_unique)
+    monkeypatch.setattr(np, "union1d", lambda *_: pytest.fail("np.union1d hashes the values"))
+    got = []
+    for block in ngram_model._word_blocks(_Partition(), 9, 4)([batch]):
+        for words, runs, shards in zip(*(block.column(c).to_pylist() for c in ("words", "runs", "shards"))):
+            words = np.repeat(ngram_model._unpack(words), np.frombuffer(runs, "<u4"))
+            got += zip(words.tolist(), np.frombuffer(shards, "<u2").tolist())
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_the_weights_scan_cuts_only_training_texts(monkeypatch):
+    seen, pairs = [], ngram_model._pairs
+    monkeypatch.setattr(ngram_model, "_pairs", lambda batch: seen.append(len(batch)) or pairs(batch))
+    monkeypatch.setattr(ngram_model.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    names = ["key", "text", "train"]
+    some = pa.record_batch([pa.array([1, 2, 3]), pa.array(["a b", "c d e", "a"]), pa.array([True, False, True])], names)
+    none = pa.record_batch([pa.array([4]), pa.array(["x"]), pa.array([False])], names)
+    blocks = [r for b in ngram_model._pair_blocks(_Partition(), 1, by_text=False)([some, none]) for r in b.to_pylist()]
+    assert seen == [2]
+    assert [int(np.frombuffer(r["runs"], "<u4").sum()) for r in blocks] == [5]     # a b end, a end
+    assert [len(r["words"]) // 6 for r in blocks] == [4]                             # start, a, b, end
