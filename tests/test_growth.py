@@ -101,3 +101,24 @@ def test_rows_are_sorted_by_the_order_before_the_buckets(spark):
     text = _plan(dense_key(df, ["a", "b"], "k", rows_per_bucket=100)).split("Window [", 1)[1].split("Exchange", 1)[0]
     sorts = [line for line in text.split("\n") if "Sort [" in line]
     assert len(sorts) == 2 and "Sort [_sk_bucket" in sorts[0] and "Sort [a#" in sorts[1]
+
+
+def test_bounds_of_one_column_are_compared_without_tuples(spark):
+    df = spark.range(2000).selectExpr("IF(id % 50 = 0, NULL, id) AS a", "CAST(id AS string) AS b")
+    bounds = bucket_bounds(df, ["a", "b"], rows_per_bucket=100)
+    bucketed = bounds.bucket(df, ["a", "b"], "bucket")
+    assert bounds.width == 1 and bounds.buckets > 10
+    assert "struct(" not in _plan(bucketed)
+    rows = bucketed.orderBy(F.col("a").asc_nulls_first()).collect()
+    assert [r.bucket for r in rows] == sorted(r.bucket for r in rows) and {r.bucket for r in rows} == set(range(bounds.buckets))
+    want = df.withColumn("k", F.row_number().over(Window.orderBy("a", "b")).cast("long")).collect()
+    assert sorted(map(str, dense_key(df, ["a", "b"], "k", rows_per_bucket=100).collect())) == sorted(map(str, want))
+
+
+def test_a_bound_that_is_null_stays_the_least(spark):
+    from pyspark.sql import types as T
+
+    kind = T.ArrayType(T.StructType([T.StructField("c0", T.LongType())]))
+    bounds = keys.BucketBounds('[{},{"c0":5}]', kind, 3, 1)
+    df = spark.sql("SELECT * FROM VALUES (NULL), (1), (5), (6) AS t(a)").select(F.col("a").cast("long"))
+    assert [(r.a, r.bucket) for r in bounds.bucket(df, ["a"], "bucket").orderBy("a").collect()] == [(None, 1), (1, 1), (5, 2), (6, 2)]
