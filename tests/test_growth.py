@@ -122,3 +122,39 @@ def test_a_bound_that_is_null_stays_the_least(spark):
     bounds = keys.BucketBounds('[{},{"c0":5}]', kind, 3, 1)
     df = spark.sql("SELECT * FROM VALUES (NULL), (1), (5), (6) AS t(a)").select(F.col("a").cast("long"))
     assert [(r.a, r.bucket) for r in bounds.bucket(df, ["a"], "bucket").orderBy("a").collect()] == [(None, 1), (1, 1), (5, 2), (6, 2)]
+
+
+_MONTH_LINES = """SELECT 1L AS customer_key, DATE'2020-01-05' AS order_date, id AS order_line_id,
+    CAST(CASE WHEN id % 7 = 0 THEN NULL WHEN id % 2 = 0 THEN -32768 ELSE 32767 END AS smallint) AS quantity,
+    CAST(CASE WHEN id % 11 = 0 THEN NULL WHEN id % 5 = 0 THEN -99999999.99 ELSE 99999999.97 END AS {price}) AS unit_price,
+    CAST(IF(id % 4 = 0, -999.99, 999.97) AS decimal(5,2)) AS discount_pct, CAST(IF(id % 6 = 0, NULL, 0.01 * id) AS decimal(10,2)) AS line_total
+    FROM range(200)"""
+
+
+@pytest.mark.parametrize("price", ["decimal(10,2)", "decimal(12,4)"])
+def test_monthly_money_is_summed_exactly(spark, price):
+    from decimal import ROUND_HALF_UP
+
+    from starloom.plans.snapshot import monthly_aggregate
+
+    lines = spark.sql(_MONTH_LINES.format(price=price))
+    month = monthly_aggregate(lines, ["customer_key"])
+    row, rows = month.first(), lines.collect()
+    cents = lambda x: x.quantize(Decimal("0.01"), ROUND_HALF_UP)
+    sold = [r for r in rows if r.quantity is not None and r.unit_price is not None]
+    assert row.gross_sales_amount == cents(sum(r.unit_price * r.quantity for r in sold))
+    assert row.discount_amount == cents(sum(r.unit_price * r.quantity * r.discount_pct for r in sold) / 100)
+    assert row.net_sales_amount == sum(r.line_total for r in rows if r.line_total is not None)
+    if price == "decimal(10,2)":    # partial sums and what is shuffled are longs
+        partial = _plan(month).split("Exchange", 1)[1].split("output=", 1)[0] if "output=" in _plan(month) else _plan(month).split("Exchange", 1)[1]
+        assert "partial_sum" in partial and not [p for p in partial.split("partial_")[1:] if "/ 100" in p]
+        assert dict(month.dtypes)["gross_sales_amount"] == "decimal(27,2)" and dict(month.dtypes)["discount_amount"] == "decimal(31,2)"
+        assert dict(month.dtypes)["net_sales_amount"] == "decimal(21,2)"
+
+
+def test_a_month_without_amounts_has_none(spark):
+    from starloom.plans.snapshot import monthly_aggregate
+
+    lines = spark.sql(_MONTH_LINES.format(price="decimal(10,2)")).withColumn("unit_price", F.lit(None).cast("decimal(10,2)"))
+    row = monthly_aggregate(lines, ["customer_key"]).first()
+    assert row.gross_sales_amount is None and row.discount_amount is None and row.order_count == 200
